@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language_id, quality
+from . import language_id, neighbours, quality, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, prototypes, extra={"held_out": F.coalesce(_remainder(4) == 2, F.lit(False))})
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.assign_shards(_table(spark, sf_dir, "documents"), 24)
+    return placed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
 def quality_weights(docs: DataFrame, labels: DataFrame):
     """Weights learned from labelled rows whose crc32(doc_id) mod 5 is not 0."""
     labels = labels.where("doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
@@ -37,9 +42,21 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+OP5_SQL = """WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+ WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, sqrt(list_reduce(list_transform(range(1, len(q.e) + 1), lambda i: (q.e[i] - c.e[i]) * (q.e[i] - c.e[i])), lambda a, b: a + b)) AS score
+ FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INT) AS rank, vec_id, score FROM p)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op3_quality)}
+    return {f.__name__: f for f in (op1_language_id, op2_sharding, op3_quality, op5_neighbours)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_neighbours": OP5_SQL}
