@@ -100,6 +100,10 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+def is_space(buf: np.ndarray) -> np.ndarray:
+    return _SPACE[buf]
+
+
 def ascii_lower(buf: np.ndarray) -> np.ndarray:
     return _LOWER[buf]
 

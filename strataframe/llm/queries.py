@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language_id, neighbours, quality, sharding
+from . import language_id, line_dedup, neighbours, quality, sharding, span_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,8 +54,18 @@ r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY sc
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10"""
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
+    return done.withColumnsRenamed({"units": "lines"}).fillna(0, ["removed"])
+
+
+def op9_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = span_dedup.dedup_spans(_table(spark, sf_dir, "documents"))
+    return done.withColumnsRenamed({"units": "sentences"}).fillna(0, ["removed"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_sharding, op3_quality, op5_neighbours)}
+    return {f.__name__: f for f in (op1_language_id, op2_sharding, op3_quality, op5_neighbours, op8_line_dedup, op9_span_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
