@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language_id, line_dedup, neighbours, quality, sharding, span_dedup
+from . import decontaminate, language_id, line_dedup, neighbours, quality, sharding, span_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -65,7 +69,7 @@ def op9_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_sharding, op3_quality, op5_neighbours, op8_line_dedup, op9_span_dedup)}
+    return {f.__name__: f for f in (op1_language_id, op2_sharding, op3_quality, op4_decontaminate, op5_neighbours, op8_line_dedup, op9_span_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
