@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, jaccard_join, language_id, line_dedup, neighbours, quality, sharding, span_dedup
+from . import decontaminate, jaccard_join, language_id, line_dedup, neighbours, quality, sentencepiece_codec, sharding, span_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,8 +83,15 @@ def op9_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.withColumnsRenamed({"units": "sentences"}).fillna(0, ["removed"])
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    coded = sentencepiece_codec.encode(docs, keep=["doc_id", "text"])
+    back = sentencepiece_codec.decode(coded)
+    return back.select("doc_id", "ids", "n_tokens", "decoded", F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_sharding, op3_quality, op4_decontaminate, op5_neighbours, op7_jaccard_join, op8_line_dedup, op9_span_dedup)}
+    return {f.__name__: f for f in (op1_language_id, op2_sharding, op3_quality, op4_decontaminate, op5_neighbours, op7_jaccard_join, op8_line_dedup, op9_span_dedup, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
