@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, jaccard_join, language_id, line_dedup, neighbours, quality, sentencepiece_codec, sharding, span_dedup
+from . import decontaminate, jaccard_join, language_id, line_dedup, neighbours, quality, sentencepiece_codec, sharding, span_dedup, surrogates
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +58,10 @@ r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY sc
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10"""
 
 
+def op6_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.pseudonymise(_table(spark, sf_dir, "documents"), secret="a key that a user sets")
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.linked(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -91,7 +95,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_sharding, op3_quality, op4_decontaminate, op5_neighbours, op7_jaccard_join, op8_line_dedup, op9_span_dedup, op10_sentencepiece)}
+    return {f.__name__: f for f in (op1_language_id, op2_sharding, op3_quality, op4_decontaminate, op5_neighbours, op6_pii_surrogates, op7_jaccard_join, op8_line_dedup, op9_span_dedup, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
