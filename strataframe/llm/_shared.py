@@ -3,24 +3,37 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """The rows written to the folder of ``spark.checkpoint.dir`` and read from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, set as the session's checkpoint folder.
 
-    That folder is taken from the session; only where none is set (a local
-    session, as in tests) a temporary folder is.
+    Only where none is set, in a local session as in tests, a temporary folder is.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
         set_to = context.getConf().get("spark.checkpoint.dir")
         if not set_to and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(set_to or tempfile.mkdtemp(prefix="spark-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows written to the shared folder and read from there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The rows as a Parquet table in the shared folder."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

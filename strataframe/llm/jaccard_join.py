@@ -293,11 +293,29 @@ def links(docs: DataFrame, described: DataFrame, id_col: str = "doc_id", text_co
     return members.join(texts, "cls").groupBy("name", "i", "j").applyInArrow(run, "a long, b long")
 
 
-def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, **tuning: int) -> DataFrame:
-    """doc_id, key (of id and text), n_shingles and component_id of every row."""
+def _grouped(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, tuning: dict[str, int]) -> DataFrame:
+    """id, key (of id and text), class, size and component of every row."""
     described = checkpointed(describe(docs, id_col, text_col, words))
     found = components(checkpointed(links(docs, described, id_col, text_col, words, percent, **tuning)))
-    rows = described.join(found.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    rows = described.join(found.select(F.col("node").alias("cls"), "component"), "cls", "left")
+    return rows.withColumn("component", F.coalesce("component", "cls"))
+
+
+def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, **tuning: int) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row."""
+    rows = _grouped(docs, id_col, text_col, words, percent, tuning)
     least = rows.where("size > 0").groupBy("component").agg(F.min("id").alias("least"))
     component = F.when(F.col("size") > 0, F.col("least")).otherwise(F.col("id"))
-    return rows.join(least, "component", "left").select(F.col("id").alias("doc_id"), "key", F.col("size").alias("n_shingles"), component.alias("component_id"))
+    return rows.join(least, "component", "left").select(F.col("id").alias("doc_id"), F.col("size").alias("n_shingles"), component.alias("component_id"))
+
+
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, **tuning: int) -> DataFrame:
+    """One row of ``docs`` for each group of linked documents, that of the least id (nulls last), and all without words.
+
+    Rows equal in id and text are one document.
+    """
+    rows = _grouped(docs, id_col, text_col, words, percent, tuning)
+    order = F.struct(F.col("id").isNull(), "id", "key")
+    kept = rows.where("size > 0").groupBy("component").agg(F.min(order).alias("kept")).select(F.col("kept.key").alias("__key"))
+    kept = kept.unionAll(rows.where("size = 0").select(F.col("key").alias("__key")).distinct())
+    return docs.withColumn("__key", F.xxhash64(id_col, text_col)).join(kept, "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")

@@ -27,7 +27,8 @@ BITS = 18
 SCALE = 30.0
 #: At most about so many labelled rows are fitted, those of the smallest hash; every row is scored.
 TRAIN_ROWS = 20_000
-EPOCHS = 2
+#: A part's rows are gone over until it has made about so many updates, between 2 and 20 times.
+UPDATES = 10_000
 
 _KIND = np.full(256, 2, np.uint8)  # 0 space, 1 letter or digit, 2 sign
 _KIND[[0x20, *range(0x09, 0x0E)]] = 0
@@ -78,7 +79,7 @@ def features(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return grams[order], _text.row_ranges(rows[order], n)
 
 
-def ftrl(examples: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = EPOCHS, alpha: float = 0.1, beta: float = 1.0, l1: float = 1e-4, l2: float = 1e-4) -> np.ndarray:
+def ftrl(examples: list[tuple[np.ndarray, np.ndarray, int]], epochs: int, alpha: float = 0.1, beta: float = 1.0, l1: float = 1e-4, l2: float = 1e-4) -> np.ndarray:
     """Weights after FTRL-proximal updates, example by example; the last weight is the bias."""
     z, n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
 
@@ -100,8 +101,8 @@ def ftrl(examples: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = EPOCH
 def train(labelled: DataFrame, text_col: str = "text", label_col: str = "quality", key: Column | None = None, max_rows: int = TRAIN_ROWS, parts: int = 4) -> np.ndarray | None:
     """Weights fitted on at most ``max_rows`` labelled rows, those whose hashed key is smallest.
 
-    ``parts`` models are fitted beside each other on a share of the rows each
-    and then averaged, so no task has more than ``max_rows / parts`` rows, give
+    Up to ``parts`` models are fitted beside each other on a share of the rows
+    each and then averaged, so no task has more than ``max_rows / parts`` rows, give
     or take; the driver gets at most ``parts`` times the number of weights.
     """
     rows = labelled.select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label"), F.xxhash64(key if key is not None else F.col(text_col)).alias("key")).where("label is not null")
@@ -109,6 +110,7 @@ def train(labelled: DataFrame, text_col: str = "text", label_col: str = "quality
     limit = kept.agg(F.max("key"), F.count(F.lit(1))).first()
     if not limit[1]:
         return None
+    parts = max(1, min(parts, limit[1] // 1000))  # a few rows make one model
     rows = rows.where(F.col("key") <= F.lit(limit[0])).withColumn("part", F.pmod("key", F.lit(parts)))
 
     def fit(key: tuple, table: pa.Table) -> pa.Table:
@@ -119,7 +121,7 @@ def train(labelled: DataFrame, text_col: str = "text", label_col: str = "quality
             for i, label in enumerate(chunk.column("label").to_pylist()):
                 at, count = np.unique(grams[bounds[i] : bounds[i + 1]], return_counts=True)
                 examples.append((np.append(at, 1 << BITS), np.append(count * (SCALE / max(1, count.sum())), 1.0), int(label > 0)))
-        w = ftrl(examples)
+        w = ftrl(examples, min(20, max(2, UPDATES // max(1, len(examples)))))
         at = np.flatnonzero(w)
         return pa.table({"place": at.astype(np.int64), "weight": w[at]})
 
@@ -130,11 +132,11 @@ def train(labelled: DataFrame, text_col: str = "text", label_col: str = "quality
     return w.astype(np.float32)
 
 
-def score(docs: DataFrame, weights: np.ndarray | None, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, extra: dict[str, Column] | None = None) -> DataFrame:
-    """id (or the columns of ``keep``), the columns of ``extra``, and ``score`` of every row."""
+def score(docs: DataFrame, weights: np.ndarray | None, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, extra: dict[str, Column] | None = None, into: str = "score") -> DataFrame:
+    """id (or the columns of ``keep``), the columns of ``extra``, and the score of every row in the column ``into``."""
     cols = keep or [id_col]
     docs = docs.select(*cols, *(c.alias(k) for k, c in (extra or {}).items()), F.col(text_col).alias("__text"))
-    schema = T.StructType([f for f in docs.schema if f.name != "__text"]).add("score", "double")
+    schema = T.StructType([f for f in docs.schema if f.name != "__text"]).add(into, "double")
     w = weights if weights is not None else np.zeros((1 << BITS) + 1, np.float32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -292,3 +292,28 @@ def decode(rows: DataFrame, model_path: str = MODEL, ids_col: str = "ids", into:
                 yield pa.RecordBatch.from_arrays([*part.columns, text], names=schema.names)
 
     return out.mapInArrow(run, schema)
+
+
+def round_trip(docs: DataFrame, model_path: str = MODEL, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """``encode`` and ``decode`` in one task: the columns of ``keep``, ids, n_tokens, decoded, and whether it equals the text."""
+    model = load(model_path)
+    names = keep or docs.columns
+    rows = docs.select(*names, F.col(text_col).alias("__text"))
+    schema = T.StructType(list(docs.select(*names).schema)).add("ids", T.ArrayType(T.IntegerType(), False)).add("n_tokens", "integer").add("decoded", "string").add("round_trip", "boolean")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _codec(model)
+        for chunk in _text.chunks(batches, "__text"):
+            text = chunk.column("__text")
+            tokens, bounds = codec.encode(text.to_pylist())
+            data, offsets = codec.decode(tokens, bounds)
+            back = pa.LargeStringArray.from_buffers(len(chunk), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data)).cast(pa.string())
+            null = text.is_null()
+            mask = null.to_numpy(zero_copy_only=False)
+            if mask.any():
+                back = pa.compute.if_else(null, pa.scalar(None, pa.string()), back)
+            ids = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(tokens), mask=pa.array(mask)) if mask.any() else _text.list_array(pa.array(tokens), bounds)
+            same = pa.compute.fill_null(pa.compute.equal(back, text.cast(pa.string())), True)
+            yield pa.RecordBatch.from_arrays([*chunk.columns[:-1], ids, pa.array(np.diff(bounds).astype(np.int32), mask=mask), back, same], names=schema.names)
+
+    return rows.mapInArrow(run, schema)
