@@ -36,8 +36,8 @@ PATTERN = "|".join([
     r"\+[0-9]{1,3}[ -]?\(?[0-9]{2,4}\)?[ -]?[0-9]{3,4}[ -]?[0-9]{3,4}(?![0-9])",
     r"(?<![\p{L}0-9])[0-9]{13,19}(?![\p{L}0-9])",
     r"(?<![\p{L}0-9])[0-9]{4}(?:[ -][0-9]{4}){3}(?![\p{L}0-9])",
-    r"(?<![\p{L}0-9])[0-9a-fA-F]{32,128}(?![\p{L}0-9])",
-    r"(?<![\p{L}0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|sk-[A-Za-z0-9]{20,})(?![\p{L}0-9])",
+    r"(?<![\p{L}0-9])(?=[a-fA-F]*[0-9])[0-9a-fA-F]{32,128}(?![\p{L}0-9])",
+    r"(?<![\p{L}0-9])(?=[A-Za-z_-]*[0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|sk-[A-Za-z0-9]{20,})(?![\p{L}0-9])",
     rf"(?<!\p{{L}})(?:{_TITLES})\.? \p{{Lu}}\p{{L}}+",
 ])
 
@@ -48,7 +48,11 @@ _ENDINGS = {("latin", "f"): "na", ("latin", "m"): "ron", ("cyrillic", "f"): "и
 
 
 def entities(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
+    """All entities in order; texts that lack the signs that every entity has are not searched."""
+    may = text.rlike("[0-9@]")
+    for title in [*MALE_TITLES, *FEMALE_TITLES]:
+        may = may | text.contains(title)
+    return F.when(may, F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))).otherwise(F.array().cast("array<string>"))
 
 
 def canonical(surface: Column) -> Column:
