@@ -35,7 +35,9 @@ from . import _text
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Most words and pairs that a task remembers.
-WORDS, PAIRS = 600_000, 4_000_000
+WORDS, PAIRS = 400_000, 2_000_000
+#: Characters of distinct words that are indexed at once (one word at least).
+BLOCK = 200_000
 
 
 def load(path: str) -> dict:
@@ -101,7 +103,7 @@ class Codec:
 
     def _follows(self, before: np.ndarray, piece: np.ndarray) -> np.ndarray:
         """Whether merges keep the two pieces apart."""
-        key = before * self.n + piece
+        key = before.astype(np.int64) * self.n + piece
         at = np.searchsorted(self.pair_key, key)
         found = at < len(self.pair_key)
         found[found] = self.pair_key[at[found]] == key[found]
@@ -130,7 +132,7 @@ class Codec:
         suffixes = np.ascontiguousarray(keys[order]).view(f"S{2 * self.width}").ravel()
         low = np.searchsorted(suffixes, self.low)
         count = np.searchsorted(suffixes, self.high, side="right") - low
-        return order[_text.spread(low, count)], np.repeat(np.arange(len(self.usable)), count)
+        return order[_text.spread(low, count)].astype(np.int32), np.repeat(np.arange(len(self.usable), dtype=np.int32), count)
 
     def _encode_words(self, points: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Tokens of all words, and the bounds of each word's; words: runs of code points."""
@@ -146,11 +148,11 @@ class Codec:
         single[start[self.length[k] == 1]] = True
         lone = np.flatnonzero(~single)
         # a character outside the vocabulary is a token of its own, numbered after all pieces
-        start, end, piece = np.concatenate([start, lone]), np.concatenate([end, lone + 1]), np.concatenate([piece, np.full(len(lone), self.n)])
+        start, end, piece = (np.concatenate(x).astype(np.int32) for x in ((start, lone), (end, lone + 1), (piece, np.full(len(lone), self.n))))
         depth = end - begin[start]
         order = np.lexsort((end, depth))
         start, end, piece, depth = start[order], end[order], piece[order], depth[order]
-        last = np.full(n + 1, -1, np.int64)  # the piece that ends at a place
+        last = np.full(n + 1, -1, np.int32)  # the piece that ends at a place
         stops = np.flatnonzero(np.append(depth[1:] != depth[:-1], True)) + 1 if len(depth) else []
         low = 0
         for high in stops:
@@ -209,8 +211,14 @@ class Codec:
         if len(new):
             own = first[np.searchsorted(distinct, new)]
             width = end[own] - start[own]
-            tokens, token_at = self._encode_words(points[_text.spread(start[own], width)], np.concatenate(([0], np.cumsum(width))))
-            self._remember(new, tokens, token_at)
+            total = np.cumsum(width)
+            low = 0
+            while low < len(new):
+                high = max(low + 1, int(np.searchsorted(total, (total[low - 1] if low else 0) + BLOCK, side="right")))
+                part = slice(low, high)
+                tokens, token_at = self._encode_words(points[_text.spread(start[own[part]], width[part])], np.concatenate(([0], np.cumsum(width[part]))))
+                self._remember(new[part], tokens, token_at)
+                low = high
         at = np.searchsorted(self.known, distinct)[inverse]
         count = np.diff(self.token_at)[at]
         tokens = self.tokens[_text.spread(self.token_at[at], count)]
