@@ -6,14 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import frames_plans
+from .plans import frames_plans, table_plans
 
+PLANS = frames_plans.PLANS | table_plans.PLANS
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
-    return {name: query for name, (query, _) in frames_plans.PLANS.items()}
+    return {name: query for name, (query, _) in PLANS.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for name, (_, sql) in frames_plans.PLANS.items() if sql}
+    return {name: sql for name, (_, sql) in PLANS.items() if sql}

@@ -27,3 +27,35 @@ def mean_image(frames: DataFrame, n: int = 10, side: str = "end") -> DataFrame:
 def row_profile(image: DataFrame) -> DataFrame:
     """Mean over x of every row of an image: fov, y, profile."""
     return image.groupBy("fov", "y").agg(F.avg("v").alias("profile"))
+
+
+def band_profile(image: DataFrame, lanes: DataFrame, length: int, least: int = 100) -> DataFrame:
+    """Mean over the rows near each lane of every column: fov, lane_index, x, profile.
+
+    The band reaches max(length, least) rows to both sides of ``y_center``.
+    """
+    reach = max(length, least)
+    near = (F.col("y") >= F.col("y_center") - reach) & (F.col("y") < F.col("y_center") + reach)
+    return image.join(F.broadcast(lanes.select("fov", "lane_index", "y_center")), "fov").where(near).groupBy("fov", "lane_index", "x").agg(F.avg("v").alias("profile"))
+
+
+def downsample(image: DataFrame, factor: int) -> DataFrame:
+    """Block means; rows and columns beyond the last whole block are left out."""
+    if factor < 1:
+        raise ValueError("factor must be positive")
+    whole = image.where((F.col("y") < F.floor(F.col("h") / factor) * factor) & (F.col("x") < F.floor(F.col("w") / factor) * factor))
+    block = {"y": F.floor(F.col("y") / factor).cast("int"), "x": F.floor(F.col("x") / factor).cast("int")}
+    return whole.withColumns(block).groupBy("fov", "t", "c", "y", "x").agg(F.avg("v").alias("v"))
+
+
+def reference(frames: DataFrame, mode: str | int = "mean") -> DataFrame:
+    """The image that frames of a position are registered to: fov and pixels."""
+    if mode == "mean":
+        flat = frames.select("fov", F.posexplode("pixels").alias("i", "v")).groupBy("fov", "i").agg(F.avg("v").alias("v"))
+        return flat.groupBy("fov").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "v"))), lambda s: s["v"]).alias("reference"))
+    if mode in ("first", "last"):
+        pick = F.min_by if mode == "first" else F.max_by
+        return frames.groupBy("fov").agg(pick("pixels", "t").alias("reference"))
+    if isinstance(mode, int):
+        return frames.where(F.col("t") == mode).select("fov", F.col("pixels").alias("reference"))
+    raise ValueError(f"unknown mode {mode!r}")
