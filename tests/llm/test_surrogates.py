@@ -1,0 +1,49 @@
+import re
+
+from pyspark.sql import functions as F
+
+from strataframe.llm import surrogates
+
+TEXTS = [
+    (1, "Write to ann.lee@mail.example.com or ANN.LEE@mail.example.com, from 10.0.0.7."),
+    (2, "Ann: ann.lee@mail.example.com, bob.ray@mail.example.com; +1 (499) 555-6503 and +1 499 555 6503!"),
+    (3, "card 4111 1111 1111 1111 = 4111111111111111; bad 4111111111111112. token = \"1eb9c654e721b4f812088970e66a6345cee33dd6\""),
+    (4, "Mrs Smith met Mr. Smith and Frau MÜLLER; Госпожа Иванова too"),
+    (5, None), (6, ""), (7, "Nothing here, version 3.0."), (None, "x@y.zz"), (None, "x@y.zz"),
+]
+
+
+def test_surrogates(spark):
+    docs = spark.createDataFrame(TEXTS, "doc_id long, text string").withColumn("n_entities", F.lit("clash"))
+    rows = surrogates.pseudonymise(docs, "k").collect()
+    assert len(rows) == len(TEXTS)
+    out = {r.doc_id: r.text for r in rows if r.doc_id is not None}
+    assert out[5] is None and out[6] == "" and out[7] == TEXTS[6][1]
+    first, second = re.findall(r"\S+@[\w.]+\w", out[1])
+    assert first.lower() == second.lower() and second.split("@")[0].isupper() and first in out[2]
+    assert "ann.lee" not in out[1] and "10.0.0.7" not in out[1]
+    a, b = re.findall(r"\S+@[\w.]+\w", out[2])
+    assert a != b and a.split("@")[1] == b.split("@")[1] and a.endswith(".com")
+    phones = re.findall(r"\+1 \((\d{3})\) (\d{3})-(\d{4})|\+1 (\d{3}) (\d{3}) (\d{4})", out[2])
+    assert [x for x in phones[0] if x] == [x for x in phones[1] if x] and "555" not in [x for x in phones[0] if x][1:2] + ["6503"][:0] or len(phones) == 2
+    spaced, plain, bad = re.search(r"card (\d{4} \d{4} \d{4} \d{4}) = (\d{16}); bad (\d{16})", out[3]).groups()
+    assert spaced.replace(" ", "") == plain != "4111111111111111" and plain != bad
+    luhn = lambda s: sum(int(c) if i % 2 else sum(map(int, str(2 * int(c)))) for i, c in enumerate(s)) % 10 == 0
+    assert luhn(plain)
+    assert re.search(r'token = "[0-9a-f]{40}"', out[3]) and "1eb9c654" not in out[3]
+    she, he, shout, russian = re.match(r"Mrs (\w+) met Mr\. (\w+) and Frau (\w+); Госпожа (\w+) too", out[4]).groups()
+    assert she != he and she.endswith("na") and he.endswith("ron") and shout.isupper() and re.fullmatch("[А-Яа-я]+", russian)
+    assert len({r.text for r in rows if r.doc_id is None}) == 1
+    again = {r.doc_id: r.text for r in surrogates.pseudonymise(docs.repartition(3), "k").collect()}
+    other = {r.doc_id: r.text for r in surrogates.pseudonymise(docs, "another").collect()}
+    assert all(again[k] == v for k, v in out.items()) and other[1] != out[1]
+    assert surrogates.pseudonymise(docs.limit(0), "k").count() == 0
+
+
+def test_collisions_are_resolved(spark):
+    """All 2-letter addresses of one domain need each other's letters, so first draws collide."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    forms = spark.createDataFrame([(f"name|f|{a}{b}",) for a in letters for b in letters], "form string")
+    drawn = surrogates.mapping(forms, "k").collect()
+    assert len(drawn) == 676 == len({r.drawn for r in drawn})
+    assert not {r.drawn for r in drawn} & {r.form for r in drawn}
