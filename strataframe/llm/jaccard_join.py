@@ -12,12 +12,14 @@ one class, so copies are never compared.
    (a frequent shingle's after a class fixed beforehand, so its rows are never
    brought together), and classes of one name form a group; two classes that
    share a bucket share that group.
-2. Signature trees.  A group of over ``BLOCK`` classes is cut into blocks, whose pairs
-   are joined on their own.  Each builds a tree over its classes sorted
-   by size: a node has the OR of its token bitmaps and its range of sizes.
-   A dual traversal drops pairs of nodes whose largest possible overlap is too
-   small; pairs left at the leaves are verified on the sets, unless links found
-   before connect them.
+2. Signature trees.  Groups are cut into bands of size, and bands of over
+   ``BLOCK`` classes into blocks, whose pairs are joined on their own.  Each builds a
+   tree over its classes sorted by size: a node has the OR of its token
+   bitmaps and its range of sizes.  A dual traversal drops pairs of nodes whose
+   largest possible overlap is too small.  The first traversal needs the
+   signatures only and drops classes without a possible partner; texts are
+   sent for the rest, whose pairs left at the leaves are verified on the sets,
+   unless links found before connect them.
 3. Components of the links give each document its class id.
 
 Cases: documents without words, or null, have empty sets and link with nothing;
@@ -43,6 +45,8 @@ PERCENT = 75
 #: Most frequent shingles that are put last, and the least count of one.
 HOT, HOT_LEAST = 50_000, 16
 BLOCK = 512
+#: Sets of the last band and larger ones share its width of signature.
+LAST_BAND = 10
 _FLUSH = 16 << 20
 
 
@@ -77,16 +81,32 @@ def prefix_length(size: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     return np.where(size > 0, size - -(-size * percent // 100) + 1, 0)
 
 
+def bands(size: np.ndarray) -> np.ndarray:
+    """The band of each size: its signature has 64 << band bits, two a shingle at least, up to the last band."""
+    return np.searchsorted([32 << k for k in range(LAST_BAND)], size)
+
+
+def signatures(values: np.ndarray, size: np.ndarray, bits: int | None = None) -> pa.Array:
+    """A bitmap of each set's shingles, as wide as its band asks or of so many bits."""
+    width = np.full(len(size), bits, np.int64) if bits else np.int64(64) << bands(size)
+    at = np.concatenate(([0], np.cumsum(width)))
+    bits = np.zeros(at[-1], bool)
+    row = np.repeat(np.arange(len(size)), size)
+    bits[at[row] + ((values >> np.uint64(20)) & (width[row] - 1).astype(np.uint64)).astype(np.int64)] = True
+    return pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer((at // 8).astype(np.int32)), pa.py_buffer(np.packbits(bits, bitorder="little"))])
+
+
 def describe(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """id, key (of id and text), class and size of every row."""
+    """id, key (of id and text), class, size and signature of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in _text.chunks(batches, "text"):
-            cls, size = classes(*shingles(*_text.text_bytes(chunk.column("text")), words))
-            yield pa.RecordBatch.from_arrays([chunk.column("id"), chunk.column("key"), pa.array(cls), pa.array(size)], names=["id", "key", "cls", "size"])
+            values, bounds = shingles(*_text.text_bytes(chunk.column("text")), words)
+            cls, size = classes(values, bounds)
+            yield pa.RecordBatch.from_arrays([chunk.column("id"), chunk.column("key"), pa.array(cls), pa.array(size), signatures(values, size)], names=["id", "key", "cls", "size", "signature"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "id long, key long, cls long, size long")
+    return rows.mapInArrow(run, "id long, key long, cls long, size long, signature binary")
 
 
 def frequent(docs: DataFrame, text_col: str, words: int, most: int, least: int) -> dict[int, int]:
@@ -187,32 +207,83 @@ def route(docs: DataFrame, hot: dict[int, int], text_col: str, words: int, perce
 
 
 class Tree:
-    """A signature tree over sets sorted by size: an array of levels, each half as long as the one below."""
-
-    def __init__(self, sets: list[np.ndarray], leaf: int = 4):
-        self.sizes = np.array([len(s) for s in sets], np.int64)
-        bits = 512
-        while bits < 4 * self.sizes.max() and bits < 1 << 16:
-            bits *= 2
-        self.maps = np.zeros((len(sets), bits // 64), np.uint64)
-        for i, s in enumerate(sets):
-            token = (s >> np.uint64(20)) & np.uint64(bits - 1)
-            np.bitwise_or.at(self.maps[i], (token >> np.uint64(6)).astype(np.int64), np.uint64(1) << (token & np.uint64(63)))
-        #: shingles beyond the bits they set: so many more may be shared than bits are
-        self.excess = self.sizes - np.bitwise_count(self.maps).sum(axis=1, dtype=np.int64)
-        step = np.arange(0, len(sets), leaf)
-        self.leaf = leaf
-        self.levels = [(np.bitwise_or.reduceat(self.maps, step), np.minimum.reduceat(self.sizes, step), np.maximum.reduceat(self.sizes, step), np.maximum.reduceat(self.excess, step))]
-        while len(self.levels[-1][1]) > 1:
-            maps, low, high, excess = self.levels[-1]
-            step = np.arange(0, len(low), 2)
-            self.levels.append((np.bitwise_or.reduceat(maps, step), np.minimum.reduceat(low, step), np.maximum.reduceat(high, step), np.maximum.reduceat(excess, step)))
-
-
-def join_sets(cls: list[int], sets: list[np.ndarray], side: list[int], percent: int = PERCENT) -> list[tuple[int, int]]:
-    """Links that connect what all links connect, among sets of one side (0 only) or between sides 0 and 1."""
+    """A signature tree over sets sorted by size: levels of nodes, each half as long as the one below.
+
+    A node has the OR of its bitmaps, the range of its sizes, and the most
+    shingles that one of its sets has beyond the bits it sets.
+    """
+
+    def __init__(self, maps: np.ndarray, sizes: np.ndarray, leaf: int = 4):
+        self.maps, self.sizes, self.leaf = maps, sizes, leaf
+        self.excess = sizes - np.bitwise_count(maps).sum(axis=1, dtype=np.int64)
+        nodes, step = (maps, sizes, sizes, self.excess), leaf
+        self.levels = []
+        while not self.levels or len(self.levels[-1][1]) > 1:
+            at = np.arange(0, len(nodes[1]), step)
+            nodes = (np.bitwise_or.reduceat(nodes[0], at), np.minimum.reduceat(nodes[1], at), np.maximum.reduceat(nodes[2], at), np.maximum.reduceat(nodes[3], at))
+            self.levels.append(nodes)
+            step = 2
+
+    def pairs(self, percent: int, apart: np.ndarray | None = None, done: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
+        """By dual traversal, each set and those after it whose possible overlap is large enough.
+
+        apart: bit flags of each set; only pairs whose flags share no bit count.
+        done: sets that need no further partner; node pairs of such sets are dropped.
+        """
+        n, leaf = len(self.sizes), self.leaf
+        stack = [(len(self.levels) - 1, 0, 0)]
+        while stack:
+            level, a, b = stack.pop()
+            maps, low, high, excess = self.levels[level]
+            span = leaf << level
+            if done is not None and done[a * span : (a + 1) * span].all() and done[b * span : (b + 1) * span].all():
+                continue
+            if a != b:
+                if 100 * high[a] < percent * low[b]:
+                    continue
+                shared = int(np.bitwise_count(maps[a] & maps[b]).sum()) + min(excess[a], excess[b])
+                if (100 + percent) * min(shared, high[a], high[b]) < percent * (low[a] + low[b]):
+                    continue
+            if level:
+                under = len(self.levels[level - 1][1])
+                below_a, below_b = ([x for x in (2 * k, 2 * k + 1) if x < under] for k in (a, b))
+                stack += [(level - 1, x, y) for x in below_a for y in below_b if a != b or x <= y]
+                continue
+            rows_b = np.arange(b * leaf, min(n, (b + 1) * leaf))
+            for i in range(a * leaf, min(n, (a + 1) * leaf)):
+                others = rows_b[rows_b > i] if a == b else rows_b
+                if apart is not None:
+                    others = others[(apart[others] & apart[i]) == 0]
+                if len(others):
+                    shared = np.bitwise_count(self.maps[others] & self.maps[i]).sum(axis=1, dtype=np.int64) + np.minimum(self.excess[others], self.excess[i])
+                    shared = np.minimum(shared, np.minimum(self.sizes[others], self.sizes[i]))
+                    others = others[(100 + percent) * shared >= percent * (self.sizes[others] + self.sizes[i])]
+                    if len(others):
+                        yield i, others
+
+
+def bitmaps(signatures: list[bytes], width: int) -> np.ndarray:
+    """Signatures as rows of 64-bit words, the wider ones folded to the width."""
+    out = np.zeros((len(signatures), width // 64), np.uint64)
+    for i, data in enumerate(signatures):
+        words = np.frombuffer(data, np.uint64)
+        while len(words) > width // 64:
+            words = words[: len(words) // 2] | words[len(words) // 2 :]
+        out[i] = words
+    return out
+
+
+#: Flags of a row in a group: it is a guest from the next band, or of the first or the second block of a pair.
+_GUEST, _FIRST, _SECOND = 1, 2, 4
+
+
+def join_sets(cls: list[int], sets: list[np.ndarray], flags: list[int], percent: int = PERCENT) -> list[tuple[int, int]]:
+    """Links that connect what all links connect, among sets whose flags share no bit."""
     order = sorted(range(len(sets)), key=lambda i: (len(sets[i]), int(sets[i][0])))
-    cls, sets, side = [cls[i] for i in order], [sets[i] for i in order], np.array([side[i] for i in order])
+    cls, sets = [cls[i] for i in order], [sets[i] for i in order]
+    size = np.array([len(x) for x in sets], np.int64)
+    width = 64 << int(bands(size).max())
+    tree = Tree(bitmaps(signatures(np.concatenate(sets), size, width).to_pylist(), width), size)
     parent = list(range(len(sets)))
 
     def find(i: int) -> int:
@@ -221,76 +292,108 @@ def join_sets(cls: list[int], sets: list[np.ndarray], side: list[int], percent:
             i = parent[i]
         return i
 
-    tree, links = Tree(sets), []
-    two = bool(side.any())
-    den = 100 + percent
-
-    def possible(la: int, a: int, lb: int, b: int) -> bool:
-        maps_a, low_a, high_a, excess_a = tree.levels[la]
-        maps_b, low_b, high_b, excess_b = tree.levels[lb]
-        if 100 * high_a[a] < percent * low_b[b] or 100 * high_b[b] < percent * low_a[a]:
-            return False
-        shared = int(np.bitwise_count(maps_a[a] & maps_b[b]).sum()) + min(excess_a[a], excess_b[b])
-        return den * min(shared, high_a[a], high_b[b]) >= percent * (low_a[a] + low_b[b])
-
-    def leaves(a: int, b: int) -> None:
-        rows_b = np.arange(b * tree.leaf, min(len(sets), (b + 1) * tree.leaf))
-        for i in range(a * tree.leaf, min(len(sets), (a + 1) * tree.leaf)):
-            others = rows_b[rows_b > i] if a == b else rows_b
-            if two:
-                others = others[side[others] != side[i]]
-            if not len(others):
-                continue
-            shared = np.bitwise_count(tree.maps[others] & tree.maps[i]).sum(axis=1, dtype=np.int64) + np.minimum(tree.excess[others], tree.excess[i])
-            shared = np.minimum(shared, np.minimum(tree.sizes[others], tree.sizes[i]))
-            for j in others[den * shared >= percent * (tree.sizes[others] + tree.sizes[i])].tolist():
-                if find(i) != find(j):
-                    both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                    if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
-                        parent[find(j)] = find(i)
-                        links.append((cls[i], cls[j]))
-
-    top = len(tree.levels) - 1
-    stack = [(top, 0, 0)]
-    while stack:
-        level, a, b = stack.pop()
-        if a != b and not possible(level, a, level, b):
-            continue
-        if level == 0:
-            leaves(a, b)
-            continue
-        n = len(tree.levels[level - 1][1])
-        below_a, below_b = ([x for x in (2 * k, 2 * k + 1) if x < n] for k in (a, b))
-        stack += [(level - 1, x, y) for x in below_a for y in below_b if a != b or x <= y]
+    links = []
+    for i, others in tree.pairs(percent, np.array(flags)[order]):
+        for j in others.tolist():
+            if find(i) != find(j):
+                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                    parent[find(j)] = find(i)
+                    links.append((cls[i], cls[j]))
     return links
 
 
+def needed(groups: DataFrame) -> DataFrame:
+    """name and size of the groups to compare: of two classes or more, and not wholly inside another.
+
+    A group is left out if all its classes are also in the group that comes
+    first among those of its least class; names get smaller that way, so some group keeps every pair.
+    """
+    counts = groups.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.min("cls").alias("least")).where("n > 1")
+    first = groups.groupBy(F.col("cls").alias("least")).agg(F.min("name").alias("parent"))
+    inner = counts.join(first, "least").where("parent < name").select("name", "n", "parent")
+    held = groups.join(inner, "name").join(groups.select(F.col("name").alias("parent"), "cls"), ["parent", "cls"])
+    inside = held.groupBy("name", "n").agg(F.count(F.lit(1)).alias("held")).where("held = n").select("name")
+    return counts.join(inside, "name", "left_anti").select("name", "n")
+
+
+def _blocked(members: DataFrame, block: int) -> DataFrame:
+    """Rows by group (name, band) and pair of blocks (i <= j) with their flags; groups without a pair are left out."""
+    counts = members.groupBy("name", "band").agg(F.count(F.lit(1)).alias("n"), F.min("guest").alias("guests")).where("n > 1 and guests = 0").drop("guests")
+    members = members.join(counts, ["name", "band"]).withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
+    members = members.withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    flags = F.col("guest") * _GUEST + F.when(F.col("own") < F.col("other"), _FIRST).when(F.col("own") > F.col("other"), _SECOND).otherwise(0)
+    return members.select("name", "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "cls", "guest", flags.cast("int").alias("flags"))
+
+
+def prune(rows: DataFrame, percent: int) -> DataFrame:
+    """name, band, cls and guest of the rows of ``_blocked`` (with size and signature) that may have a partner in their group."""
+
+    def group(table: pa.RecordBatch, start: int, end: int) -> np.ndarray:
+        part = table.slice(start, end - start)
+        size = part.column("size").to_numpy()
+        order = np.argsort(size, kind="stable")
+        found = np.zeros(end - start, bool)
+        width = 64 << part.column("band")[0].as_py()
+        tree = Tree(bitmaps([part.column("signature")[int(k)].as_py() for k in order], width), size[order])
+        for i, others in tree.pairs(percent, part.column("flags").to_numpy()[order], found):
+            found[i] = True
+            found[others] = True
+        return order[found] + start
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.RecordBatch | None = None  # the last group may go on in the next batch
+
+        def done(table: pa.RecordBatch, last: bool) -> tuple[pa.RecordBatch, pa.RecordBatch]:
+            keys = np.stack([table.column(c).to_numpy() for c in ("name", "band", "i", "j")])
+            starts = np.flatnonzero(np.append(True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)))
+            ends = np.append(starts[1:], table.num_rows)
+            if not last:
+                starts, ends = starts[:-1], ends[:-1]
+            found = [group(table, s, e) for s, e in zip(starts.tolist(), ends.tolist(), strict=True) if e - s > 1]
+            rest = int(ends[-1]) if len(ends) else 0
+            return table.select(["name", "band", "cls", "guest"]).take(pa.array(np.concatenate([np.zeros(0, np.int64), *found]))), table.slice(rest)
+
+        for batch in batches:
+            if batch.num_rows:
+                table = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0] if held is not None and held.num_rows else batch
+                out, held = done(table, False)
+                yield out
+        if held is not None and held.num_rows:
+            yield done(held, True)[0]
+
+    dealt = rows.repartition("name", "band", "i", "j").sortWithinPartitions("name", "band", "i", "j")
+    return dealt.mapInArrow(run, "name long, band int, cls long, guest int").distinct()
+
+
 def links(docs: DataFrame, described: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, hot: int = HOT, hot_least: int = HOT_LEAST, block: int = BLOCK) -> DataFrame:
     """Pairs of classes ``a``, ``b`` that link, enough to connect all that any links connect."""
     groups = checkpointed(route(docs, frequent(docs, text_col, words, hot, hot_least), text_col, words, percent))
-    counts = groups.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    owners = described.where("size > 0").groupBy("cls").agg(F.min("key").alias("key"))
-    members = groups.join(counts, "name")
-    blocks = F.ceil(F.col("n") / block).cast("int")
-    mine = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
-    # of each pair of blocks (i <= j), a row takes part as i (side 0) or as j (side 1)
-    members = members.withColumn("blocks", blocks).withColumn("own", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    members = members.select("name", "cls", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"))
-    used = groups.join(counts, "name", "left_semi").select("cls").distinct().join(owners, "cls")
+    owners = described.where("size > 0").groupBy("cls").agg(F.min("key").alias("key"), F.max("size").alias("size"))
+    size = F.col("size")
+    own = sum((size > (32 << k)).cast("int") for k in range(LAST_BAND))
+    # a set that may match one of the band before is a guest there
+    near = (own > 0) & (percent * size <= 3200 * F.pow(F.lit(2), own - 1))
+    places = F.when(near, F.array(F.struct(own.alias("band"), F.lit(0).alias("guest")), F.struct((own - 1).alias("band"), F.lit(1).alias("guest")))).otherwise(F.array(F.struct(own.alias("band"), F.lit(0).alias("guest"))))
+    members = groups.join(needed(groups), "name").join(owners.select("cls", F.explode(places).alias("place")), "cls").select("name", "cls", "place.*")
+    marks = described.where("size > 0").select("cls", "key", "size", "signature").join(owners.select("key"), "key", "left_semi").dropDuplicates(["key"]).drop("key")
+    kept = checkpointed(prune(_blocked(members, block).join(marks, "cls"), percent))
+
+    place = F.struct("name", "band", "i", "j", "flags")
+    used = _blocked(kept, block).groupBy("cls").agg(F.collect_list(place).alias("places")).join(owners, "cls")
     texts = docs.select(F.xxhash64(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
-    texts = used.join(texts, "key").dropDuplicates(["cls"]).select("cls", "text")
+    placed = used.join(texts, "key").dropDuplicates(["key"]).select("cls", "text", F.explode("places").alias("place")).select("cls", "text", "place.*")
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        batch = table.to_batches()[0]
+        batch = table.combine_chunks().to_batches()[0]
         sets: list[np.ndarray] = []
         for chunk in _text.chunks(iter([batch]), "text"):
             values, bounds = shingles(*_text.text_bytes(chunk.column("text")), words)
             sets += [values[bounds[k] : bounds[k + 1]] for k in range(len(chunk))]
-        found = join_sets(batch.column("cls").to_pylist(), sets, batch.column("side").to_pylist(), percent)
+        found = join_sets(batch.column("cls").to_pylist(), sets, batch.column("flags").to_pylist(), percent)
         return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
-    return members.join(texts, "cls").groupBy("name", "i", "j").applyInArrow(run, "a long, b long")
+    return placed.groupBy("name", "band", "i", "j").applyInArrow(run, "a long, b long")
 
 
 def _grouped(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, tuning: dict[str, int]) -> DataFrame:
