@@ -36,7 +36,7 @@ def band_profile(image: DataFrame, lanes: DataFrame, length: int, least: int = 1
     """
     reach = max(length, least)
     near = (F.col("y") >= F.col("y_center") - reach) & (F.col("y") < F.col("y_center") + reach)
-    return image.join(F.broadcast(lanes.select("fov", "lane_index", "y_center")), "fov").where(near).groupBy("fov", "lane_index", "x").agg(F.avg("v").alias("profile"))
+    return image.join(lanes.select("fov", "lane_index", "y_center"), "fov").where(near).groupBy("fov", "lane_index", "x").agg(F.avg("v").alias("profile"))
 
 
 def downsample(image: DataFrame, factor: int) -> DataFrame:
