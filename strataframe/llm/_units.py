@@ -96,10 +96,7 @@ def repeated(docs: DataFrame, split: Callable, runs: Runs, id_col: str = "doc_id
 
 
 def remove(docs: DataFrame, spans: DataFrame, split: Callable, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The id (or the columns of ``keep``), the text without the units of its spans, ``units`` and ``removed``.
-
-    ``units`` and ``removed`` are null where nothing was removed.
-    """
+    """The id (or the columns of ``keep``), the text without the units of its spans, and the numbers of its units and of those removed."""
     spans = spans.groupBy("ord", "key").agg(F.collect_list("start").alias("__starts"), F.collect_list("end").alias("__ends"))
     names = keep or [id_col, text_col]
     schema = T.StructType(list(docs.select(*names).schema)).add("units", "integer").add("removed", "integer")
@@ -134,6 +131,4 @@ def remove(docs: DataFrame, spans: DataFrame, split: Callable, id_col: str = "do
                 columns[place] = pa.compute.if_else(null, pa.scalar(None, pa.string()), out)
             yield pa.RecordBatch.from_arrays([*columns, pa.array(np.diff(units.bounds).astype(np.int32)), pa.array(np.diff(gone_sum).astype(np.int32))], names=schema.names)
 
-    touched = rows.where("__starts is not null").mapInArrow(cut, schema)
-    same = rows.where("__starts is null").select(*names, F.lit(None).cast("int").alias("units"), F.lit(None).cast("int").alias("removed"))
-    return touched.unionAll(same)
+    return rows.mapInArrow(cut, schema)

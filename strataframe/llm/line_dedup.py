@@ -50,5 +50,5 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, keep: list[str] | None = None) -> DataFrame:
-    """The id (or ``keep``), the text without later repeated runs, and the numbers of its lines and of those removed (null: none)."""
+    """The id (or ``keep``), the text without later repeated runs, and the numbers of its lines and of those removed."""
     return _units.remove(docs, repeated_runs(docs, id_col, text_col, min_words), _units.line_units, id_col, text_col, keep)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, jaccard_join, language_id, line_dedup, neighbours, quality, sentencepiece_codec, sharding, span_dedup, surrogates
+from . import decontaminate, jaccard_join, language_id, line_dedup, neighbours, quality, sentencepiece_codec, sharding, span_dedup, sql, surrogates
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,14 +50,6 @@ def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
-OP5_SQL = """WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
- WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
-p AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, sqrt(list_reduce(list_transform(range(1, len(q.e) + 1), lambda i: (q.e[i] - c.e[i]) * (q.e[i] - c.e[i])), lambda a, b: a + b)) AS score
- FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
-r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INT) AS rank, vec_id, score FROM p)
-SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10"""
-
-
 def op6_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.pseudonymise(_table(spark, sf_dir, "documents"), secret="a key that a user sets")
 
@@ -66,25 +58,14 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.linked(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
-OP7_SQL = r"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
-s AS (SELECT DISTINCT doc_id, CASE WHEN len(ws) < 5 THEN array_to_string(ws, ' ') ELSE array_to_string(ws[i:i + 4], ' ') END AS sh
- FROM w, LATERAL (SELECT unnest(range(1, greatest(2, len(ws) - 3))) AS i) WHERE len(ws) > 0),
-n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY 1, 2),
-l AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * shared >= 75 * (nx.n + ny.n - shared)),
-r(doc_id, seen) AS (SELECT doc_id, doc_id FROM documents UNION SELECT l.y, r.seen FROM r JOIN l ON r.doc_id = l.x WHERE r.seen < l.y)
-SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, r.least AS component_id FROM documents d LEFT JOIN n USING (doc_id)
-JOIN (SELECT doc_id, min(seen) AS least FROM r GROUP BY doc_id) r USING (doc_id)"""
-
-
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
-    return done.withColumnsRenamed({"units": "lines"}).fillna(0, ["removed"])
+    return done.withColumnsRenamed({"units": "lines"})
 
 
 def op9_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = span_dedup.dedup_spans(_table(spark, sf_dir, "documents"))
-    return done.withColumnsRenamed({"units": "sentences"}).fillna(0, ["removed"])
+    return done.withColumnsRenamed({"units": "sentences"})
 
 
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,4 +78,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_neighbours": OP5_SQL, "op7_jaccard_join": OP7_SQL}
+    return dict(sql.ORACLE)

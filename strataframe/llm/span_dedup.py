@@ -44,6 +44,6 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, min_words: int = MIN_WORDS, long_words: int = LONG_WORDS) -> DataFrame:
-    """The id, the text without non-first repeated spans, and the numbers of its sentences and of those removed (null: none)."""
+    """The id, the text without non-first repeated spans, and the numbers of its sentences and of those removed."""
     found = repeated_spans(docs, id_col, text_col, span, min_words, long_words)
     return _units.remove(docs, found, _units.sentence_units, id_col, text_col)
