@@ -99,19 +99,19 @@ def ftrl(examples: list[tuple[np.ndarray, np.ndarray, int]], epochs: int, alpha:
 
 
 def train(labelled: DataFrame, text_col: str = "text", label_col: str = "quality", key: Column | None = None, max_rows: int = TRAIN_ROWS, parts: int = 4) -> np.ndarray | None:
-    """Weights fitted on at most ``max_rows`` labelled rows, those whose hashed key is smallest.
+    """Weights fitted on at most ``max_rows`` labelled rows, those whose hashed key is smallest; rows of one key count once.
 
     Up to ``parts`` models are fitted beside each other on a share of the rows
     each and then averaged, so no task has more than ``max_rows / parts`` rows, give
     or take; the driver gets at most ``parts`` times the number of weights.
     """
     rows = labelled.select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label"), F.xxhash64(key if key is not None else F.col(text_col)).alias("key")).where("label is not null")
-    kept = rows.select("key", "label").orderBy("key").limit(max_rows)
+    kept = rows.select("key").distinct().orderBy("key").limit(max_rows)
     limit = kept.agg(F.max("key"), F.count(F.lit(1))).first()
     if not limit[1]:
         return None
     parts = max(1, min(parts, limit[1] // 1000))  # a few rows make one model
-    rows = rows.where(F.col("key") <= F.lit(limit[0])).withColumn("part", F.pmod("key", F.lit(parts)))
+    rows = rows.where(F.col("key") <= F.lit(limit[0])).dropDuplicates(["key"]).withColumn("part", F.pmod("key", F.lit(parts)))
 
     def fit(key: tuple, table: pa.Table) -> pa.Table:
         table = table.sort_by([("key", "ascending"), ("label", "ascending")])
