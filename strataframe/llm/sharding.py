@@ -39,11 +39,11 @@ def assign_shards(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col
 
     order = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # over one row a range
     totals = dealt.groupBy("part").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
-    begins = totals.select("part", F.coalesce(F.sum("bytes").over(order), F.lit(0)).alias("byte0"), F.coalesce(F.sum("rows").over(order), F.lit(0)).alias("row0"))
-    whole = totals.agg(F.sum("bytes").alias("whole"))
+    all_parts = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    begins = totals.select("part", F.coalesce(F.sum("bytes").over(order), F.lit(0)).alias("byte0"), F.coalesce(F.sum("rows").over(order), F.lit(0)).alias("row0"), F.sum("bytes").over(all_parts).alias("whole"))
 
     within = Window.partitionBy("part").orderBy("doc_id", "row")
-    placed = dealt.join(F.broadcast(begins.crossJoin(whole)), "part").select(
+    placed = dealt.join(F.broadcast(begins), "part").select(
         "doc_id", "size", "text_crc32",
         (F.col("byte0") + F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")).alias("before"),
         (F.col("row0") + F.row_number().over(within) - 1).alias("place"),
