@@ -2,10 +2,12 @@
 
 A text is cut into units that together hold all its bytes.  A run of units is
 repeated if the same run stands in a document of a smaller id, or earlier in
-the same text.  Runs are compared by a hash of their units' contents; the
+the same text.  Runs are compared by a hash of their units' contents.  The
 first owner of each hash is an aggregate (combined in each task before the
-shuffle), and the runs are joined with it, so a run that stands in a third of
-all documents is spread over tasks by the adaptive skew join.
+shuffle) and stored as a table; runs are looked up in it, the most common ones
+in a bounded table that all tasks have, so no task gets all rows of a common run.
+Texts are shuffled once, to meet their spans; spans of a text are a set, so repeated
+rows don't add up.
 """
 
 from __future__ import annotations
@@ -15,9 +17,10 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from . import _text
+from ._shared import looked_up, stored
 
 
 class Units:
@@ -57,58 +60,73 @@ def _inside(at: np.ndarray, buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return at[(at < len(buf)) & ~np.isin(at, offsets)]
 
 
-#: Of units to (first unit, unit after the last) of all runs that count, and a fingerprint of each.
-Runs = Callable[[Units], tuple[np.ndarray, np.ndarray, np.ndarray]]
+#: Of units to (first unit, unit after the last) of all runs that count.
+Runs = Callable[[Units], tuple[np.ndarray, np.ndarray]]
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """ord: the id as an order, nulls last; key: id and text, so repeated rows share a key."""
-    return docs.withColumns({"__ord": F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)), "__key": F.xxhash64(F.col(id_col), F.col(text_col))})
+def _keys(id_col: str, text_col: str) -> list[Column]:
+    return [F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("ord"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("key"), F.col(text_col).alias("text")]
+
+
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """ord: the id as an order, nulls last; key: id and text, so repeated rows share a key; and the text."""
+    return docs.select(*_keys(id_col, text_col))
+
+
+def hashed(units: Units, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of each run, and whether the same run stands earlier in its text."""
+    whole = _text.Prefix(units.hash).spans(start, end)
+    row = units.row[start]
+    order = np.lexsort((start, whole, row))
+    again = np.zeros(len(start), bool)
+    again[order[1:]] = (whole[order[1:]] == whole[order[:-1]]) & (row[order[1:]] == row[order[:-1]])
+    return whole.view(np.int64), again
+
+
+def owners(found: DataFrame, value: str) -> DataFrame:
+    """A stored table of the values that stand twice or more: value, first (the least ord that has it), and the number n of its rows."""
+    of = found.groupBy(value).agg(F.min("ord").alias("first"), F.max("ord").alias("last"), F.max(F.col("again").cast("int")).alias("twice"), F.count(F.lit(1)).alias("n"))
+    return stored(of.where("first < last or twice = 1").drop("last", "twice"))
+
+
+def later(found: DataFrame) -> DataFrame:
+    """ord, key, start and end of every run (``run``, ``again``) that is not the first of its content."""
+    return looked_up(found, owners(found, "run"), "run", ["key", "start", "end"]).where("ord > first or again").select("ord", "key", "start", "end")
 
 
 def repeated(docs: DataFrame, split: Callable, runs: Runs, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """ord, key, and the units ``start`` to ``end`` (after the last) of every run that is not the first of its content."""
-    thin = _keyed(docs.select(id_col, text_col), id_col, text_col).select(F.col("__ord").alias("ord"), F.col("__key").alias("key"), F.col(text_col).alias("text"))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in _text.chunks(batches, "text"):
             units = split(*_text.text_bytes(chunk.column("text")))
-            if not len(units.start):
-                continue
-            start, end, mark = runs(units)
+            start, end = runs(units) if len(units.start) else (units.start, units.start)
             if not len(start):
                 continue
-            whole = _text.Prefix(units.hash).spans(start, end)
+            whole, again = hashed(units, start, end)
             row = units.row[start]
-            order = np.lexsort((start, whole, row))
-            again = np.zeros(len(start), bool)
-            again[order[1:]] = (whole[order[1:]] == whole[order[:-1]]) & (row[order[1:]] == row[order[:-1]])
             base = units.bounds[row]
             yield pa.record_batch({
-                "ord": chunk.column("ord").take(pa.array(row)), "key": chunk.column("key").take(pa.array(row)),
-                "mark": mark.view(np.int64), "run": whole.view(np.int64), "again": again,
+                "ord": chunk.column("ord").take(pa.array(row)), "key": chunk.column("key").take(pa.array(row)), "run": whole, "again": again,
                 "start": (start - base).astype(np.int32), "end": (end - base).astype(np.int32),
             })
 
-    found = thin.mapInArrow(emit, "ord long, key long, mark long, run long, again boolean, start int, end int")
-    first = found.groupBy("mark", "run").agg(F.min("ord").alias("first"), F.max("ord").alias("last"), F.max(F.col("again").cast("int")).alias("twice")).where("first < last or twice = 1").drop("last", "twice")
-    return found.join(first, ["mark", "run"]).where("ord > first or again").select("ord", "key", "start", "end")
+    return later(keyed(docs, id_col, text_col).mapInArrow(emit, "ord long, key long, run long, again boolean, start int, end int"))
 
 
-def remove(docs: DataFrame, spans: DataFrame, split: Callable, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The id (or the columns of ``keep``), the text without the units of its spans, and the numbers of its units and of those removed."""
-    spans = spans.groupBy("ord", "key").agg(F.collect_list("start").alias("__starts"), F.collect_list("end").alias("__ends"))
-    names = keep or [id_col, text_col]
-    schema = T.StructType(list(docs.select(*names).schema)).add("units", "integer").add("removed", "integer")
-    rows = _keyed(docs.select(*names), id_col, text_col)
-    rows = rows.join(spans.withColumnsRenamed({"ord": "__ord", "key": "__key"}), ["__ord", "__key"], "left").drop("__ord", "__key")
-    place = names.index(text_col)
+def remove(docs: DataFrame, spans: DataFrame, split: Callable, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``row`` (a struct of the columns of ``docs``, the text without the units of its spans), and the numbers ``units`` and ``removed``."""
+    others = [c for c in docs.columns if c != text_col]
+    rows = docs.select(F.struct(*others).alias("row"), *_keys(id_col, text_col))
+    spans = stored(spans.groupBy("ord", "key").agg(F.collect_set(F.struct("start", "end")).alias("spans")))
+    rows = rows.join(spans, ["ord", "key"], "left").select("row", "text", F.col("spans.start").alias("starts"), F.col("spans.end").alias("ends"))
+    schema = T.StructType([rows.schema["row"], rows.schema["text"]]).add("units", "integer").add("removed", "integer")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in _text.chunks(batches, text_col):
-            buf, offsets = _text.text_bytes(chunk.column(text_col))
+        for chunk in _text.chunks(batches, "text"):
+            buf, offsets = _text.text_bytes(chunk.column("text"))
             units = split(buf, offsets)
-            starts, ends = chunk.column("__starts"), chunk.column("__ends")
+            starts, ends = chunk.column("starts"), chunk.column("ends")
             count = starts.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
             base = np.repeat(units.bounds[:-1], count)
             depth = np.zeros(len(units.start) + 1, np.int64)
@@ -123,12 +141,29 @@ def remove(docs: DataFrame, spans: DataFrame, split: Callable, id_col: str = "do
                 at = int(np.searchsorted(solid, offsets[row + 1])) - 1
                 stays[max(offsets[row], solid[at] + 1 if at >= 0 else 0) : offsets[row + 1]] = False
             lengths = np.concatenate(([0], np.cumsum(stays)))[offsets]
-            out = pa.LargeStringArray.from_buffers(len(chunk), pa.py_buffer(lengths.astype(np.int64)), pa.py_buffer(buf[stays])).cast(pa.string())
-            null = chunk.column(text_col).is_null()
+            text = pa.LargeStringArray.from_buffers(len(chunk), pa.py_buffer(lengths.astype(np.int64)), pa.py_buffer(buf[stays])).cast(pa.string())
+            if chunk.column("text").null_count:
+                text = pa.compute.if_else(chunk.column("text").is_null(), pa.scalar(None, pa.string()), text)
             gone_sum = np.concatenate(([0], np.cumsum(gone)))[units.bounds]
-            columns = [out if i == place else c for i, c in enumerate(chunk.columns[: len(names)])]
-            if chunk.column(text_col).null_count:
-                columns[place] = pa.compute.if_else(null, pa.scalar(None, pa.string()), out)
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(np.diff(units.bounds).astype(np.int32)), pa.array(np.diff(gone_sum).astype(np.int32))], names=schema.names)
+            yield pa.RecordBatch.from_arrays([chunk.column("row"), text, pa.array(np.diff(units.bounds).astype(np.int32)), pa.array(np.diff(gone_sum).astype(np.int32))], names=schema.names)
+
+    row = F.struct(*(F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns))
+    return rows.mapInArrow(cut, schema).select(row.alias("row"), "units", "removed")
+
+
+def counted(done: DataFrame, id_col: str, text_col: str, units: str) -> DataFrame:
+    """The id, the text, and the numbers of units (under their name) and of removed ones."""
+    return done.select(f"row.`{id_col}`", f"row.`{text_col}`", F.col("units").alias(units), "removed")
+
 
-    return rows.mapInArrow(cut, schema)
+def remaining(done: DataFrame, text_col: str, length_col: str = "n_chars") -> DataFrame:
+    """The columns of the table alone, without rows of which nothing is left; the number of characters follows the text where it has changed."""
+    names, schema = done.schema["row"].dataType.names, done.schema["row"].dataType
+    text = F.col(f"row.`{text_col}`")
+    columns = []
+    for c in names:
+        value = F.col(f"row.`{c}`")
+        if c == length_col and isinstance(schema[c].dataType, T.IntegralType):
+            value = F.when(F.col("removed") > 0, F.length(text).cast(schema[c].dataType)).otherwise(value)
+        columns.append(value.alias(c))
+    return done.where((F.col("removed") == 0) | (F.length(text) > 0)).select(*columns)

@@ -59,13 +59,11 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
-    return done.withColumnsRenamed({"units": "lines"})
+    return line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
 
 
 def op9_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = span_dedup.dedup_spans(_table(spark, sf_dir, "documents"))
-    return done.withColumnsRenamed({"units": "sentences"})
+    return span_dedup.dedup_spans(_table(spark, sf_dir, "documents"))
 
 
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,9 +37,11 @@ t AS (SELECT doc_id, coalesce(string_agg(part, '' ORDER BY i) FILTER (NOT gone),
 SELECT d.doc_id, CASE WHEN t.cut THEN rtrim(t.text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) ELSE coalesce(t.text, d.text) END AS text, CAST(coalesce(t.n, 0) AS INT) AS lines, CAST(coalesce(t.removed, 0) AS INT) AS removed FROM d LEFT JOIN t USING (doc_id)"""
 
 OP9_SQL = r"""WITH d AS (SELECT doc_id, text, list_filter(string_split(regexp_replace(text, '([.!?][ \t\r\x0B\f]|\n)', '\1' || chr(1), 'g'), chr(1)), lambda x: x <> '') AS s FROM documents),
-u AS (SELECT doc_id, len(s) AS n, i, s[i] AS part, trim(s[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS k, len(regexp_extract_all(s[i], '[^\x20\x09-\x0D]+')) AS w FROM d, LATERAL (SELECT unnest(range(1, len(s) + 1)) AS i)),
-r AS (SELECT doc_id, i, i + 2 AS e, k || chr(1) || lead(k, 1) OVER o || chr(1) || lead(k, 2) OVER o AS run, w + lead(w, 1) OVER o + lead(w, 2) OVER o AS words FROM u WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
-a AS (SELECT doc_id, i, e, run FROM r WHERE words >= 10 UNION ALL SELECT doc_id, i, i, k FROM u WHERE w >= 12),
+k AS (SELECT doc_id, list_transform(s, lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) AS keys FROM d),
+u AS (SELECT doc_id, len(s) AS n, i, s[i] AS part, len(regexp_extract_all(s[i], '[^\x20\x09-\x0D]+')) AS w FROM d, LATERAL (SELECT unnest(range(1, len(s) + 1)) AS i)),
+c AS (SELECT *, CAST(sum(w) OVER (PARTITION BY doc_id ORDER BY i) AS BIGINT) AS upto FROM u),
+r AS (SELECT a.doc_id, a.i, min(b.i) AS e FROM c a JOIN c b ON b.doc_id = a.doc_id AND b.i > a.i AND b.upto - a.upto + a.w >= 20 GROUP BY 1, 2),
+a AS (SELECT doc_id, i, e, array_to_string(keys[i:e], chr(1)) AS run FROM r JOIN k USING (doc_id)),
 later AS (SELECT doc_id, i, e FROM (SELECT *, min(doc_id) OVER (PARTITION BY run) AS first, row_number() OVER (PARTITION BY run, doc_id ORDER BY i) AS nth FROM a) WHERE doc_id > first OR nth > 1),
 gone AS (SELECT DISTINCT doc_id, unnest(range(i, e + 1)) AS i FROM later),
 j AS (SELECT u.doc_id, u.i, u.n, u.part, gone.i IS NOT NULL AS gone FROM u LEFT JOIN gone ON gone.doc_id = u.doc_id AND gone.i = u.i),

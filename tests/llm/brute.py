@@ -14,22 +14,42 @@ def sentences(text):
     return [x for x in re.split(r"(?<=\n)|(?<=[.!?][ \t\r\v\f])", text) if x]
 
 
-def line_runs(words, least=8):
-    found = set()
+def sentence_runs(words, span=2, least=20):
+    """From every sentence on the shortest run of enough sentences and words."""
+    found = []
     for i in range(len(words)):
-        for e in range(i, len(words)):
-            if sum(words[i : e + 1]) >= least:
-                found.add((i, e + 1))
+        for e in range(i + span, len(words) + 1):
+            if sum(words[i:e]) >= least:
+                found.append((i, e))
                 break
-        for s in range(i, -1, -1):
-            if sum(words[s : i + 1]) >= least:
-                found.add((s, i + 1))
-                break
-    return sorted(found)
-
-
-def sentence_runs(words):
-    return sorted([(i, i + 3) for i in range(len(words) - 2) if sum(words[i : i + 3]) >= 10] + [(i, i + 1) for i, n in enumerate(words) if n >= 12])
+    return found
+
+
+def dedup_maximal(docs, least=8):
+    """{(id, text): text without lines of repeated runs}, by the maximal common runs of every two places, without windows or hashes."""
+    cut = {}
+    for i, t in set(docs):
+        parts = lines(t or "")
+        cut[i, t] = [x.strip(SPACE) for x in parts], [len(WORD.findall(x)) for x in parts], parts
+    order = lambda i: 1 << 63 if i is None else i
+    out = {}
+    for (i, t), (keys, words, parts) in cut.items():
+        gone = set()
+        for (j, u), (others, _, _) in cut.items():
+            if order(j) > order(i) or (order(j) == order(i) and u != t):
+                continue
+            for a in range(len(keys)):
+                for b in range(len(others) if (i, t) != (j, u) else a):
+                    if keys[a] != others[b] or (a and b and keys[a - 1] == others[b - 1]):
+                        continue
+                    n = 0
+                    while a + n < len(keys) and b + n < len(others) and keys[a + n] == others[b + n]:
+                        n += 1
+                    if sum(words[a : a + n]) >= least:
+                        gone |= set(range(a, a + n))
+        left = "".join(x for k, x in enumerate(parts) if k not in gone)
+        out[i, t] = t if not t else left.rstrip(SPACE) if len(parts) - 1 in gone else left
+    return out
 
 
 def dedup(docs, split, runs):
