@@ -9,8 +9,12 @@ Each n-gram is hashed to one of ``2 ** BITS`` weights; a feature's value is its
 share of the text's n-grams, times ``SCALE``.
 
 Cases: a null or empty text has no n-grams and gets the score of the bias
-alone; rows with a null label don't train; without any training row the score
-is 0.5; an empty table gives an empty result; repeated rows score alike.
+alone; rows with a null label don't train; of training rows with the same key the
+one of the smallest text, then label, counts; without any training row the score
+is 0.5; a very long text is scored whole (its n-grams are summed in one
+chunk); repeated rows score alike; other columns may have any name, and where
+``keep`` or ``extra`` holds the name of the score's column, choose another with ``into``;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -19,14 +23,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from . import _text
+from ._shared import unused
 
 BITS = 18
 SCALE = 30.0
 #: At most about so many labelled rows are fitted, those of the smallest hash; every row is scored.
 TRAIN_ROWS = 20_000
+#: ... and so many bytes of their texts, so that a few very long ones can't fill a task (the first row always counts).
+TRAIN_BYTES = 256 << 20
 #: A part's rows are gone over until it has made about so many updates, between 2 and 20 times.
 UPDATES = 10_000
 
@@ -98,7 +105,7 @@ def ftrl(examples: list[tuple[np.ndarray, np.ndarray, int]], epochs: int, alpha:
     return weight(np.arange(len(z)))
 
 
-def train(labelled: DataFrame, text_col: str = "text", label_col: str = "quality", key: Column | None = None, max_rows: int = TRAIN_ROWS, parts: int = 4) -> np.ndarray | None:
+def train(labelled: DataFrame, text_col: str = "text", label_col: str = "quality", key: Column | None = None, max_rows: int = TRAIN_ROWS, max_bytes: int = TRAIN_BYTES, parts: int = 4) -> np.ndarray | None:
     """Weights fitted on at most ``max_rows`` labelled rows, those whose hashed key is smallest; rows of one key count once.
 
     Up to ``parts`` models are fitted beside each other on a share of the rows
@@ -106,12 +113,13 @@ def train(labelled: DataFrame, text_col: str = "text", label_col: str = "quality
     or take; the driver gets at most ``parts`` times the number of weights.
     """
     rows = labelled.select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label"), F.xxhash64(key if key is not None else F.col(text_col)).alias("key")).where("label is not null")
-    kept = rows.select("key").distinct().orderBy("key").limit(max_rows)
-    limit = kept.agg(F.max("key"), F.count(F.lit(1))).first()
+    kept = rows.groupBy("key").agg(F.min(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")).alias("size")).orderBy("key").limit(max_rows)
+    before = F.sum("size").over(Window.orderBy("key").rowsBetween(Window.unboundedPreceding, 0)) - F.min("size").over(Window.orderBy("key").rowsBetween(Window.unboundedPreceding, 0))  # at most max_rows thin rows
+    limit = kept.withColumn("before", before).where(F.col("before") <= max_bytes).agg(F.max("key"), F.count(F.lit(1))).first()
     if not limit[1]:
         return None
     parts = max(1, min(parts, limit[1] // 1000))  # a few rows make one model
-    rows = rows.where(F.col("key") <= F.lit(limit[0])).dropDuplicates(["key"]).withColumn("part", F.pmod("key", F.lit(parts)))
+    rows = rows.where(F.col("key") <= F.lit(limit[0])).groupBy("key").agg(F.min(F.struct("text", "label")).alias("row")).select("key", "row.*").withColumn("part", F.pmod("key", F.lit(parts)))
 
     def fit(key: tuple, table: pa.Table) -> pa.Table:
         table = table.sort_by([("key", "ascending"), ("label", "ascending")])
@@ -135,15 +143,23 @@ def train(labelled: DataFrame, text_col: str = "text", label_col: str = "quality
 def score(docs: DataFrame, weights: np.ndarray | None, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None, extra: dict[str, Column] | None = None, into: str = "score") -> DataFrame:
     """id (or the columns of ``keep``), the columns of ``extra``, and the score of every row in the column ``into``."""
     cols = keep or [id_col]
-    docs = docs.select(*cols, *(c.alias(k) for k, c in (extra or {}).items()), F.col(text_col).alias("__text"))
-    schema = T.StructType([f for f in docs.schema if f.name != "__text"]).add(into, "double")
+    docs = docs.select(*cols, *(c.alias(k) for k, c in (extra or {}).items()), F.col(text_col))
+    docs = docs.toDF(*docs.columns[:-1], unused(docs, "__text")[0])
+    schema = T.StructType(docs.schema.fields[:-1]).add(into, "double")
+    text = docs.columns[-1]
     w = weights if weights is not None else np.zeros((1 << BITS) + 1, np.float32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in _text.chunks(batches, "__text", 1 << 20):
-            grams, bounds = features(*_text.text_bytes(chunk.column("__text")))
+        for chunk in _text.chunks(batches, text, 1 << 20):
+            grams, bounds = features(*_text.text_bytes(chunk.column(text)))
             sums = np.concatenate(([0.0], np.cumsum(w[grams], dtype=np.float64)))
             dot = SCALE * (sums[bounds[1:]] - sums[bounds[:-1]]) / np.maximum(1, np.diff(bounds)) + float(w[-1])
             yield pa.RecordBatch.from_arrays([*chunk.columns[:-1], pa.array(1 / (1 + np.exp(-np.clip(dot, -35, 35))))], names=schema.names)
 
     return docs.mapInArrow(run, schema)
+
+
+def keep_good(docs: DataFrame, weights: np.ndarray | None, least: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose score is ``least`` or more."""
+    (into,) = unused(docs, "__score")
+    return score(docs, weights, text_col=text_col, keep=docs.columns, into=into).where(F.col(into) >= least).drop(into)

@@ -13,12 +13,15 @@ together give back the two (checked once a pair, then remembered), which
 makes the path of each word the model's own encoding.
 
 Words are cut before each run of spaces, which no piece crosses; a vocabulary
-with a piece that does is refused.  A task remembers the words it has encoded, up to a bound.
+with a piece that does is refused, and so is a model that isn't BPE or that changes texts
+before encoding.  A task remembers the words it has encoded, up to a bound.
 
 Cases: a null text gives null ids and null text; an empty text no ids; a
 character outside the vocabulary becomes its bytes; the sign U+2581 decodes as a space,
-as in the reference library; repeated rows encode alike; empty tables give
-empty results.
+as in the public library; repeated rows encode alike; a very long text is
+encoded whole, its distinct words in blocks; a column of the input named like one of the results (ids,
+n_tokens, decoded, round_trip) gives way to it, and other columns may have any name; empty
+tables give empty results.
 """
 
 from __future__ import annotations
@@ -31,6 +34,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from . import _text
+from ._shared import unused
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -40,11 +44,50 @@ WORDS, PAIRS = 400_000, 2_000_000
 BLOCK = 200_000
 
 
+def _fields(data: bytes) -> dict[int, list[int | bytes]]:
+    """The fields of a protocol buffer message by number: whole numbers, or bytes."""
+    at, out = 0, {}
+
+    def number() -> int:
+        nonlocal at
+        value, shift = 0, 0
+        while True:
+            byte, at = data[at], at + 1
+            value |= (byte & 127) << shift
+            if byte < 128:
+                return value
+            shift += 7
+
+    while at < len(data):
+        tag = number()
+        kind = tag & 7
+        size = {0: 0, 1: 8, 5: 4}.get(kind)
+        if kind == 0:
+            value: int | bytes = number()
+        else:
+            size = number() if size is None else size
+            value, at = data[at : at + size], at + size
+        out.setdefault(tag >> 3, []).append(value)
+    return out
+
+
+def _check(proto: bytes) -> None:
+    """ValueError unless the model is BPE (type 2 of its trainer's field 3), adds a space in front, and keeps characters and white space as they are."""
+    model = _fields(proto)
+    trainer, normalizer = (_fields(b"".join(model.get(k, []))) for k in (2, 3))
+    if trainer.get(3, [1]) != [2]:
+        raise ValueError("only BPE models are supported")
+    changes, dummy, shrinks = normalizer.get(2, [b""])[-1], normalizer.get(3, [1])[-1], normalizer.get(4, [1])[-1]
+    if changes or not dummy or shrinks:
+        raise ValueError("the model changes texts before it encodes them")
+
+
 def load(path: str) -> dict:
     """Pieces, their scores and what kind each is, read on the driver; its size is the vocabulary's."""
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
+    _check(sp.serialized_model_proto())
     n = sp.get_piece_size()
     plain = [not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i)) for i in range(n)]
     pieces = [sp.id_to_piece(i) for i in range(n)]
@@ -259,17 +302,23 @@ def _codec(model: dict) -> Codec:
     return _codecs[key]
 
 
+def _rows(docs: DataFrame, keep: list[str] | None, text_col: str, results: tuple[str, ...]) -> tuple[DataFrame, str]:
+    """The kept columns but those named like results, and the text under an unused name, which is the last."""
+    names = [c for c in keep or docs.columns if c.lower() not in results]
+    (text,) = unused(docs, "__text")
+    return docs.select(*names, F.col(text_col).alias(text)), text
+
+
 def encode(docs: DataFrame, model_path: str = MODEL, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns of ``keep`` (all, if not given), ``ids`` and ``n_tokens`` of every row."""
     model = load(model_path)
-    names = keep or docs.columns
-    rows = docs.select(*names, F.col(text_col).alias("__text"))
-    schema = T.StructType(list(docs.select(*names).schema)).add("ids", T.ArrayType(T.IntegerType(), False)).add("n_tokens", "integer")
+    rows, text_name = _rows(docs, keep, text_col, ("ids", "n_tokens"))
+    schema = T.StructType(rows.schema.fields[:-1]).add("ids", T.ArrayType(T.IntegerType(), False)).add("n_tokens", "integer")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(model)
-        for chunk in _text.chunks(batches, "__text"):
-            text = chunk.column("__text")
+        for chunk in _text.chunks(batches, text_name):
+            text = chunk.column(text_name)
             tokens, bounds = codec.encode(text.to_pylist())
             null = text.is_null().to_numpy(zero_copy_only=False)
             count = np.diff(bounds)
@@ -305,14 +354,13 @@ def decode(rows: DataFrame, model_path: str = MODEL, ids_col: str = "ids", into:
 def round_trip(docs: DataFrame, model_path: str = MODEL, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``encode`` and ``decode`` in one task: the columns of ``keep``, ids, n_tokens, decoded, and whether it equals the text."""
     model = load(model_path)
-    names = keep or docs.columns
-    rows = docs.select(*names, F.col(text_col).alias("__text"))
-    schema = T.StructType(list(docs.select(*names).schema)).add("ids", T.ArrayType(T.IntegerType(), False)).add("n_tokens", "integer").add("decoded", "string").add("round_trip", "boolean")
+    rows, text_name = _rows(docs, keep, text_col, ("ids", "n_tokens", "decoded", "round_trip"))
+    schema = T.StructType(rows.schema.fields[:-1]).add("ids", T.ArrayType(T.IntegerType(), False)).add("n_tokens", "integer").add("decoded", "string").add("round_trip", "boolean")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(model)
-        for chunk in _text.chunks(batches, "__text"):
-            text = chunk.column("__text")
+        for chunk in _text.chunks(batches, text_name):
+            text = chunk.column(text_name)
             tokens, bounds = codec.encode(text.to_pylist())
             data, offsets = codec.decode(tokens, bounds)
             back = pa.LargeStringArray.from_buffers(len(chunk), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data)).cast(pa.string())

@@ -89,3 +89,79 @@ def test_quality_cases(spark):
     assert score[2] == score[3] < 0.3 < score[4] and score[0] == score[1]
     assert quality.train(spark.createDataFrame([], "text string, quality int")) is None
     assert quality.score(docs.limit(0), weights).count() == 0
+
+
+def test_languages_equal_plain_bundles(spark):
+    """Trigram by trigram, letter by letter; languages apart only by letters beyond a-z; equal cosines; blocks and a small cache."""
+    train = [("кіт і пес їдять", "uk"), ("кот и пёс едят", "ru"), ("the cat eats", "en"), ("漢字文章世界", "zh"), ("ひらがな文章", "ja"), ("twin words", "t1"), ("twin words", "t2")]
+    docs = [(k, t) for k, t in enumerate(["пес їдять", "пёс едят", "The CAT", "漢字文章", "ひらがな", "twin words", "ab", "a", "1 2", "𐐀𐐁𐐂 cat"])]
+    dim, p = 256, language_id.Profiles(256)
+
+    def plain(text):
+        letters = [ord(c.lower()[0]) if c.isalpha() else 0 for c in f"\n{text}\n"]
+        letters = [x for i, x in enumerate(letters) if x or not i or letters[i - 1]]
+        vector = lambda x: p.letters(np.array([x]))[0].astype(int)
+        return sum((np.roll(vector(a), 2) * np.roll(vector(b), 1) * vector(c) for a, b, c in zip(letters, letters[1:], letters[2:]) if b), np.zeros(dim, int))
+
+    wanted = {}
+    for text, lang in train:
+        wanted[lang] = wanted.get(lang, 0) + plain(text)
+    found = language_id.train(spark.createDataFrame(train, "text string, lang string").repartition(3), dim=dim)
+    assert sorted(found) == sorted(wanted) and all((found[k] == wanted[k]).all() for k in wanted)
+    out = {r.doc_id: r for r in language_id.predict(spark.createDataFrame(docs, "doc_id long, text string"), found, dim=dim).collect()}
+    for i, text in docs:
+        v = plain(text)
+        if not v.any():
+            assert (out[i].lang_pred, out[i].score) == ("und", 0.0)
+            continue
+        cosines = {k: float(v @ wanted[k] / np.linalg.norm(v) / np.linalg.norm(wanted[k])) for k in sorted(wanted)}
+        best = max(cosines.values())
+        assert out[i].lang_pred in [k for k, c in cosines.items() if best - c < 1e-9] and abs(out[i].score - max(0, best)) < 1e-9
+    assert [out[i].lang_pred for i in range(6)] == ["uk", "ru", "en", "zh", "ja", "t1"]
+    texts = [t for _, t in docs] * 3
+    whole = p.bundles(texts)[0]
+    for name, value in (("BLOCK", 5), ("CACHE", 12), ("_DENSE", 7)):
+        old = getattr(language_id, name)
+        setattr(language_id, name, value)
+        assert (language_id.Profiles(256).bundles(texts)[0] == whole).all()
+        setattr(language_id, name, old)
+
+
+def test_quality_equals_plain_ftrl(spark):
+    """Updates one by one over dicts of weights; several parts averaged; rows of one key count once; the row and byte caps; clashing columns."""
+    rng = np.random.default_rng(8)
+    rows = [(int(k), " ".join(rng.choice(["good", "text", "of", "words", "###", "$$", "SPAM!!"], 12)), int(rng.integers(2))) for k in range(60)]
+    rows += [(3, "zz another text of the same key", 0), (3, "aa the least text of the key", 1), rows[5]]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, quality int").repartition(4)
+    keyed = {r.doc_id: r.k for r in frame.select("doc_id", F.xxhash64("doc_id").alias("k")).collect()}
+
+    def plain(examples):
+        z, n, passes = {}, {}, min(20, max(2, quality.UPDATES // len(examples)))
+        weight = lambda i: 0.0 if abs(z.get(i, 0)) <= 1e-4 else -(z[i] - np.sign(z[i]) * 1e-4) / ((1 + n[i] ** 0.5) / 0.1 + 1e-4)
+        for _ in range(passes):
+            for text, label in examples:
+                grams = quality.features(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())]))[0].tolist()
+                x = {g: grams.count(g) * quality.SCALE / len(grams) for g in set(grams)} | {1 << quality.BITS: 1.0}
+                w = {i: weight(i) for i in x}
+                p = 1 / (1 + np.exp(-sum(w[i] * v for i, v in x.items())))
+                for i, v in x.items():
+                    g = (p - label) * v
+                    sigma = ((n.get(i, 0) + g * g) ** 0.5 - n.get(i, 0) ** 0.5) / 0.1
+                    z[i], n[i] = z.get(i, 0) + g - sigma * w[i], n.get(i, 0) + g * g
+        return {i: weight(i) for i in z}
+
+    once = {}
+    for i, t, y in rows:
+        once[i] = min(once.get(i, (t, y)), (t, y))
+    order = sorted(once, key=keyed.get)
+    for cap in (len(order), 20):
+        wanted = plain([once[i] for i in order[:cap]])
+        found = quality.train(frame, key=F.col("doc_id"), max_rows=cap)
+        assert set(np.flatnonzero(found)) == {i for i, v in wanted.items() if v} and all(abs(found[i] - v) < 1e-5 for i, v in wanted.items())
+    few = quality.train(frame, key=F.col("doc_id"), max_bytes=1)
+    alone = plain([once[order[0]]])
+    assert all(abs(few[i] - v) < 1e-5 for i, v in alone.items())
+    many = spark.createDataFrame([(k, f"good text {k}" if k % 2 else f"### {k} $$", k % 2) for k in range(4000)], "doc_id long, text string, quality int")
+    model = quality.train(many, key=F.col("doc_id"))
+    docs = spark.createDataFrame([(1, "good text 17", 0.0, "x"), (2, "### 16 $$", 0.0, "y")], "doc_id long, text string, score double, __text string").withColumn("__SCORE", F.lit(1))
+    assert [r.doc_id for r in quality.keep_good(docs, model, 0.5).collect()] == [1] and quality.keep_good(docs, model, 0.5).columns == docs.columns

@@ -39,3 +39,17 @@ def test_memory_bounds_change_nothing(library, prose, monkeypatch):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, ids string")
     assert codec.encode(docs, keep=["doc_id"]).count() == 0
+
+
+def test_clashing_columns_and_other_models(spark):
+    docs = spark.createDataFrame([(1, "some text", 9, "x", "y")], "doc_id long, text string, ids int, __text string, Decoded string")
+    for found, columns in ((codec.encode(docs), ["doc_id", "text", "__text", "Decoded", "ids", "n_tokens"]), (codec.round_trip(docs), ["doc_id", "text", "__text", "ids", "n_tokens", "decoded", "round_trip"])):
+        r = found.first()
+        assert found.columns == columns and r["__text"] == "x" and r.n_tokens == len(r.ids) > 0
+    message = lambda *fields: b"".join(fields)
+    unigram, bpe = message(b"\x12\x02\x18\x01"), message(b"\x12\x02\x18\x02")
+    keeps, folds = message(b"\x1a\x06\x12\x00\x18\x01\x20\x00"), message(b"\x1a\x07\x12\x01a\x18\x01\x20\x00")
+    codec._check(bpe + keeps)
+    for proto in (unigram + keeps, keeps, bpe + folds, bpe):
+        with pytest.raises(ValueError):
+            codec._check(proto)
