@@ -5,11 +5,15 @@
 3. near: one document of each group of near duplicates stays;
 4. benchmark: documents that hold a passage of a benchmark item go;
 5. tokens: every document is encoded, and decoded to prove it.
+
+Every stage but the last returns the columns of its documents, whatever their
+names and number; an empty table gives an empty one; texts are taken whole,
+however long.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from strataframe.llm import decontaminate, jaccard_join, line_dedup, quality, sentencepiece_codec
 from strataframe.llm._shared import stored
@@ -20,28 +24,28 @@ LEAST_SCORE = 0.3
 
 
 def _quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of a good score. A null or empty text has the score of the bias alone; repeated rows stay or go alike."""
     weights = quality_weights(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.score(docs, weights, keep=docs.columns, into="__score").where(F.col("__score") >= LEAST_SCORE).drop("__score")
+    return quality.keep_good(docs, weights, LEAST_SCORE)
 
 
 def _lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    done = line_dedup.dedup_lines(docs, keep=docs.columns)
-    removed = F.coalesce("removed", F.lit(0))
-    done = done.where((removed == 0) | (F.length("text") > 0))
-    if "n_chars" in docs.columns:
-        done = done.withColumn("n_chars", F.when(removed > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return done.select(*docs.columns)
+    """Texts without later repeated runs of lines, and n_chars to match; null and empty texts stay; of ties the least id's lines stay."""
+    return line_dedup.without_repeats(docs)
 
 
 def _near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group: that of the least id, nulls last. Texts without words link with nothing; rows equal in id and text are one."""
     return jaccard_join.representatives(docs)
 
 
 def _benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of an item; null and empty texts hold none, repeated rows stay or go alike."""
     return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def _tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, ids, n_tokens, decoded and round_trip; a null text has null ids, an empty one none."""
     return sentencepiece_codec.round_trip(docs, keep=["doc_id"])
 
 
