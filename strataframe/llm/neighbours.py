@@ -2,13 +2,16 @@
 
 Every vector is scaled to int8; the length of what rounding left over bounds
 the error of its code, so a product of int8 tiles gives every distance up to
-the sum of the two bounds.  Pairs whose lower bound isn't above the k-th least
-upper bound survive; their distances are computed anew in double precision
-from the original vectors.  Each task keeps the k best of each query in heaps,
-and the tasks' lists are merged.  No true neighbour can be lost.
+the sum of the two bounds, and up to the rounding of the squares and the product
+it is made of, which is in proportion to the vectors' lengths.  Pairs whose lower
+bound isn't above the k-th least upper bound survive; their distances are computed anew in
+double precision from the original vectors.  Each task keeps the k best of each query in
+heaps, and the tasks' lists are merged.  No true neighbour can be lost.
 
-Queries are taken in blocks of ``block`` rows: each block is sent to all tasks
-and meets every vector, so what is sent at once has a fixed bound.
+Queries are a table of blocks of about ``block`` rows.  Block by block they are sent to
+all tasks and meet every vector, and what is found is written before the next block
+is read, so driver and tasks hold one block at a time.  All vectors are read once a
+block, so a block should be as large as tasks can hold.
 
 Cases: a vector takes no part if it, one of its components or its id is null,
 if a component isn't finite or if all are zero; vectors of different lengths are not
@@ -25,7 +28,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BLOCK = 4096
+from ._shared import discard, stored
+
+BLOCK = 16_384
 TILE = 1024
 
 
@@ -47,6 +52,16 @@ def encode(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return code, step, error * (1 + 1e-9) + 1e-12 * np.linalg.norm(x, axis=1)
 
 
+def bounds(a_square: np.ndarray, b_square: np.ndarray, product: np.ndarray, error: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lower and upper bounds of distances, from the squares and products of decoded vectors and the sum of their errors.
+
+    The sum of squares and product is off by a few roundings of its largest term; near vectors cancel, so this must not be taken relative to the distance.
+    """
+    square, rounding = a_square + b_square - 2 * product, 16 * np.finfo(float).eps * (a_square + b_square)
+    low, high = np.sqrt(np.maximum(0, square - rounding)), np.sqrt(np.maximum(0, square + rounding))
+    return np.maximum(0, low - error) * (1 - 1e-9), (high + error) * (1 + 1e-9)
+
+
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Euclidean distances of paired rows, summed in the order of the components."""
     total = np.zeros(len(a))
@@ -77,13 +92,12 @@ def _search(queries: list[tuple[np.ndarray, np.ndarray]], k: int):
                         rows = slice(q0, q0 + TILE)
                         # products of int8 codes are exact in float32 while n * 127 * 127 stays under 2 ** 24
                         product = q_float[rows] @ c_float.T if n < 1000 else q_float[rows].astype(np.float64) @ c_float.T
-                        near = np.sqrt(np.maximum(0, q_square[rows, None] + c_square - 2 * (q_step[rows, None] * step) * product))
-                        slack = (q_error[rows, None] + error) + 1e-7 * (1 + near)
+                        low, high = bounds(q_square[rows, None], c_square, (q_step[rows, None] * step) * product, q_error[rows, None] + error)
                         bound = worst[n][rows]
                         own = q_ids[rows, None] == c_ids
                         if len(c_ids) > k:
-                            bound = np.minimum(bound, np.partition(np.where(own, np.inf, near + slack), k - 1, axis=1)[:, k - 1]) if not _repeats(c_ids) else bound
-                        i, j = np.nonzero((near - slack <= bound[:, None]) & ~own)
+                            bound = np.minimum(bound, np.partition(np.where(own, np.inf, high), k - 1, axis=1)[:, k - 1]) if not _repeats(c_ids) else bound
+                        i, j = np.nonzero((low <= bound[:, None]) & ~own)
                         exact = distances(q[q0 + i], c[j])
                         for a, b, d in zip(q0 + i, c_ids[j].tolist(), exact.tolist(), strict=True):
                             heap = best.setdefault((n, int(a)), {})
@@ -109,8 +123,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.transform(vector_col, lambda v: v.cast("double")).alias("vector"), is_query.alias("is_query"))
     finite = F.forall("vector", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     rows = rows.where(F.col("id").isNotNull() & F.col("vector").isNotNull() & finite & F.exists("vector", lambda v: v != 0))
-    asked = rows.where("is_query").groupBy("id").agg(F.min("vector").alias("vector")).orderBy("id")
-    found, part = None, []
+    asked = rows.where("is_query").groupBy("id").agg(F.min("vector").alias("vector"))
 
     def search(part: list) -> DataFrame:
         by_length: dict[int, list] = {}
@@ -119,12 +132,14 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
         queries = [(np.array([r.id for r in own]), np.array([r.vector for r in own])) for own in by_length.values()]
         return rows.select("id", "vector").mapInArrow(_search(queries, k), "query_id long, vec_id long, score double")
 
-    for r in asked.toLocalIterator():
-        part.append(r)
-        if len(part) == block:
-            found, part = search(part) if found is None else found.unionAll(search(part)), []
-    if part or found is None:
-        found = search(part) if found is None else found.unionAll(search(part))
+    blocks = -(-rows.where("is_query").select("id").distinct().count() // block)
+    if blocks <= 1:
+        found = search(asked.collect())
+    else:
+        asked = stored(asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")))
+        parts = [stored(search(asked.where(F.col("block") == n).select("id", "vector").collect())) for n in range(blocks)]
+        discard(asked)
+        found = rows.sparkSession.read.parquet(*(part._stored_at for part in parts))
     found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

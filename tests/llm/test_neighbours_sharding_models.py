@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from strataframe.llm import language_id, neighbours, quality, queries, sharding
@@ -28,6 +29,29 @@ def test_neighbours_equal_brute_force(spark):
     assert neighbours.nearest(frame.limit(0), F.col("vec_id") % 100 == 0).count() == 0
 
 
+@pytest.mark.parametrize("size", [1e-3, 1.0, 1e3, 1e5, 1e7, 1e12])
+def test_bounds_hold(size):
+    """Of vectors far from the origin and near each other, whose squares cancel."""
+    rng = np.random.default_rng(int(np.log10(size)) + 9)
+    for spread in (1.0, 1e-3, 1e-7, 0.0):
+        x = size * (1 + spread * rng.normal(size=(150, 24)))
+        code, step, error = neighbours.encode(x)
+        square = (code.astype(float) ** 2).sum(1) * step**2
+        low, high = neighbours.bounds(square[:, None], square, np.outer(step, step) * (code.astype(float) @ code.T.astype(float)), error[:, None] + error)
+        exact = np.array([neighbours.distances(np.broadcast_to(v, x.shape), x) for v in x])
+        assert (low <= exact).all() and (exact <= high).all()
+
+
+def test_neighbours_far_from_the_origin(spark):
+    rng = np.random.default_rng(5)
+    x = 1e6 + rng.normal(size=(400, 8))
+    frame = spark.createDataFrame([(int(i), v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(3)
+    for r in neighbours.nearest(frame, F.col("vec_id") % 100 == 0, k=3).where("rank = 1").collect():
+        d = np.sqrt(((x - x[r.query_id]) ** 2).sum(axis=1))
+        d[r.query_id] = np.inf
+        assert r.vec_id == int(d.argmin())
+
+
 def test_shards(spark, prose):
     docs = spark.createDataFrame(prose, "doc_id long, text string").withColumn("shard", F.lit("clash"))
     rows = sharding.assign_shards(docs.repartition(3), 5).orderBy("shard", "slot").collect()
