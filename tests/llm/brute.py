@@ -2,6 +2,8 @@
 
 import re
 
+import numpy as np
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SPACE = " \t\r\n\v\f"
 
@@ -105,9 +107,9 @@ def folded(text):
 
 def distance_in(piece, text):
     """Least edits of the piece against any part of the text, both as bytes."""
-    row = [0] * (len(text) + 1)
+    chars, place = np.frombuffer(text, np.uint8), np.arange(len(text) + 1)
+    row = np.zeros(len(text) + 1, int)
     for i, c in enumerate(piece, 1):
-        last, row = row, [i]
-        for j, d in enumerate(text, 1):
-            row.append(min(last[j - 1] + (c != d), last[j] + 1, row[-1] + 1))
-    return min(row)
+        below = np.minimum(row[:-1] + (chars != c), row[1:] + 1)
+        row = np.minimum.accumulate(np.append(i, below) - place) + place
+    return int(row.min())
