@@ -12,20 +12,30 @@ one class, so copies are never compared.
    (a frequent shingle's after a class fixed beforehand, so its rows are never
    brought together), and classes of one name form a group; two classes that
    share a bucket share that group.
-2. Signature trees.  Groups are cut into bands of size, and bands of over
-   ``BLOCK`` classes into blocks, whose pairs are joined on their own.  Each builds a
-   tree over its classes sorted by size: a node has the OR of its token
-   bitmaps and its range of sizes.  A dual traversal drops pairs of nodes whose
-   largest possible overlap is too small.  The first traversal needs the
-   signatures only and drops classes without a possible partner; texts are
-   sent for the rest, whose pairs left at the leaves are verified on the sets,
-   unless links found before connect them.
-3. Components of the links give each document its class id.
+2. Signature trees.  Groups are cut into bands of size, and bands of more classes
+   than a task should hold into blocks.  Each block builds a tree over its classes
+   sorted by size: a node has the OR of its token bitmaps and its range of
+   sizes.  A dual traversal drops pairs of nodes whose largest possible overlap
+   is too small.  The first traversal needs the signatures only and drops
+   classes without a possible partner; texts are sent for the rest (a text is
+   no larger than the hashes of its shingles), whose pairs left at the leaves are
+   verified on the sets, unless links found before connect them.
+3. Large groups.  Each block is joined by itself first.  Then one class of
+   each component in the group stands for it, and these are joined the same way,
+   so near copies, however many, soon are one component.  At last only classes of
+   different components still have to meet: the blocks of a group's largest component meet
+   those of all others, but not each other.
+4. Components of the links give each document its class id.
+
+What is sent grows in proportion to a group of near copies.  It grows with the
+square only for a group of *different* sets, or of several large components, that share
+a rare shingle and don't link.
 
 Cases: documents without words, or null, have empty sets and link with nothing;
 fewer words than a shingle make one shingle of all; repeated rows are copies;
 a null id takes part in links but is no class id unless all of its class are null;
-an empty table gives an empty result.  Very long texts are handled whole.
+an empty table gives an empty result.  Very long texts are handled whole, few in a block;
+only the named columns are read, and others may have any name.
 """
 
 from __future__ import annotations
@@ -34,19 +44,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from . import _text
-from ._shared import checkpointed
+from ._shared import looked_up, stored, unused
 from .components import components
 
 WORDS = 5
 PERCENT = 75
 #: Most frequent shingles that are put last, and the least count of one.
 HOT, HOT_LEAST = 50_000, 16
-BLOCK = 512
-#: Sets of the last band and larger ones share its width of signature.
-LAST_BAND = 10
+#: Classes in a block, and about how many shingles they have together at most.
+BLOCK, BLOCK_SHINGLES = 512, 4 << 20
+#: Bands of sizes; sets of band ``LAST_BAND`` and larger ones have signatures of the same width.
+BANDS, LAST_BAND = 24, 10
+#: Most rounds in which components of large groups are joined by one class each, before all that is left is compared.
+ROUNDS = 4
 _FLUSH = 16 << 20
 
 
@@ -82,13 +95,13 @@ def prefix_length(size: np.ndarray, percent: int = PERCENT) -> np.ndarray:
 
 
 def bands(size: np.ndarray) -> np.ndarray:
-    """The band of each size: its signature has 64 << band bits, two a shingle at least, up to the last band."""
-    return np.searchsorted([32 << k for k in range(LAST_BAND)], size)
+    """The band of each size: its signature has 64 << band bits, two a shingle at least, up to band ``LAST_BAND``."""
+    return np.searchsorted([32 << k for k in range(BANDS)], size)
 
 
 def signatures(values: np.ndarray, size: np.ndarray, bits: int | None = None) -> pa.Array:
     """A bitmap of each set's shingles, as wide as its band asks or of so many bits."""
-    width = np.full(len(size), bits, np.int64) if bits else np.int64(64) << bands(size)
+    width = np.full(len(size), bits, np.int64) if bits else np.int64(64) << np.minimum(bands(size), LAST_BAND)
     at = np.concatenate(([0], np.cumsum(width)))
     bits = np.zeros(at[-1], bool)
     row = np.repeat(np.arange(len(size)), size)
@@ -224,11 +237,12 @@ class Tree:
             self.levels.append(nodes)
             step = 2
 
-    def pairs(self, percent: int, apart: np.ndarray | None = None, done: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
+    def pairs(self, percent: int, apart: np.ndarray | None = None, done: np.ndarray | None = None, joined: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
         """By dual traversal, each set and those after it whose possible overlap is large enough.
 
         apart: bit flags of each set; only pairs whose flags share no bit count.
         done: sets that need no further partner; node pairs of such sets are dropped.
+        joined: the component of each set; only pairs of different ones count.
         """
         n, leaf = len(self.sizes), self.leaf
         stack = [(len(self.levels) - 1, 0, 0)]
@@ -254,6 +268,8 @@ class Tree:
                 others = rows_b[rows_b > i] if a == b else rows_b
                 if apart is not None:
                     others = others[(apart[others] & apart[i]) == 0]
+                if joined is not None:
+                    others = others[joined[others] != joined[i]]
                 if len(others):
                     shared = np.bitwise_count(self.maps[others] & self.maps[i]).sum(axis=1, dtype=np.int64) + np.minimum(self.excess[others], self.excess[i])
                     shared = np.minimum(shared, np.minimum(self.sizes[others], self.sizes[i]))
@@ -277,14 +293,15 @@ def bitmaps(signatures: list[bytes], width: int) -> np.ndarray:
 _GUEST, _FIRST, _SECOND = 1, 2, 4
 
 
-def join_sets(cls: list[int], sets: list[np.ndarray], flags: list[int], percent: int = PERCENT) -> list[tuple[int, int]]:
-    """Links that connect what all links connect, among sets whose flags share no bit."""
+def join_sets(cls: list[int], sets: list[np.ndarray], flags: list[int], percent: int = PERCENT, joined: list[int] | None = None) -> list[tuple[int, int]]:
+    """Links that connect what all links connect, among sets whose flags share no bit and whose components, if given, differ."""
     order = sorted(range(len(sets)), key=lambda i: (len(sets[i]), int(sets[i][0])))
-    cls, sets = [cls[i] for i in order], [sets[i] for i in order]
+    cls, sets, joined = [cls[i] for i in order], [sets[i] for i in order], [(joined or cls)[i] for i in order]
     size = np.array([len(x) for x in sets], np.int64)
-    width = 64 << int(bands(size).max())
+    width = 64 << min(int(bands(size).max()), LAST_BAND)
     tree = Tree(bitmaps(signatures(np.concatenate(sets), size, width).to_pylist(), width), size)
-    parent = list(range(len(sets)))
+    first: dict[int, int] = {}
+    parent = [first.setdefault(c, i) for i, c in enumerate(joined)]
 
     def find(i: int) -> int:
         while parent[i] != i:
@@ -293,7 +310,7 @@ def join_sets(cls: list[int], sets: list[np.ndarray], flags: list[int], percent:
         return i
 
     links = []
-    for i, others in tree.pairs(percent, np.array(flags)[order]):
+    for i, others in tree.pairs(percent, np.array(flags)[order], joined=np.array(joined)):
         for j in others.tolist():
             if find(i) != find(j):
                 both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
@@ -317,26 +334,45 @@ def needed(groups: DataFrame) -> DataFrame:
     return counts.join(inside, "name", "left_anti").select("name", "n")
 
 
-def _blocked(members: DataFrame, block: int) -> DataFrame:
-    """Rows by group (name, band) and pair of blocks (i <= j) with their flags; groups without a pair are left out."""
-    counts = members.groupBy("name", "band").agg(F.count(F.lit(1)).alias("n"), F.min("guest").alias("guests")).where("n > 1 and guests = 0").drop("guests")
-    members = members.join(counts, ["name", "band"]).withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
-    members = members.withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+def _rows_of(band: Column, block: int) -> Column:
+    """How many classes of a band make a block."""
+    return F.greatest(F.lit(2), F.least(F.lit(block), F.floor(F.lit(BLOCK_SHINGLES) / F.pow(F.lit(2), band + 5)))).cast("int")
+
+
+def _alone(members: DataFrame) -> DataFrame:
+    """Members (name, band, cls, guest, blocks, comp), each in the block that its hash gives it: places (name, band, i, j, cls, flags, comp)."""
+    own = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
+    return members.select("name", "band", own.alias("i"), own.alias("j"), "cls", (F.col("guest") * _GUEST).cast("int").alias("flags"), "comp")
+
+
+def _apart(members: DataFrame, block: int) -> DataFrame:
+    """The places where members (name, band, cls, guest, comp) of different components meet, each pair of blocks in one."""
+    counts = members.groupBy("name", "band", "comp").agg(F.count(F.lit(1)).alias("m"))
+    counts = counts.groupBy("name", "band").agg(F.sum("m").alias("n"), F.max(F.struct("m", "comp")).alias("most"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    rows = _rows_of(F.col("band"), block)
+    main = F.when(F.col("most.m") > rows, F.col("most.m")).otherwise(0)
+    shape = stored(counts.select("name", "band", F.col("most.comp").alias("main"), F.ceil(main / rows).cast("int").alias("of_main"), F.ceil((F.col("n") - main) / rows).cast("int").alias("of_rest")))
+    members = members.join(shape, ["name", "band"])
+    is_main = (F.col("of_main") > 0) & (F.col("comp") == F.col("main"))
+    turn = F.xxhash64("cls")
+    members = members.withColumn("own", F.when(is_main, F.col("of_rest") + F.pmod(turn, F.greatest("of_main", F.lit(1)))).otherwise(F.pmod(turn, F.greatest("of_rest", F.lit(1)))).cast("int"))
+    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("of_rest") - 1 + F.when(is_main, 0).otherwise(F.col("of_main")))))
     flags = F.col("guest") * _GUEST + F.when(F.col("own") < F.col("other"), _FIRST).when(F.col("own") > F.col("other"), _SECOND).otherwise(0)
-    return members.select("name", "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "cls", "guest", flags.cast("int").alias("flags"))
+    return members.select("name", "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "cls", flags.cast("int").alias("flags"), "comp")
 
 
 def prune(rows: DataFrame, percent: int) -> DataFrame:
-    """name, band, cls and guest of the rows of ``_blocked`` (with size and signature) that may have a partner in their group."""
+    """The places (with size and signature) whose class may have a partner there."""
+    columns = ["name", "band", "i", "j", "cls", "flags", "comp"]
 
     def group(table: pa.RecordBatch, start: int, end: int) -> np.ndarray:
         part = table.slice(start, end - start)
         size = part.column("size").to_numpy()
         order = np.argsort(size, kind="stable")
         found = np.zeros(end - start, bool)
-        width = 64 << part.column("band")[0].as_py()
+        width = 64 << min(part.column("band")[0].as_py(), LAST_BAND)
         tree = Tree(bitmaps([part.column("signature")[int(k)].as_py() for k in order], width), size[order])
-        for i, others in tree.pairs(percent, part.column("flags").to_numpy()[order], found):
+        for i, others in tree.pairs(percent, part.column("flags").to_numpy()[order], found, part.column("comp").to_numpy()[order]):
             found[i] = True
             found[others] = True
         return order[found] + start
@@ -352,7 +388,7 @@ def prune(rows: DataFrame, percent: int) -> DataFrame:
                 starts, ends = starts[:-1], ends[:-1]
             found = [group(table, s, e) for s, e in zip(starts.tolist(), ends.tolist(), strict=True) if e - s > 1]
             rest = int(ends[-1]) if len(ends) else 0
-            return table.select(["name", "band", "cls", "guest"]).take(pa.array(np.concatenate([np.zeros(0, np.int64), *found]))), table.slice(rest)
+            return table.select(columns).take(pa.array(np.concatenate([np.zeros(0, np.int64), *found]))), table.slice(rest)
 
         for batch in batches:
             if batch.num_rows:
@@ -363,26 +399,11 @@ def prune(rows: DataFrame, percent: int) -> DataFrame:
             yield done(held, True)[0]
 
     dealt = rows.repartition("name", "band", "i", "j").sortWithinPartitions("name", "band", "i", "j")
-    return dealt.mapInArrow(run, "name long, band int, cls long, guest int").distinct()
-
+    return dealt.mapInArrow(run, "name long, band int, i int, j int, cls long, flags int, comp long")
 
-def links(docs: DataFrame, described: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, hot: int = HOT, hot_least: int = HOT_LEAST, block: int = BLOCK) -> DataFrame:
-    """Pairs of classes ``a``, ``b`` that link, enough to connect all that any links connect."""
-    groups = checkpointed(route(docs, frequent(docs, text_col, words, hot, hot_least), text_col, words, percent))
-    owners = described.where("size > 0").groupBy("cls").agg(F.min("key").alias("key"), F.max("size").alias("size"))
-    size = F.col("size")
-    own = sum((size > (32 << k)).cast("int") for k in range(LAST_BAND))
-    # a set that may match one of the band before is a guest there
-    near = (own > 0) & (percent * size <= 3200 * F.pow(F.lit(2), own - 1))
-    places = F.when(near, F.array(F.struct(own.alias("band"), F.lit(0).alias("guest")), F.struct((own - 1).alias("band"), F.lit(1).alias("guest")))).otherwise(F.array(F.struct(own.alias("band"), F.lit(0).alias("guest"))))
-    members = groups.join(needed(groups), "name").join(owners.select("cls", F.explode(places).alias("place")), "cls").select("name", "cls", "place.*")
-    marks = described.where("size > 0").select("cls", "key", "size", "signature").join(owners.select("key"), "key", "left_semi").dropDuplicates(["key"]).drop("key")
-    kept = checkpointed(prune(_blocked(members, block).join(marks, "cls"), percent))
 
-    place = F.struct("name", "band", "i", "j", "flags")
-    used = _blocked(kept, block).groupBy("cls").agg(F.collect_list(place).alias("places")).join(owners, "cls")
-    texts = docs.select(F.xxhash64(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
-    placed = used.join(texts, "key").dropDuplicates(["key"]).select("cls", "text", F.explode("places").alias("place")).select("cls", "text", "place.*")
+def _compare(kept: DataFrame, pool: DataFrame, words: int, percent: int) -> DataFrame:
+    """A stored table of links ``a``, ``b`` among the classes that meet at the places ``kept``; pool: the text of each class."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         batch = table.combine_chunks().to_batches()[0]
@@ -390,26 +411,74 @@ def links(docs: DataFrame, described: DataFrame, id_col: str = "doc_id", text_co
         for chunk in _text.chunks(iter([batch]), "text"):
             values, bounds = shingles(*_text.text_bytes(chunk.column("text")), words)
             sets += [values[bounds[k] : bounds[k + 1]] for k in range(len(chunk))]
-        found = join_sets(batch.column("cls").to_pylist(), sets, batch.column("flags").to_pylist(), percent)
+        found = join_sets(batch.column("cls").to_pylist(), sets, batch.column("flags").to_pylist(), percent, batch.column("comp").to_pylist())
         return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
 
-    return placed.groupBy("name", "band", "i", "j").applyInArrow(run, "a long, b long")
+    return stored(kept.join(pool, "cls").groupBy("name", "band", "i", "j").applyInArrow(run, "a long, b long"))
+
+
+def links(docs: DataFrame, described: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, hot: int = HOT, hot_least: int = HOT_LEAST, block: int = BLOCK) -> DataFrame:
+    """Pairs of classes ``a``, ``b`` that link, enough to connect all that any links connect."""
+    groups = stored(route(docs, frequent(docs, text_col, words, hot, hot_least), text_col, words, percent))
+    classes = stored(described.where("size > 0").groupBy("cls").agg(F.min("key").alias("key"), F.max("size").alias("size"), F.first("signature").alias("signature")))
+    size = F.col("size")
+    own = sum((size > (32 << k)).cast("int") for k in range(BANDS))
+    # a set that may match one of the band before is a guest there
+    near = (own > 0) & (percent * size <= 3200 * F.pow(F.lit(2), own - 1))
+    places = F.when(near, F.array(F.struct(own.alias("band"), F.lit(0).alias("guest")), F.struct((own - 1).alias("band"), F.lit(1).alias("guest")))).otherwise(F.array(F.struct(own.alias("band"), F.lit(0).alias("guest"))))
+    members = stored(groups.join(stored(needed(groups)).select("name"), "name").join(classes.select("cls", F.explode(places).alias("place")), "cls").select("name", "cls", "place.*"))
+    counts = members.groupBy("name", "band").agg(F.count(F.lit(1)).alias("n"), F.min("guest").alias("guests")).where("n > 1 and guests = 0")
+    counts = stored(counts.select("name", "band", F.ceil(F.col("n") / _rows_of(F.col("band"), block)).cast("int").alias("blocks")))
+    members = stored(members.join(counts, ["name", "band"]).select("name", "band", "cls", "guest", "blocks", F.col("cls").alias("comp")))
+    marks = classes.select("cls", "size", "signature")
+
+    def pruned(at: DataFrame) -> DataFrame:
+        return stored(prune(at.join(marks, "cls"), percent))
+
+    kept = pruned(_alone(members))
+    large = members.where("blocks > 1").drop("comp", "blocks")
+    wanted = stored(kept.select("cls").unionAll(large.select("cls")).distinct().join(classes.select("cls", "key"), "cls"))
+    texts = docs.select(F.xxhash64(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
+    pool = stored(texts.join(wanted, "key").groupBy("cls").agg(F.first("text").alias("text")))
+    found = _compare(kept, pool, words, percent)
+    if large.isEmpty():
+        return found
+
+    def joined() -> DataFrame:
+        """Members of large groups with the component that links so far give them."""
+        of = components(found)
+        return stored(large.join(of.select(F.col("node").alias("cls"), "component"), "cls", "left").select("name", "band", "cls", "guest", F.coalesce("component", "cls").alias("comp")))
+
+    for _ in range(ROUNDS):
+        some = joined().groupBy("name", "band", "comp").agg(F.min(F.struct("guest", "cls")).alias("one")).select("name", "band", "comp", "one.*")
+        sizes = stored(some.groupBy("name", "band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name", "band", F.ceil(F.col("n") / _rows_of(F.col("band"), block)).cast("int").alias("blocks")))
+        if sizes.isEmpty():
+            return found
+        more = _compare(pruned(_alone(some.join(sizes, ["name", "band"]))), pool, words, percent)
+        if more.isEmpty():
+            break
+        found = stored(found.unionAll(more))
+    return found.unionAll(_compare(pruned(_apart(joined(), block)), pool, words, percent))
 
 
 def _grouped(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, tuning: dict[str, int]) -> DataFrame:
-    """id, key (of id and text), class, size and component of every row."""
-    described = checkpointed(describe(docs, id_col, text_col, words))
-    found = components(checkpointed(links(docs, described, id_col, text_col, words, percent, **tuning)))
-    rows = described.join(found.select(F.col("node").alias("cls"), "component"), "cls", "left")
-    return rows.withColumn("component", F.coalesce("component", "cls"))
+    """id, key (of id and text), size, and of the component the ``least`` id and the row ``kept`` (a key), of every row."""
+    described = stored(describe(docs, id_col, text_col, words))
+    found = components(stored(links(docs, described, id_col, text_col, words, percent, **tuning)))
+    order = F.struct(F.col("id").isNull(), "id", "key")
+    filled = described.where("size > 0")
+    classes = filled.groupBy("cls").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least"), F.min(order).alias("kept"))
+    classes = stored(classes.join(found.select(F.col("node").alias("cls"), "component"), "cls", "left").withColumn("component", F.coalesce("component", "cls")))
+    whole = stored(classes.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.min("least").alias("least"), F.min("kept").alias("kept")).select("component", "n", "least", F.col("kept.key").alias("kept")))
+    of = stored(looked_up(classes.select("cls", "component", F.col("n").alias("rows")), whole, "component", ["cls"]).select("cls", F.col("rows").alias("n"), "least", "kept"))
+    rows = looked_up(filled.select("id", "key", "cls", "size"), of, "cls", ["key"]).select("id", "key", "size", "least", "kept")
+    return rows.unionAll(described.where("size = 0").select("id", "key", "size", F.col("id").alias("least"), F.col("key").alias("kept")))
 
 
 def linked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, **tuning: int) -> DataFrame:
     """doc_id, n_shingles and component_id of every row."""
     rows = _grouped(docs, id_col, text_col, words, percent, tuning)
-    least = rows.where("size > 0").groupBy("component").agg(F.min("id").alias("least"))
-    component = F.when(F.col("size") > 0, F.col("least")).otherwise(F.col("id"))
-    return rows.join(least, "component", "left").select(F.col("id").alias("doc_id"), F.col("size").alias("n_shingles"), component.alias("component_id"))
+    return rows.select(F.col("id").alias("doc_id"), F.col("size").alias("n_shingles"), F.col("least").alias("component_id"))
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, **tuning: int) -> DataFrame:
@@ -417,8 +486,6 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Rows equal in id and text are one document.
     """
-    rows = _grouped(docs, id_col, text_col, words, percent, tuning)
-    order = F.struct(F.col("id").isNull(), "id", "key")
-    kept = rows.where("size > 0").groupBy("component").agg(F.min(order).alias("kept")).select(F.col("kept.key").alias("__key"))
-    kept = kept.unionAll(rows.where("size = 0").select(F.col("key").alias("__key")).distinct())
-    return docs.withColumn("__key", F.xxhash64(id_col, text_col)).join(kept, "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")
+    kept = stored(_grouped(docs, id_col, text_col, words, percent, tuning).where("key = kept").select("key").distinct())
+    (key,) = unused(docs, "__key")
+    return docs.withColumn(key, F.xxhash64(id_col, text_col)).join(kept.withColumnRenamed("key", key), key, "left_semi").dropDuplicates([key]).drop(key)

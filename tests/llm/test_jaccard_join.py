@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from strataframe.llm import jaccard_join
 from strataframe.llm.components import components
@@ -23,7 +24,10 @@ def test_the_bound_is_exact(spark):
     assert found(spark, docs) == sorted([(i, *x) for (i, _), x in zip(docs, brute.components(docs), strict=True)], key=str)
 
 
-def test_large_group_of_near_copies(spark):
+def test_large_group_of_near_copies(spark, monkeypatch):
+    """Many blocks of near copies: what meets after each block was joined by itself is less than what met in it."""
+    met, compare = [], jaccard_join._compare
+    monkeypatch.setattr(jaccard_join, "_compare", lambda kept, *rest: met.append(kept.count()) or compare(kept, *rest))
     rng = np.random.default_rng(1)
     base = [f"t{i}" for i in range(120)]
     docs = []
@@ -32,7 +36,9 @@ def test_large_group_of_near_copies(spark):
         for k in rng.integers(0, 120, 2):
             words[k] = f"n{i}"
         docs.append((i, " ".join(words)))
-    assert found(spark, docs, block=32) == sorted([(i, *x) for (i, _), x in zip(docs, brute.components(docs), strict=True)], key=str)
+    docs += [(200 + i, " ".join([*base[:30], *(f"o{i}-{k}" for k in range(90))])) for i in range(5)]
+    assert found(spark, docs, block=16) == sorted([(i, *x) for (i, _), x in zip(docs, brute.components(docs), strict=True)], key=str)
+    assert len(met) > 1 and sum(met[1:]) < met[0]
 
 
 def test_tree_finds_all_pairs_that_may_link():
@@ -70,6 +76,14 @@ def test_components_of_a_path_and_a_star(spark):
     assert all(got[i] == 0 for i in range(41)) and all(got[100 + i] == 100 for i in range(50))
 
 
+def test_other_columns(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    docs = spark.createDataFrame([(1, text), (2, text + " more"), (3, None)], "doc_id long, text string").withColumns({c: F.lit(7) for c in ("key", "id", "cls", "size", "component", "__key", "n", "kept")})
+    assert [r.component_id for r in jaccard_join.linked(docs).orderBy("doc_id").collect()] == [1, 1, 3]
+    kept = jaccard_join.representatives(docs)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3]
+
+
 def test_empty_table(spark):
     assert found(spark, []) == []
     assert found(spark, [(1, None), (2, "")]) == [(1, 0, 1), (2, 0, 2)]
