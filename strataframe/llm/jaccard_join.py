@@ -20,9 +20,9 @@ one class, so copies are never compared.
    classes without a possible partner; texts are sent for the rest (a text is
    no larger than the hashes of its shingles), whose pairs left at the leaves are
    verified on the sets, unless links found before connect them.
-3. Large groups.  Each block is joined by itself first.  Then one class of
-   each component in the group stands for it, and these are joined the same way,
-   so near copies, however many, soon are one component.  At last only classes of
+3. Large groups.  Each block is joined by itself first.  Then a few classes of
+   each component in the group stand for it, and these are joined the same way,
+   round by round, so near copies, however many, soon are one component.  At last only classes of
    different components still have to meet: the blocks of a group's largest component meet
    those of all others, but not each other.
 4. Components of the links give each document its class id.
@@ -58,8 +58,8 @@ HOT, HOT_LEAST = 50_000, 16
 BLOCK, BLOCK_SHINGLES = 512, 4 << 20
 #: Bands of sizes; sets of band ``LAST_BAND`` and larger ones have signatures of the same width.
 BANDS, LAST_BAND = 24, 10
-#: Most rounds in which components of large groups are joined by one class each, before all that is left is compared.
-ROUNDS = 4
+#: Most rounds in which components of large groups are joined by so many classes of each, before all that is left is compared.
+ROUNDS, STAND = 6, 4
 _FLUSH = 16 << 20
 
 
@@ -449,9 +449,11 @@ def links(docs: DataFrame, described: DataFrame, id_col: str = "doc_id", text_co
         of = components(found)
         return stored(large.join(of.select(F.col("node").alias("cls"), "component"), "cls", "left").select("name", "band", "cls", "guest", F.coalesce("component", "cls").alias("comp")))
 
-    for _ in range(ROUNDS):
-        some = joined().groupBy("name", "band", "comp").agg(F.min(F.struct("guest", "cls")).alias("one")).select("name", "band", "comp", "one.*")
-        sizes = stored(some.groupBy("name", "band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name", "band", F.ceil(F.col("n") / _rows_of(F.col("band"), block)).cast("int").alias("blocks")))
+    for turn in range(ROUNDS):
+        # a few classes of each component, others in each round
+        some = joined().withColumn("slice", F.pmod(F.xxhash64("cls", F.lit(turn)), F.lit(STAND)))
+        some = some.groupBy("name", "band", "comp", "slice").agg(F.min(F.struct("guest", F.xxhash64("cls", F.lit(-turn)).alias("order"), "cls")).alias("one")).select("name", "band", "comp", "one.guest", "one.cls")
+        sizes = stored(some.groupBy("name", "band").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("name", "band", F.ceil(F.col("n") / _rows_of(F.col("band"), block)).cast("int").alias("blocks")))
         if sizes.isEmpty():
             return found
         more = _compare(pruned(_alone(some.join(sizes, ["name", "band"]))), pool, words, percent)

@@ -25,20 +25,24 @@ def test_the_bound_is_exact(spark):
 
 
 def test_large_group_of_near_copies(spark, monkeypatch):
-    """Many blocks of near copies: what meets after each block was joined by itself is less than what met in it."""
+    """Near copies in many blocks, beside sets that share their shingles but don't link: what meets grows with their number, not its square."""
     met, compare = [], jaccard_join._compare
     monkeypatch.setattr(jaccard_join, "_compare", lambda kept, *rest: met.append(kept.count()) or compare(kept, *rest))
     rng = np.random.default_rng(1)
-    base = [f"t{i}" for i in range(120)]
-    docs = []
-    for i in range(150):
-        words = list(base)
-        for k in rng.integers(0, 120, 2):
-            words[k] = f"n{i}"
-        docs.append((i, " ".join(words)))
-    docs += [(200 + i, " ".join([*base[:30], *(f"o{i}-{k}" for k in range(90))])) for i in range(5)]
-    assert found(spark, docs, block=16) == sorted([(i, *x) for (i, _), x in zip(docs, brute.components(docs), strict=True)], key=str)
-    assert len(met) > 1 and sum(met[1:]) < met[0]
+    base, totals = [f"t{i}" for i in range(120)], []
+    for n in (150, 300):
+        docs = []
+        for i in range(n):
+            words = list(base)
+            for k in rng.integers(0, 120, 2):
+                words[k] = f"n{i}"
+            docs.append((i, " ".join(words)))
+        docs += [(2000 + i, " ".join([*base[:30], *(f"o{i}-{k}" for k in range(90))])) for i in range(5)]
+        assert found(spark, docs, block=16) == sorted([(i, *x) for (i, _), x in zip(docs, brute.components(docs), strict=True)], key=str)
+        assert len(met) > 1
+        totals.append(sum(met))
+        met.clear()
+    assert totals[1] < 2.6 * totals[0], totals
 
 
 def test_tree_finds_all_pairs_that_may_link():
