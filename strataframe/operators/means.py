@@ -2,21 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..sources.frames import pixels
 
 
 def edge_frames(frames: DataFrame, n: int, side: str = "end") -> DataFrame:
-    """The first or last ``n`` frames of each position (all, if there are fewer)."""
+    """The frames of the first or last ``n`` times that each position still has (all, if there are fewer).
+
+    Only positions and times are ranked; pixels are not sorted.
+    """
     if side not in ("start", "end"):
         raise ValueError(f"side must be 'start' or 'end', not {side!r}")
     if n < 1:
         raise ValueError("n must be positive")
-    if side == "start":
-        return frames.where(F.col("t") < n)
-    last = frames.groupBy("fov").agg(F.max("t").alias("__last"))
-    return frames.join(last, "fov").where(F.col("t") > F.col("__last") - n).drop("__last")
+    order = Window.partitionBy("fov").orderBy("t" if side == "start" else F.desc("t"))
+    times = frames.select("fov", "t").distinct().withColumn("__rank", F.row_number().over(order)).where(F.col("__rank") <= n)
+    return frames.join(times.drop("__rank"), ["fov", "t"], "left_semi")
 
 
 def mean_image(frames: DataFrame, n: int = 10, side: str = "end") -> DataFrame:
@@ -48,6 +54,27 @@ def downsample(image: DataFrame, factor: int) -> DataFrame:
     return whole.withColumns(block).groupBy("fov", "t", "c", "y", "x").agg(F.avg("v").alias("v"))
 
 
+def block_means(frames: DataFrame, factor: int) -> DataFrame:
+    """Frames of block means, with h and w to match; rows and columns beyond the last whole block are left out."""
+    if factor < 1:
+        raise ValueError("factor must be positive")
+    if factor == 1:
+        return frames
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            small = []
+            for k in range(batch.num_rows):
+                h, w = (batch.column(c)[k].as_py() for c in ("h", "w"))
+                image = batch.column("pixels")[k].values.to_numpy(zero_copy_only=False).reshape(h, w)
+                image = image[: h // factor * factor, : w // factor * factor]
+                small.append(image.reshape(h // factor, factor, w // factor, factor).mean(axis=(1, 3)).ravel())
+            yield batch.set_column(batch.schema.get_field_index("pixels"), "pixels", pa.array(small, pa.list_(pa.float64())))
+
+    wide = frames.withColumn("pixels", F.col("pixels").cast("array<double>"))
+    return wide.mapInArrow(run, wide.schema).withColumns({k: F.floor(F.col(k) / factor).cast("int") for k in ("h", "w")})
+
+
 def reference(frames: DataFrame, mode: str | int = "mean") -> DataFrame:
     """The image that frames of a position are registered to: fov and pixels."""
     if mode == "mean":

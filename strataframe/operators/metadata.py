@@ -21,7 +21,7 @@ def frame_scalars(text: Column) -> list[Column]:
     """Time, Julian day, stage position, focus offset and position name from a frame's JSON (channel 0)."""
 
     def number(path: str) -> Column:
-        return F.get_json_object(text, f"$.channels[0].{path}").cast("double")
+        return F.get_json_object(text, f"$.channels[0].{path}").try_cast("double")
 
     stage = [F.coalesce(number(f"position.stagePositionUm.{axis}"), number(f"position.stagePositionUm[{k}]")).alias(axis) for k, axis in enumerate("xyz")]
     return [
@@ -43,7 +43,7 @@ def split_events(records: DataFrame, fovs: DataFrame, times: DataFrame, text: st
     is_frame = F.coalesce(F.map_contains_key("__record", "Index"), F.lit(False))
 
     def place(key: str) -> Column:
-        return F.coalesce(F.col("__record")[key].cast("int"), F.lit(0))
+        return F.coalesce(F.col("__record")[key].try_cast("int"), F.lit(0))
 
     frames = rows.where(is_frame).withColumns({"__p": place("P Index"), "__t": place("T Index"), "__z": place("Z Index")}).where("__z = 0")
     frames = frames.join(fovs.select(F.col("p_index").alias("__p")), "__p", "left_semi").join(times.select(F.col("t").alias("__t")), "__t", "left_semi")
@@ -80,7 +80,7 @@ def records_table(records: DataFrame, prefix: str, text: str = "json") -> DataFr
     columns = {}
     record = F.from_json(text, T.MapType(T.StringType(), T.StringType()))
     for key in sorted(types):
-        value = F.col("__record")[key].cast(cast[types[key]])
+        value = F.col("__record")[key].try_cast(cast[types[key]])
         if types[key] == "string":
             value = F.coalesce(value, F.lit(""))
         columns[f"{prefix}_{snake_name(key)}"] = value.alias(f"{prefix}_{snake_name(key)}", metadata={"source_name": key})

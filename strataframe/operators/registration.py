@@ -14,7 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .geometry import cumulated
-from .means import reference
+from .means import block_means, reference
+from .selection import select_roi
 
 BACKENDS = ("least_squares", "phase")
 
@@ -98,15 +99,32 @@ def _translations(rows: DataFrame, backend: str) -> DataFrame:
             tx, ty = (pa.array([f[k] for f in found], pa.float64()) for k in (0, 1))
             yield pa.RecordBatch.from_arrays([batch.column("fov"), batch.column("t"), tx, ty], names=["fov", "t", "tx", "ty"])
 
+    # the frames are spread over tasks by their names, for a small shuffle would be read by one task
+    rows = rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, "fov", "t")
     return rows.select("fov", "t", "h", "w", F.col("pixels").cast("array<double>").alias("pixels"), F.col("reference").cast("array<double>").alias("reference")).mapInArrow(run, "fov string, t int, tx double, ty double")
 
 
-def register(frames: DataFrame, mode: str | int = "mean", backend: str = "least_squares", downsampled: int = 1) -> DataFrame:
-    """fov, t, tx and ty of every frame, in raw pixels if frames were downsampled by a factor.
+def one_channel(frames: DataFrame, channel: str | None = None) -> DataFrame:
+    """The frames of a channel; without a name, of the first channel of each position in order of names."""
+    if channel is not None:
+        return frames.where(F.col("c") == channel)
+    return frames.join(frames.groupBy("fov").agg(F.min("c").alias("c")), ["fov", "c"], "left_semi")
+
+
+def prepared(frames: DataFrame, channel: str | None = None, y: tuple[int | None, int | None] | None = None, x: tuple[int | None, int | None] | None = None, downsample: int = 1) -> DataFrame:
+    """Frames as they are registered: one channel, cut to a region, as block means; give ``downsample`` to ``register`` too."""
+    kept = one_channel(frames, channel)
+    return block_means(select_roi(kept, y, x) if y or x else kept, downsample)
+
+
+def register(frames: DataFrame, mode: str | int = "mean", backend: str = "least_squares", downsampled: int = 1, channel: str | None = None) -> DataFrame:
+    """fov, t, tx and ty of every position and time, in raw pixels if frames were downsampled by a factor.
 
     mode: the reference is the mean, the first, the last or a numbered frame of
     the position; or ``previous``, the frame before, and translations add up.
+    One channel is registered: the named one, else the first of each position.
     """
+    frames = one_channel(frames, channel)
     if backend not in BACKENDS:
         raise ValueError(f"unknown backend {backend!r}")
     if backend == "phase" and mode == "previous":

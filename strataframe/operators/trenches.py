@@ -63,7 +63,12 @@ def inside(boxes: DataFrame, h: Column, w: Column) -> DataFrame:
     return boxes.where((F.col("x_left") >= 0) & (F.col("x_right") <= w) & (F.col("y_top") >= 0) & (F.col("y_bottom") <= h))
 
 
-def numbered(boxes: DataFrame, order: list[str]) -> DataFrame:
+def position_order(fov: str = "fov") -> list[Column]:
+    """Positions in order of their names' first part, then of the number at the end, so 10 comes after 2."""
+    return [F.regexp_replace(fov, "[0-9]+$", ""), F.regexp_extract(fov, "([0-9]+)$", 1).try_cast("decimal(38,0)"), F.col(fov)]
+
+
+def numbered(boxes: DataFrame, order: list[str | Column]) -> DataFrame:
     """Ids from 0 over all positions, lanes and places; boxes are one row a trench, so one task orders them."""
     return boxes.withColumn("trench_id", F.row_number().over(Window.orderBy(*order)) - 1)
 
@@ -71,11 +76,15 @@ def numbered(boxes: DataFrame, order: list[str]) -> DataFrame:
 def detect_trenches(
     image: DataFrame, lanes: DataFrame, sigma: float = 4.0, distance: float = 100, prominence: float = 10, height: float = 0, trench_width: int = 32,
     trench_length: int = 160, trench_bottom_offset: float = 50, conv_filter: list[float] | None = None, overrides: dict[int, dict[str, float]] | None = None,
+    positions: DataFrame | None = None, least_band: int = 100,
 ) -> DataFrame:
-    """One row a trench: trench_id, fov, lane_index, box, orientation and needs_flip."""
+    """One row a trench: trench_id, fov, lane_index, box, orientation and needs_flip.
+
+    Ids follow the order of positions: ``p_index`` of ``positions`` (fov, p_index) if given, else the names' (see ``position_order``).
+    """
     defaults = {"sigma": sigma, "distance": distance, "prominence": prominence, "height": height, "trench_bottom_offset": trench_bottom_offset}
     tuned = lane_params(lanes, overrides, defaults)
-    profiles = signal.as_array(means.band_profile(image, lanes, trench_length), ["fov", "lane_index"], "x")
+    profiles = signal.as_array(means.band_profile(image, lanes, trench_length, least_band), ["fov", "lane_index"], "x")
     profiles = profiles.join(tuned, ["fov", "lane_index"])
     sigmas = {sigma, *(float(p["sigma"]) for p in (overrides or {}).values() if "sigma" in p)}
     smooth = F.col("profile")
@@ -90,7 +99,10 @@ def detect_trenches(
     size = image.groupBy("fov").agg((F.max("y") + 1).alias("__h"), (F.max("x") + 1).alias("__w"))
     boxes = inside(trench_boxes(found, trench_width, trench_length).join(size, "fov"), F.col("__h"), F.col("__w"))
     kept = boxes.select("fov", "lane_index", "x_left", "x_right", "y_top", "y_bottom", "orientation", "needs_flip")
-    return numbered(kept, ["fov", "lane_index", "x_left"])
+    if positions is None:
+        return numbered(kept, [*position_order(), "lane_index", "x_left"])
+    placed = kept.join(positions.select("fov", F.col("p_index").alias("__p")).distinct(), "fov")
+    return numbered(placed, ["__p", "lane_index", "x_left"]).drop("__p")
 
 
 def discard(trenches: DataFrame, ids: list[int]) -> DataFrame:
@@ -142,8 +154,17 @@ def stored_bytes(trenches: DataFrame, times: int, channels: int, item_bytes: int
     return trenches.agg((F.coalesce(F.sum(area), F.lit(0)) * times * channels * item_bytes).cast("double").alias("n_bytes"))
 
 
-def fingerprint(trenches: DataFrame, settings: str) -> DataFrame:
-    """One row: a hash of all trenches in order and of the settings, to tell whether an extraction may go on."""
-    row = F.to_json(F.struct("trench_id", "fov", "lane_index", "x_left", "x_right", "y_top", "y_bottom", "orientation"))
-    rows = trenches.agg(F.concat_ws("\n", F.transform(F.array_sort(F.collect_list(F.struct("trench_id", row.alias("row")))), lambda s: s["row"])).alias("rows"))
-    return rows.select(F.sha2(F.concat(F.col("rows"), F.lit("\n" + settings)), 256).alias("fingerprint"))
+def fingerprint(trenches: DataFrame, settings: str, transforms: DataFrame | None = None) -> DataFrame:
+    """One row: a hash of all trenches, of the transforms (fov, t, tx, ty) if given, and of the settings, to tell whether an extraction may go on.
+
+    settings: rotation, times, channels, codec and whatever else the crops depend on, as canonical JSON.
+    Each position is hashed by itself, so no task gets the rows of all; then the sorted hashes are.
+    """
+    box = F.to_json(F.struct("trench_id", "fov", "lane_index", "x_left", "x_right", "y_top", "y_bottom", "orientation", "needs_flip"))
+    rows = trenches.select("fov", F.struct(F.lit(0).alias("kind"), F.col("trench_id").cast("long").alias("at"), box.alias("row")).alias("entry"))
+    if transforms is not None:
+        step = F.to_json(F.struct("t", "tx", "ty"))
+        rows = rows.unionAll(transforms.select("fov", F.struct(F.lit(1).alias("kind"), F.col("t").cast("long").alias("at"), step.alias("row")).alias("entry")))
+    own = rows.groupBy("fov").agg(F.sha2(F.concat_ws("\n", F.transform(F.array_sort(F.collect_list("entry")), lambda e: e["row"])), 256).alias("hash"))
+    whole = own.agg(F.concat_ws("\n", F.array_sort(F.collect_list("hash"))).alias("hashes"))
+    return whole.select(F.sha2(F.concat(F.col("hashes"), F.lit("\n" + settings)), 256).alias("fingerprint"))

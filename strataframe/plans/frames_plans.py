@@ -24,7 +24,7 @@ def _stack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pixels(stack: DataFrame) -> DataFrame:
-    return frames.pixels(stack).select("fov", "t", "y", "x", F.round("v", 6).alias("v"))
+    return frames.pixels(stack).select("fov", "t", "y", "x", (F.round("v", 6) + 0.0).alias("v"))  # no -0.0
 
 
 def mean_image(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,6 +39,18 @@ def row_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return means.row_profile(means.mean_image(_stack(spark, sf_dir), 10, "end")).select("fov", "y", F.round("profile", 6).alias("profile"))
 
 
+def mean_after_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first ten frames of a part of the times, and the last two of every fifth: places among the frames that are left."""
+    first = means.mean_image(selection.select_times(_stack(spark, sf_dir), 5, 20), 10, "start").withColumn("which", F.lit("first"))
+    last = means.mean_image(_stack(spark, sf_dir).where("t % 5 = 0"), 2, "end").withColumn("which", F.lit("last"))
+    return first.unionAll(last).select("which", "fov", "y", "x", F.round("v", 6).alias("v"))
+
+
+def block_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames as they are registered: a region, as block means."""
+    return _pixels(registration.prepared(_stack(spark, sf_dir), None, (1, -1), (0, 7), 2))
+
+
 def downsample_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     small = means.downsample(frames.pixels(_stack(spark, sf_dir)), 3)
     return small.select("fov", "t", "y", "x", F.round("v", 6).alias("v"))
@@ -58,7 +70,7 @@ def select_times(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def select_roi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _pixels(selection.select_roi(selection.select_times(_stack(spark, sf_dir), 0, 2), (2, -1), (1, 5)))
+    return _pixels(selection.select_roi(_stack(spark, sf_dir), (2, -1), (1, 5)))
 
 
 def single_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +92,7 @@ def previous_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flipped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stack = _stack(spark, sf_dir).where("t < 2")
+    stack = _stack(spark, sf_dir)
     return _pixels(stack.withColumn("pixels", geometry.flip_rows(F.col("pixels"), F.col("w"))))
 
 
@@ -95,12 +107,12 @@ def _shifts(stack: DataFrame) -> DataFrame:
 
 
 def warped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stack = _stack(spark, sf_dir).where("t < 5")
+    stack = _stack(spark, sf_dir)
     return _pixels(geometry.warp(stack, _shifts(stack)))
 
 
 def warped_rotated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stack = _stack(spark, sf_dir).where("t < 5")
+    stack = _stack(spark, sf_dir)
     return _pixels(geometry.warp(stack, _shifts(stack), 10.0))
 
 
@@ -149,19 +161,21 @@ PLANS = {
     "mean_image": (mean_image, FRAMES_SQL + f"SELECT fov, y, x, round(avg(v), 6) AS v FROM px JOIN {_LAST} l USING (fov) WHERE t > last - 10 GROUP BY fov, y, x"),
     "mean_image_start": (mean_image_start, FRAMES_SQL + "SELECT fov, y, x, round(avg(v), 6) AS v FROM px WHERE t < 5 GROUP BY fov, y, x"),
     "row_profile": (row_profile, FRAMES_SQL + f", m AS (SELECT fov, y, x, avg(v) AS v FROM px JOIN {_LAST} l USING (fov) WHERE t > last - 10 GROUP BY fov, y, x) SELECT fov, y, round(avg(v), 6) AS profile FROM m GROUP BY fov, y"),
+    "mean_after_subset": (mean_after_subset, FRAMES_SQL + "SELECT 'first' AS which, fov, y, x, round(avg(v), 6) AS v FROM px WHERE t >= 5 AND t < 15 GROUP BY fov, y, x UNION ALL SELECT 'last', fov, y, x, round(avg(v), 6) FROM px JOIN (SELECT fov, t, row_number() OVER (PARTITION BY fov ORDER BY t DESC) AS n FROM fr WHERE t % 5 = 0) l USING (fov, t) WHERE n <= 2 GROUP BY fov, y, x"),
+    "block_means": (block_means, FRAMES_SQL + "SELECT fov, t, CAST((y - 1) // 2 AS INT) AS y, CAST(x // 2 AS INT) AS x, round(avg(v), 6) AS v FROM px WHERE y >= 1 AND y < 7 AND x < 6 GROUP BY fov, t, (y - 1) // 2, x // 2"),
     "downsample_mean": (downsample_mean, FRAMES_SQL + "SELECT fov, t, y // 3 AS y, x // 3 AS x, round(avg(v), 6) AS v FROM px WHERE y < 6 AND x < 6 GROUP BY fov, t, y // 3, x // 3"),
     "select_fovs": (select_fovs, FRAMES_SQL + "SELECT fov, count(*) AS n_frames FROM fr WHERE fov IN ('XYPos:2', 'XYPos:5') GROUP BY fov"),
     "discard_fovs": (discard_fovs, FRAMES_SQL + "SELECT fov, count(*) AS n_frames FROM fr WHERE fov <> 'XYPos:0' GROUP BY fov"),
     "select_times": (select_times, FRAMES_SQL + "SELECT fov, min(t) AS first_t, max(t) AS last_t FROM fr, (SELECT max(t) + 1 AS n FROM fr) WHERE t >= 2 AND t < n - 3 GROUP BY fov"),
-    "select_roi": (select_roi, FRAMES_SQL + "SELECT fov, t, y - 2 AS y, x - 1 AS x, round(v, 6) AS v FROM px WHERE t < 2 AND y >= 2 AND y < 7 AND x >= 1 AND x < 5"),
+    "select_roi": (select_roi, FRAMES_SQL + "SELECT fov, t, y - 2 AS y, x - 1 AS x, round(v, 6) AS v FROM px WHERE y >= 2 AND y < 7 AND x >= 1 AND x < 5"),
     "single_frame": (single_frame, FRAMES_SQL + "SELECT fov, t, y, x, round(v, 6) AS v FROM px WHERE fov = 'XYPos:3' AND t = 4"),
     "strided_times": (strided_times, FRAMES_SQL + "SELECT fov, t FROM fr WHERE t IN (0, 20)"),
     "sequence_index": (sequence_index, FRAMES_SQL + "SELECT fov, t, CAST(t * 30 + p_index * 3 AS BIGINT) AS seq FROM fr"),
     "previous_pairs": (previous_pairs, FRAMES_SQL + "SELECT fov, t, t - 1 AS previous_t FROM fr WHERE t > 0"),
-    "flipped": (flipped, FRAMES_SQL + "SELECT fov, t, 7 - y AS y, x, round(v, 6) AS v FROM px WHERE t < 2"),
+    "flipped": (flipped, FRAMES_SQL + "SELECT fov, t, 7 - y AS y, x, round(v, 6) AS v FROM px"),
     "kymograph": (kymograph, FRAMES_SQL + "SELECT fov, y, CAST(row_number() OVER (PARTITION BY fov, y ORDER BY t, x) - 1 AS INT) AS place, round(v, 6) AS v FROM px WHERE t IN (0, 10, 20)"),
-    "warped": (warped, FRAMES_SQL + _SHIFTS + _PLAIN + _WARP + "SELECT fov, t, y, x, round(v, 6) AS v FROM wp WHERE t < 5"),
-    "warped_rotated": (warped_rotated, FRAMES_SQL + _SHIFTS + _ROTATED + _WARP + "SELECT fov, t, y, x, round(v, 6) AS v FROM wp WHERE t < 5"),
+    "warped": (warped, FRAMES_SQL + _SHIFTS + _PLAIN + _WARP + "SELECT fov, t, y, x, round(v, 6) + 0.0::DOUBLE AS v FROM wp"),
+    "warped_rotated": (warped_rotated, FRAMES_SQL + _SHIFTS + _ROTATED + _WARP + "SELECT fov, t, y, x, round(v, 6) + 0.0::DOUBLE AS v FROM wp"),
     "registered_mean": (registered_mean, FRAMES_SQL + _SHIFTS + _PLAIN + _WARP + f"SELECT fov, y, x, round(avg(v), 6) AS v FROM wp JOIN {_LAST} l USING (fov) WHERE t > last - 10 GROUP BY fov, y, x"),
     "rotation_matrix": (rotation_matrix, FRAMES_SQL + _SHIFTS + _ROTATED + "SELECT fov, t, round(m00, 9) AS m00, round(m01, 9) AS m01, round(m02, 9) AS m02, round(m10, 9) AS m10, round(m11, 9) AS m11, round(m12, 9) AS m12 FROM mt"),
     "alignment_errors": (alignment_errors, FRAMES_SQL + "SELECT fov, t FROM fr WHERE t = 3"),

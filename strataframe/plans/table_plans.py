@@ -106,25 +106,25 @@ def peaks_apart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lane_orientation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _profile(spark, sf_dir).select("fov", "profile", F.explode(F.sequence(F.lit(0), F.lit(119), F.lit(7))).alias("place"))
+    rows = _profile(spark, sf_dir).select("fov", "profile", F.explode(F.sequence(F.lit(0), F.lit(119))).alias("place"))
     return rows.select("fov", "place", trenches.orientation(F.col("profile"), F.col("place"), 5).alias("orientation"))
 
 
 def _boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trenches made up from the parts: 3 x 3 boxes in 8 x 8 images."""
-    part = _read(spark, sf_dir, "part").where("p_partkey < 60")
+    part = _read(spark, sf_dir, "part")
     peak = part.select(
-        F.concat(F.lit("XYPos:"), (F.col("p_partkey") % 10).cast("string")).alias("fov"), (F.col("p_partkey") % 2).cast("int").alias("lane_index"),
+        F.concat(F.lit("XYPos:"), (F.col("p_partkey") % 12).cast("string")).alias("fov"), (F.col("p_partkey") % 2).cast("int").alias("lane_index"),
         (F.col("p_size") % 9).alias("peak"), F.lit(4).alias("y_center"), F.when(F.col("p_partkey") % 2 == 0, 1).otherwise(-1).alias("orientation"), (F.col("p_size") % 3).alias("trench_bottom_offset"),
     ).distinct()
     boxes = trenches.inside(trenches.trench_boxes(peak, 3, 3), F.lit(8), F.lit(8)).drop("peak", "y_center", "trench_bottom_offset")
-    return trenches.numbered(boxes, ["fov", "lane_index", "x_left", "y_top"])
+    return trenches.numbered(boxes, [*trenches.position_order(), "lane_index", "x_left", "y_top"])
 
 
-BOXES_SQL = """, pk AS (SELECT DISTINCT 'XYPos:' || CAST(p_partkey % 10 AS VARCHAR) AS fov, CAST(p_partkey % 2 AS INT) AS lane_index, p_size % 9 AS peak,
- CASE WHEN p_partkey % 2 = 0 THEN 1 ELSE -1 END AS orientation, p_size % 3 AS o FROM part WHERE p_partkey < 60),
+BOXES_SQL = """, pk AS (SELECT DISTINCT 'XYPos:' || CAST(p_partkey % 12 AS VARCHAR) AS fov, CAST(p_partkey % 2 AS INT) AS lane_index, p_size % 9 AS peak,
+ CASE WHEN p_partkey % 2 = 0 THEN 1 ELSE -1 END AS orientation, p_size % 3 AS o FROM part),
 bx0 AS (SELECT fov, lane_index, orientation, CAST(peak - 1 AS INT) AS x_left, CAST(peak + 2 AS INT) AS x_right, CAST(CASE WHEN orientation > 0 THEN 4 - o - 3 ELSE 4 + o END AS INT) AS y_top FROM pk),
-bx AS (SELECT CAST(row_number() OVER (ORDER BY fov, lane_index, x_left, y_top) - 1 AS INT) AS trench_id, *, y_top + 3 AS y_bottom, orientation <= 0 AS needs_flip FROM bx0
+bx AS (SELECT CAST(row_number() OVER (ORDER BY CAST(fov[7:] AS INT), lane_index, x_left, y_top) - 1 AS INT) AS trench_id, *, y_top + 3 AS y_bottom, orientation <= 0 AS needs_flip FROM bx0
  WHERE x_left >= 0 AND x_right <= 8 AND y_top >= 0 AND y_top + 3 <= 8)
 """
 _BOXES = "WITH " + BOXES_SQL.lstrip(", ")
@@ -147,7 +147,7 @@ def trench_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trench_crops(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stack = frames.from_embeddings(spark, sf_dir).where("t < 3")
+    stack = frames.from_embeddings(spark, sf_dir)
     crops = trenches.crops(stack, _shifts(stack), _boxes(spark, sf_dir), integers=False)
     rows = frames.pixels(crops)
     return rows.select("trench_id", "t", "y", "x", F.round("v", 6).alias("v"))
@@ -163,7 +163,9 @@ def stored_size(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trenches.fingerprint(_boxes(spark, sf_dir), names.canonical_json({"codec": "zstd", "level": 3}))
+    stack = frames.from_embeddings(spark, sf_dir)
+    moved = _shifts(stack).select("fov", "t", F.round(F.col("tx") * 4).cast("int").alias("tx"), F.round(F.col("ty") * 4).cast("int").alias("ty"))
+    return trenches.fingerprint(_boxes(spark, sf_dir), names.canonical_json({"codec": "zstd", "level": 3}), moved)
 
 
 def pending_fovs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,6 +174,22 @@ def pending_fovs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.pending(stack, done).groupBy("fov").agg(F.count(F.lit(1)).alias("n_frames"))
 
 
+def _lanes(stack: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The mean image and the lanes found in it, with a smoothing and a window that suit images of 8 x 8 pixels."""
+    image = means.mean_image(stack, 10, "end")
+    return image, trenches.detect_lanes(image, sigma=1.0, distance=1, height=-10, window_um=3.0)
+
+
+def detected_lanes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lanes(frames.from_embeddings(spark, sf_dir))[1]
+
+
+def detected_trenches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stack = frames.from_embeddings(spark, sf_dir)
+    image, lanes = _lanes(stack)
+    return trenches.detect_trenches(image, lanes, sigma=1.0, distance=1, prominence=0, height=-10, trench_width=2, trench_length=2, trench_bottom_offset=0, positions=stack, least_band=2)
+
+
 def band_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     stack = frames.from_embeddings(spark, sf_dir)
     lanes = stack.select("fov", (F.col("p_index") % 8).alias("y_center"), F.lit(0).alias("lane_index")).distinct()
@@ -179,6 +197,20 @@ def band_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.select("fov", "lane_index", "x", F.round("profile", 6).alias("profile"))
 
 
+#: Mean images, row profiles, smoothed ones (sigma 1, mirrored ends), their peaks, and which side of each is brighter.
+_LANES = """, m AS (SELECT fov, p_index, y, x, avg(v) AS v FROM px JOIN (SELECT fov, max(t) AS last FROM fr GROUP BY fov) l USING (fov) WHERE t > last - 10 GROUP BY fov, p_index, y, x),
+k0 AS (SELECT i, exp(-0.5::DOUBLE * i * i) AS w FROM range(-4, 5) r(i)), kw AS (SELECT i, w / (SELECT sum(w) FROM k0) AS w FROM k0),
+pf AS (SELECT fov, p_index, y, avg(v) AS v FROM m GROUP BY fov, p_index, y),
+sm AS (SELECT a.fov, a.y, sum(kw.w * b.v) AS v FROM pf a CROSS JOIN kw JOIN pf b ON b.fov = a.fov AND b.y = CASE WHEN (a.y + kw.i + 16) % 16 < 8 THEN (a.y + kw.i + 16) % 16 ELSE 15 - (a.y + kw.i + 16) % 16 END GROUP BY a.fov, a.y),
+lp AS (SELECT fov, y AS y_center FROM (SELECT fov, y, v, lag(v) OVER o AS pv, lead(v) OVER o AS nv FROM sm WINDOW o AS (PARTITION BY fov ORDER BY y)) WHERE v > pv AND v > nv),
+ln AS (SELECT lp.fov, CAST(row_number() OVER (PARTITION BY lp.fov ORDER BY y_center) - 1 AS INT) AS lane_index, y_center, CASE WHEN avg(CASE WHEN y < y_center THEN v END) > avg(CASE WHEN y >= y_center THEN v END) THEN 1 ELSE -1 END AS orientation
+ FROM lp JOIN pf ON pf.fov = lp.fov AND y >= y_center - 3 AND y < y_center + 3 GROUP BY lp.fov, y_center)
+"""
+_TRENCHES = """, bp AS (SELECT ln.fov, lane_index, y_center, orientation, p_index, x, avg(v) AS v FROM ln JOIN m ON m.fov = ln.fov AND y >= y_center - 2 AND y < y_center + 2 GROUP BY ALL),
+bs AS (SELECT a.fov, a.lane_index, a.y_center, a.orientation, a.p_index, a.x, sum(kw.w * b.v) AS v FROM bp a CROSS JOIN kw JOIN bp b ON b.fov = a.fov AND b.lane_index = a.lane_index AND b.x = CASE WHEN (a.x + kw.i + 16) % 16 < 8 THEN (a.x + kw.i + 16) % 16 ELSE 15 - (a.x + kw.i + 16) % 16 END GROUP BY ALL),
+tp AS (SELECT *, x - 1 AS x_left, CASE WHEN orientation > 0 THEN y_center - 2 ELSE y_center END AS y_top FROM (SELECT *, lag(v) OVER o AS pv, lead(v) OVER o AS nv FROM bs WINDOW o AS (PARTITION BY fov, lane_index ORDER BY x)) WHERE v > pv AND v > nv)
+SELECT CAST(row_number() OVER (ORDER BY p_index, lane_index, x_left) - 1 AS INT) AS trench_id, fov, lane_index, CAST(x_left AS INT) AS x_left, CAST(x_left + 2 AS INT) AS x_right, CAST(y_top AS INT) AS y_top, CAST(y_top + 2 AS INT) AS y_bottom, orientation, orientation < 0 AS needs_flip
+ FROM tp WHERE x_left >= 0 AND x_left + 2 <= 8 AND y_top >= 0 AND y_top + 2 <= 8"""
 _PROFILE = """WITH c AS (SELECT event_type AS fov, CAST((event_id % 720) // 6 AS INT) AS x, CAST(count(*) AS DOUBLE) AS v FROM events GROUP BY 1, 2),
 g AS (SELECT f.fov, CAST(r.x AS INT) AS x, coalesce(c.v, 0) AS v FROM (SELECT DISTINCT fov FROM c) f CROSS JOIN range(120) r(x) LEFT JOIN c ON c.fov = f.fov AND c.x = r.x)
 """
@@ -205,15 +237,19 @@ PLANS = {
     "convolved": (convolved, _PROFILE + "SELECT a.fov, CAST(a.x + k.i AS INT) AS x, round(sum(a.v * k.w) / 4, 6) AS v FROM g a CROSS JOIN (VALUES (0, 1.0::DOUBLE), (1, 2.0::DOUBLE), (2, 1.0::DOUBLE)) k(i, w) GROUP BY 1, 2"),
     "peaks": (peaks, _PROFILE + _PEAKS),
     "peaks_apart": (peaks_apart, None),
-    "lane_orientation": (lane_orientation, _PROFILE + "SELECT a.fov, a.x AS place, CASE WHEN avg(CASE WHEN b.x < a.x THEN b.v END) > avg(CASE WHEN b.x >= a.x THEN b.v END) THEN 1 ELSE -1 END AS orientation FROM g a JOIN g b ON b.fov = a.fov AND b.x >= a.x - 5 AND b.x < a.x + 5 WHERE a.x % 7 = 0 GROUP BY a.fov, a.x"),
+    "lane_orientation": (lane_orientation, _PROFILE + "SELECT a.fov, a.x AS place, CASE WHEN avg(CASE WHEN b.x < a.x THEN b.v END) > avg(CASE WHEN b.x >= a.x THEN b.v END) THEN 1 ELSE -1 END AS orientation FROM g a JOIN g b ON b.fov = a.fov AND b.x >= a.x - 5 AND b.x < a.x + 5 GROUP BY a.fov, a.x"),
+    "detected_lanes": (detected_lanes, FRAMES_SQL + _LANES + "SELECT fov, lane_index, y_center, orientation FROM ln"),
+    "detected_trenches": (detected_trenches, FRAMES_SQL + _LANES + _TRENCHES),
     "trench_table": (trench_table, _BOXES + "SELECT trench_id, fov, lane_index, orientation, x_left, x_right, y_top, y_bottom, needs_flip FROM bx"),
     "trench_slots": (trench_slots, _BOXES + "SELECT trench_id, CAST(row_number() OVER (ORDER BY trench_id) - 1 AS INT) AS slot FROM bx WHERE trench_id NOT IN (1, 3)"),
     "trench_bands": (trench_bands, _BOXES + "SELECT fov, y_top, y_bottom, string_agg(CAST(trench_id AS VARCHAR), ',' ORDER BY trench_id) AS trench_ids FROM bx GROUP BY fov, y_top, y_bottom"),
     "trench_counts": (trench_counts, _BOXES + "SELECT fov, count(*) AS n_trenches, count(DISTINCT lane_index) AS n_lanes FROM bx GROUP BY fov"),
-    "trench_crops": (trench_crops, FRAMES_SQL + _SHIFTS + _PLAIN + _WARP + BOXES_SQL + "SELECT trench_id, t, CASE WHEN needs_flip THEN y_bottom - 1 - y ELSE y - y_top END AS y, x - x_left AS x, round(v, 6) AS v FROM wp JOIN bx USING (fov) WHERE t < 3 AND x >= x_left AND x < x_right AND y >= y_top AND y < y_bottom"),
+    "trench_crops": (trench_crops, FRAMES_SQL + _SHIFTS + _PLAIN + _WARP + BOXES_SQL + "SELECT trench_id, t, CASE WHEN needs_flip THEN y_bottom - 1 - y ELSE y - y_top END AS y, x - x_left AS x, round(v, 6) AS v FROM wp JOIN bx USING (fov) WHERE x >= x_left AND x < x_right AND y >= y_top AND y < y_bottom"),
     "trench_sources": (trench_sources, FRAMES_SQL + BOXES_SQL + "SELECT trench_id, p_index, t, t * 30000.0::DOUBLE AS t_ms FROM bx JOIN fr USING (fov)"),
     "stored_size": (stored_size, _BOXES + ", n AS (SELECT CAST(sum(9) * 750 * 2 * 2 AS DOUBLE) AS n_bytes FROM bx) SELECT n_bytes, CASE WHEN n_bytes < 1024 THEN format('{:.1f} B', n_bytes) WHEN n_bytes < 1048576 THEN format('{:.1f} KB', n_bytes / 1024) ELSE format('{:.1f} MB', n_bytes / 1048576) END AS size FROM n"),
-    "fingerprint": (fingerprint, _BOXES + """SELECT sha256(string_agg('{"trench_id":' || trench_id || ',"fov":"' || fov || '","lane_index":' || lane_index || ',"x_left":' || x_left || ',"x_right":' || x_right || ',"y_top":' || y_top || ',"y_bottom":' || y_bottom || ',"orientation":' || orientation || '}', chr(10) ORDER BY trench_id) || chr(10) || '{"codec":"zstd","level":3}') AS fingerprint FROM bx"""),
+    "fingerprint": (fingerprint, FRAMES_SQL + _SHIFTS + BOXES_SQL + """, e AS (SELECT fov, 0 AS kind, trench_id AS spot, '{"trench_id":' || trench_id || ',"fov":"' || fov || '","lane_index":' || lane_index || ',"x_left":' || x_left || ',"x_right":' || x_right || ',"y_top":' || y_top || ',"y_bottom":' || y_bottom || ',"orientation":' || orientation || ',"needs_flip":' || needs_flip || '}' AS line FROM bx
+ UNION ALL SELECT fov, 1, t, '{"t":' || t || ',"tx":' || CAST(round(tx * 4) AS INT) || ',"ty":' || CAST(round(ty * 4) AS INT) || '}' FROM sh),
+h AS (SELECT sha256(string_agg(line, chr(10) ORDER BY kind, spot)) AS hash FROM e GROUP BY fov) SELECT sha256(string_agg(hash, chr(10) ORDER BY hash) || chr(10) || '{"codec":"zstd","level":3}') AS fingerprint FROM h"""),
     "pending_fovs": (pending_fovs, FRAMES_SQL + "SELECT fov, count(*) AS n_frames FROM fr WHERE p_index % 3 <> 0 GROUP BY fov"),
     "band_profile": (band_profile, FRAMES_SQL + ", m AS (SELECT fov, p_index, y, x, avg(v) AS v FROM px JOIN (SELECT fov, max(t) AS last FROM fr GROUP BY fov) l USING (fov) WHERE t > last - 10 GROUP BY fov, p_index, y, x) SELECT fov, 0 AS lane_index, x, round(avg(v), 6) AS profile FROM m WHERE y >= p_index % 8 - 2 AND y < p_index % 8 + 2 GROUP BY fov, x"),
 }

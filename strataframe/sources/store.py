@@ -5,6 +5,8 @@ All paths go through Spark's file systems, so a store may lie anywhere that Spar
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.names import canonical_json
@@ -56,6 +58,16 @@ class Store:
         """Whether a complete section was made with equal parameters."""
         return self.has(section) and self._manifest(section)["params"] == canonical_json(params)
 
+    def params(self, section: str) -> dict:
+        """The parameters that a complete section was made with."""
+        if not self.has(section):
+            raise RuntimeError(f"section {section!r} is not complete")
+        return json.loads(self._manifest(section)["params"])
+
+    def wipe(self) -> None:
+        """Delete all sections."""
+        self.reset(SECTIONS[0])
+
     def reset(self, section: str) -> None:
         """Delete a section and those of the stages after it."""
         for name in SECTIONS[SECTIONS.index(section) :]:
@@ -67,19 +79,51 @@ def pending(frames: DataFrame, done: DataFrame) -> DataFrame:
     return frames.join(done.select("fov"), "fov", "left_anti")
 
 
-def write_crops(crops: DataFrame, path: str, fingerprint: str, resume: bool = True, compression: str = "zstd") -> None:
-    """Write crops with a folder a position; a run that goes on writes the missing positions only.
+def write_crops(crops: DataFrame, path: str, fingerprint: str, resume: bool = True, compression: str = "zstd", batch: int = 16) -> None:
+    """Write crops with a folder a position, ``batch`` positions at a time; a run that goes on writes the missing positions only.
 
-    A store of another fingerprint is refused with RuntimeError.
+    A batch's positions are recorded once they are written, so a crash loses a
+    batch at most.  A store of another fingerprint is refused with RuntimeError; without
+    ``resume`` what the store holds is deleted first.
     """
     spark = crops.sparkSession
     store = Store(spark, path)
     codec = compression if compression == "zstd" else "uncompressed"
-    if resume and store._exists(f"{path}/manifest"):
+    if not resume:
+        for part in ("crops", "manifest"):
+            store._delete(f"{path}/{part}")
+    # only names of positions are read for these: columns that nobody asks for are not computed
+    names = crops.select("fov").distinct()
+    if store._exists(f"{path}/manifest"):
         kept = spark.read.parquet(f"{path}/manifest")
         if kept.where(F.col("fingerprint") != fingerprint).limit(1).count():
             raise RuntimeError("the store was written with other trenches or settings")
-        crops = pending(crops, kept)
-    crops.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", codec).partitionBy("fov").parquet(f"{path}/crops")
-    written = crops.select("fov").distinct().withColumn("fingerprint", F.lit(fingerprint))
-    written.write.mode("append" if resume else "overwrite").parquet(f"{path}/manifest")
+        names = pending(names, kept)
+    missing = sorted(r.fov for r in names.collect())
+    for at in range(0, len(missing), batch):
+        own = missing[at : at + batch]
+        crops.where(F.col("fov").isin(own)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", codec).partitionBy("fov").parquet(f"{path}/crops")
+        spark.createDataFrame([(f, fingerprint) for f in own], "fov string, fingerprint string").coalesce(1).write.mode("append").parquet(f"{path}/manifest")
+
+
+GROUPS = ("source_frames", "events", "acquisition")
+
+
+def write_groups(path: str, **groups: DataFrame) -> None:
+    """Write the metadata tables that belong to crops beside them: source_frames, events and acquisition, each replaced whole.
+
+    A table without columns (no records were found) is left out, and an old one of its name deleted.
+    """
+    if unknown := sorted(set(groups) - set(GROUPS)):
+        raise ValueError(f"unknown groups {unknown}; there are {list(GROUPS)}")
+    for name, table in groups.items():
+        if table.columns:
+            table.write.mode("overwrite").parquet(f"{path}/metadata/{name}")
+        else:
+            Store(table.sparkSession, path)._delete(f"{path}/metadata/{name}")
+
+
+def read_group(spark: SparkSession, path: str, name: str) -> DataFrame | None:
+    """A metadata table of a store, or None if it has none."""
+    at = f"{path}/metadata/{name}"
+    return spark.read.parquet(at) if Store(spark, path)._exists(at) else None

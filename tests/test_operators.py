@@ -189,6 +189,71 @@ def test_names():
     assert canonical_json({"b": 1, "a": "é"}) == '{"a":"\\u00e9","b":1}'
 
 
+def test_names_by_rule():
+    cases = {"gain(3)": "gain_3", "x[]": "x_value", "a[b]c": "a_bc", "a[3]B": "a_field_3_b", "{mode}": "mode", "HTTPServer": "httpserver", "aB1C": "a_b1_c", "a[b[c]d]": "a_b_cd", "open[": "open", "é x": "x"}
+    assert {n: snake_name(n) for n in cases} == cases
+
+
+def test_edge_frames_of_a_subset(spark):
+    data = stack(spark, {("a", 0, t): np.full((2, 2), 100.0 * t) for t in range(30)})
+    value = lambda image: image.first().v
+    assert value(means.mean_image(selection.select_times(data, 5, 20), 10, "start")) == 950
+    assert value(means.mean_image(data.where("t % 5 = 0"), 2, "end")) == 2250
+    assert means.edge_frames(data, 99, "end").count() == 30
+
+
+def test_registration_takes_one_channel(spark):
+    rows = [(t, c, shift) for t, shift in ((0, 0.0), (1, 2.0)) for c in ("gfp", "phase")]
+    images = [("a", 0, t, c, 40, 40, (blob(40, 40, 20, 20 + s) if c == "phase" else blob(40, 40, 20, 20) * 0 + t).ravel().tolist()) for t, c, s in rows]
+    data = spark.createDataFrame(images, SCHEMA)
+    found = registration.register(data, "first", channel="phase").orderBy("t").collect()
+    assert len(found) == 2 and abs(found[1].tx - 2) < 0.05
+    assert registration.register(data, "first").count() == 2 and geometry.warp(data, registration.register(data, "previous", channel="phase")).count() == 4
+    small = registration.prepared(data, "phase", (0, 36), None, 2)
+    assert {(r.h, r.w, len(r.pixels)) for r in small.collect()} == {(18, 20, 360)}
+    half = registration.register(small, "first", downsampled=2).orderBy("t").collect()
+    assert abs(half[1].tx - 2) < 0.2
+
+
+def test_trenches_follow_the_positions(spark):
+    names = spark.createDataFrame([(f"XYPos:{i}", 0, 5) for i in (10, 2, 0, 11, 1)] + [("other", 0, 1)], "fov string, lane_index int, x_left int")
+    assert [r.fov for r in trenches.numbered(names, [*trenches.position_order(), "lane_index"]).orderBy("trench_id").collect()] == ["XYPos:0", "XYPos:1", "XYPos:2", "XYPos:10", "XYPos:11", "other"]
+    boxes = spark.createDataFrame([(0, "a", 0, 1, 3, 0, 2, 1, False)], "trench_id int, fov string, lane_index int, x_left int, x_right int, y_top int, y_bottom int, orientation int, needs_flip boolean")
+    moved = spark.createDataFrame([("a", 0, 0.5, 0.0)], "fov string, t int, tx double, ty double")
+    marks = {trenches.fingerprint(b, s, m).first()[0] for b, s, m in ((boxes, "s", None), (boxes, "s", moved), (boxes, "s", moved.withColumn("tx", F.lit(0.6))), (boxes, "u", moved), (boxes.withColumn("needs_flip", F.lit(True)), "s", moved))}
+    assert len(marks) == 5
+
+
+def test_a_crash_loses_one_batch(spark, tmp_path):
+    path = f"{tmp_path}/s"
+    crops = spark.createDataFrame([(f, k) for k, f in enumerate("abc")], "fov string, v int")
+    fails = crops.withColumn("v", F.when(F.col("fov") == "b", F.raise_error(F.lit("crash")).cast("int")).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="crash"):
+        store.write_crops(fails, path, "f", batch=1)
+    assert [r.fov for r in spark.read.parquet(f"{path}/manifest").collect()] == ["a"]
+    store.write_crops(crops.withColumn("v", F.col("v") + 10), path, "f", batch=1)
+    assert sorted((r.fov, r.v) for r in spark.read.parquet(f"{path}/crops").collect()) == [("a", 0), ("b", 11), ("c", 12)]
+    store.write_crops(crops.where("fov = 'c'"), path, "other", resume=False)
+    assert [(r.fov, r.v) for r in spark.read.parquet(f"{path}/crops").collect()] == [("c", 2)]
+    store.write_groups(path, events=crops, acquisition=crops.select())
+    assert store.read_group(spark, path, "events").count() == 3 and store.read_group(spark, path, "acquisition") is None
+    with pytest.raises(ValueError):
+        store.write_groups(path, other=crops)
+    keep = store.Store(spark, f"{tmp_path}/t")
+    keep.save("lanes", crops, {"a": 1})
+    assert keep.params("lanes") == {"a": 1}
+    keep.wipe()
+    assert not keep.has("lanes")
+
+
+def test_bad_numbers_in_metadata_are_null(spark):
+    read = spark.createDataFrame([('{"channels":[{"time":{"relativeTimeMs":"n/a"}}]}',)], "json string").select(*metadata.frame_scalars(F.col("json"))).first()
+    assert read.relative_time_ms is None
+    bad = spark.createDataFrame([('{"Index": 1, "T Index": "x"}',)], "json string")
+    at = spark.createDataFrame([(0,)], "p_index int"), spark.createDataFrame([(0,)], "t int")
+    assert metadata.split_events(bad, *at)[0].count() == 1
+
+
 def test_ingest_is_idempotent(spark, tmp_path):
     from strataframe.streaming.ingest import ingest_frames
 
