@@ -71,7 +71,7 @@ def key_types(records: DataFrame, text: str = "json") -> DataFrame:
 
 
 def records_table(records: DataFrame, prefix: str, text: str = "json") -> DataFrame:
-    """Records as columns: one for each key, sorted, named in snake case with a prefix; the key is kept in the column's metadata.
+    """Records as columns: one for each key, sorted, named in snake case with a prefix (if not empty); the key is kept in the column's metadata.
 
     Of keys with equal names the last counts.  Keys are column names, so they are known on the driver.
     """
@@ -83,7 +83,8 @@ def records_table(records: DataFrame, prefix: str, text: str = "json") -> DataFr
         value = F.col("__record")[key].try_cast(cast[types[key]])
         if types[key] == "string":
             value = F.coalesce(value, F.lit(""))
-        columns[f"{prefix}_{snake_name(key)}"] = value.alias(f"{prefix}_{snake_name(key)}", metadata={"source_name": key})
+        name = "_".join(filter(None, (prefix, snake_name(key))))
+        columns[name] = value.alias(name, metadata={"source_name": key})
     return records.withColumn("__record", record).select(*[c for c in records.columns if c != text], *columns.values())
 
 

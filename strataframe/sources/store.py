@@ -20,15 +20,18 @@ class Store:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
+    def _at(self, path: str):
+        """A path and the file system that it lies in."""
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p, p.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+
     def _exists(self, path: str) -> bool:
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).exists(p)
+        p, system = self._at(path)
+        return system.exists(p)
 
     def _delete(self, path: str) -> None:
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
+        p, system = self._at(path)
+        system.delete(p, True)
 
     def _write_params(self, section: str, params: dict, complete: bool) -> None:
         row = [(canonical_json(params), complete)]
@@ -64,10 +67,35 @@ class Store:
             raise RuntimeError(f"section {section!r} is not complete")
         return json.loads(self._manifest(section)["params"])
 
+    def attributes(self) -> dict:
+        """What the store says of its source; empty before it is said."""
+        path = f"{self.path}/attributes"
+        return json.loads(self.spark.read.parquet(path).first()["attributes"]) if self._exists(path) else {}
+
+    def set_attributes(self, attributes: dict) -> None:
+        row = [(canonical_json(attributes),)]
+        self.spark.createDataFrame(row, "attributes string").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/attributes")
+
+    def exists(self) -> bool:
+        return self._exists(self.path)
+
+    def make(self) -> None:
+        """Make the folder if it isn't there."""
+        path, system = self._at(self.path)
+        system.mkdirs(path)
+
+    def size(self) -> int:
+        """The bytes of all files at the path."""
+        path, system = self._at(self.path)
+        return system.getContentSummary(path).getLength()
+
     def wipe(self) -> None:
-        """Delete all sections."""
+        """Delete all sections; what the store says of its source stays."""
         self.reset(SECTIONS[0])
 
+    def __repr__(self) -> str:
+        return f"Store at {self.path} (complete: {', '.join(s for s in SECTIONS if self.has(s)) or 'nothing'})"
+
     def reset(self, section: str) -> None:
         """Delete a section and those of the stages after it."""
         for name in SECTIONS[SECTIONS.index(section) :]:
