@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..operators import geometry, means, registration, selection
-from ..sources import frames
+from ..sources import experiment, frames
 
 #: The frames of the twin, and their pixels, as a SQL prefix.
 FRAMES_SQL = """WITH fr AS (
@@ -69,6 +69,13 @@ def select_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return selection.select_times(_stack(spark, sf_dir), 2, -3).groupBy("fov").agg(F.min("t").alias("first_t"), F.max("t").alias("last_t"))
 
 
+def experiment_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An experiment's frames under all four selections; of two selections of times the last counts."""
+    whole = experiment.Experiment(f"{sf_dir}/embeddings.parquet", experiment.with_axes(_stack(spark, sf_dir)))
+    part = whole.discard_fovs(["XYPos:0"]).select_times(0, 2).select_times(1, -2).select_fovs([1, 2, "XYPos:4"]).select_roi(y=(1, 3))
+    return _pixels(part.frames)
+
+
 def select_roi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pixels(selection.select_roi(_stack(spark, sf_dir), (2, -1), (1, 5)))
 
@@ -167,6 +174,7 @@ PLANS = {
     "select_fovs": (select_fovs, FRAMES_SQL + "SELECT fov, count(*) AS n_frames FROM fr WHERE fov IN ('XYPos:2', 'XYPos:5') GROUP BY fov"),
     "discard_fovs": (discard_fovs, FRAMES_SQL + "SELECT fov, count(*) AS n_frames FROM fr WHERE fov <> 'XYPos:0' GROUP BY fov"),
     "select_times": (select_times, FRAMES_SQL + "SELECT fov, min(t) AS first_t, max(t) AS last_t FROM fr, (SELECT max(t) + 1 AS n FROM fr) WHERE t >= 2 AND t < n - 3 GROUP BY fov"),
+    "experiment_frames": (experiment_frames, FRAMES_SQL + ", ps AS (SELECT fov, row_number() OVER (ORDER BY p_index) - 1 AS place FROM (SELECT DISTINCT fov, p_index FROM fr)) SELECT px.fov, t, y - 1 AS y, x, round(v, 6) AS v FROM px JOIN ps ON ps.fov = px.fov, (SELECT max(t) + 1 AS n FROM fr) WHERE (place IN (1, 2) OR px.fov = 'XYPos:4') AND px.fov <> 'XYPos:0' AND t >= 1 AND t < n - 2 AND y >= 1 AND y < 3"),
     "select_roi": (select_roi, FRAMES_SQL + "SELECT fov, t, y - 2 AS y, x - 1 AS x, round(v, 6) AS v FROM px WHERE y >= 2 AND y < 7 AND x >= 1 AND x < 5"),
     "single_frame": (single_frame, FRAMES_SQL + "SELECT fov, t, y, x, round(v, 6) AS v FROM px WHERE fov = 'XYPos:3' AND t = 4"),
     "strided_times": (strided_times, FRAMES_SQL + "SELECT fov, t FROM fr WHERE t IN (0, 20)"),

@@ -10,13 +10,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 SIDE = 8
+#: Ids are ranked in blocks of so many, so no task sorts the frames of a whole position.
+BLOCK = 1 << 16
 
 
-def from_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _ranked(raw: DataFrame, block: int) -> DataFrame:
+    """The rows with ``rank``, from 0, of their vec_id in their label (nulls first).
+
+    A block of ids is ranked by itself; what the blocks before it hold is a sum over one thin row a block.
+    """
+    rows = raw.withColumn("__block", F.coalesce(F.expr(f"vec_id div {block}"), F.lit(-(1 << 63))))
+    before = Window.partitionBy("label").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy("label", "__block").agg(F.count(F.lit(1)).alias("__n"))
+    sizes = sizes.select("label", "__block", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    own = F.row_number().over(Window.partitionBy("label", "__block").orderBy("vec_id")) - 1
+    return rows.withColumn("__own", own).join(sizes, ["label", "__block"]).withColumn("rank", F.col("__before") + F.col("__own"))
+
+
+def from_embeddings(spark: SparkSession, sf_dir: str, block: int = BLOCK) -> DataFrame:
     """fov, p_index, t, t_ms, c, h, w and pixels (doubles) of every frame."""
-    raw = spark.read.parquet(f"{sf_dir}/embeddings.parquet").where("label is not null")
-    order = Window.partitionBy("label").orderBy("vec_id")
-    t = (F.row_number().over(order) - 1).cast("int")
+    raw = _ranked(spark.read.parquet(f"{sf_dir}/embeddings.parquet").where("label is not null"), block)
+    t = F.col("rank").cast("int")
     return raw.select(
         F.concat(F.lit("XYPos:"), F.col("label").cast("string")).alias("fov"),
         F.col("label").cast("int").alias("p_index"),

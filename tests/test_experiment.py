@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from strataframe.functions.plain import plain, without_nan
 from strataframe.sources import experiment as ex
+from strataframe.sources import frames
 
 SCHEMA = "fov string, p_index int, t int, t_ms double, c string, h int, w int, pixels array<double>, pixel_um double"
 
@@ -114,3 +115,13 @@ def test_plain_values():
     value = {1: Box(point(np.int32(2), np.float32(0.5)), b"ok"), "p": Path("/a/b"), "l": (np.arange(2), {3}, None, True), "o": range(2)}
     assert plain(value) == {"1": {"at": {"x": 2, "y": 0.5}, "name": "ok"}, "p": "/a/b", "l": [[0, 1], [3], None, True], "o": "range(0, 2)"}
     assert without_nan({"a": [float("nan"), 1.0], "b": float("nan")}) == {"a": [None, 1.0], "b": None}
+
+
+def test_ranks_of_blocks_are_ranks_of_the_whole(spark):
+    ids = [None, -9, -1, 0, 5, 5, 16, 1 << 60, -(1 << 63), (1 << 63) - 1]
+    table = spark.createDataFrame([(v, label) for v in ids for label in (1, 2)], "vec_id long, label int")
+    for block in (1, 8, 1 << 16):
+        for label in (1, 2):
+            rows = frames._ranked(table, block).where(F.col("label") == label).orderBy("rank").collect()
+            assert [r["rank"] for r in rows] == list(range(len(ids)))
+            assert [r.vec_id for r in rows] == [None, *sorted(v for v in ids if v is not None)]
