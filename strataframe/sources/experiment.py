@@ -19,7 +19,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.names import canonical_json
-from ..functions.plain import plain, range_fields, without_nan
+from ..functions.plain import is_scalar, plain, range_fields, without_nan
 from ..operators import metadata, selection
 from .store import Store
 
@@ -241,7 +241,7 @@ def acquisition_table(spark: SparkSession, document: dict[str, Any], channel_nam
     own = [str(channel.get("name") or f"channel_{i}") for i, channel in enumerate(channels)]
     column = "c" if channel_names is None or len(channel_names) == len(own) else "acquisition_channel"
     names = channel_names if column == "c" and channel_names else own
-    scalars = [{k: v for k, v in channel.items() if k != "name" and not isinstance(v, list | dict)} for channel in channels]
+    scalars = [{k: v for k, v in channel.items() if k != "name" and is_scalar(v)} for channel in channels]
     rows = spark.createDataFrame([(i, str(name), json.dumps(values)) for i, (name, values) in enumerate(zip(names, scalars))], f"channel_index int, {column} string, json string")
     return metadata.records_table(rows, "").withColumn("raw_json", whole)
 
