@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, jaccard_join, language_id, line_dedup, neighbours, quality, sentencepiece_codec, sharding, span_dedup, sql, surrogates
+from . import decontaminate, fill_in_middle, jaccard_join, language_id, line_dedup, neighbours, quality, sentencepiece_codec, sharding, simhash_join, span_dedup, sql, surrogates, target_resampling
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,8 +71,23 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.round_trip(docs, keep=["doc_id"])
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.transform(_table(spark, sf_dir, "documents"))
+    back = fill_in_middle.restored(F.col("form"), F.col("output"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"))
+
+
+def op12_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = target_resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_join.linked(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_sharding, op3_quality, op4_decontaminate, op5_neighbours, op6_pii_surrogates, op7_jaccard_join, op8_line_dedup, op9_span_dedup, op10_sentencepiece)}
+    return {f.__name__: f for f in (op1_language_id, op2_sharding, op3_quality, op4_decontaminate, op5_neighbours, op6_pii_surrogates, op7_jaccard_join, op8_line_dedup, op9_span_dedup, op10_sentencepiece, op11_fill_in_middle, op12_target_resampling, op13_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
