@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from . import geometry, means, signal
+from . import geometry, kernels, means, signal
 
 #: Parameters that a lane may override; the shape must be equal for all.
 LANE_PARAMS = ("sigma", "distance", "prominence", "height", "trench_bottom_offset")
@@ -131,16 +131,17 @@ def bands(trenches: DataFrame) -> DataFrame:
 def crops(frames: DataFrame, transforms: DataFrame, trenches: DataFrame, degrees: float = 0.0, integers: bool = True) -> DataFrame:
     """trench_id, fov, t, c, h, w and pixels of every trench in every frame.
 
-    Only the pixels of the crops are computed; with ``integers`` their values are cut as the source's type would.
+    A frame meets all boxes of its position (one array a position) at once; each band of rows is
+    gathered once and then cut.  With ``integers`` values are cut as the source's type would.
+    Filters on fov, t and c pass below the cutting.
     """
-    joined = frames.join(transforms.select("fov", "t", "tx", "ty"), ["fov", "t"]).join(trenches, "fov")
-    m = geometry.compose(geometry.translation(F.col("tx"), F.col("ty")), geometry.rotation(degrees, F.col("h"), F.col("w")))
-    height, width = F.col("y_bottom") - F.col("y_top"), F.col("x_right") - F.col("x_left")
-    crop = geometry.cut(m, F.col("y_top"), F.col("x_left"), height, width, F.col("needs_flip"))
-    if integers:
-        crop = F.transform(crop, lambda v: v.cast("int"))
-    joined = joined.withColumn("pixels", crop)  # before h and w get other meanings
-    return joined.select("trench_id", "fov", "t", "c", height.alias("h"), width.alias("w"), "pixels")
+    fields = ("trench_id", "y_top", "y_bottom", "x_left", "x_right", "needs_flip")
+    boxes = trenches.where("y_bottom > y_top and x_right > x_left").groupBy("fov").agg(F.collect_list(F.struct(*fields)).alias("__boxes"))
+    joined, m = geometry.placed(frames, transforms, degrees)
+    kind = trenches.schema["trench_id"].dataType.simpleString()
+    cut = kernels.crops(F.col("pixels"), F.col("h"), F.col("w"), m, F.col("__boxes"), kind, integers)
+    found = joined.join(boxes, "fov").select("fov", "t", "c", F.explode(cut).alias("__crop"))
+    return found.select("__crop.trench_id", "fov", "t", "c", "__crop.h", "__crop.w", "__crop.pixels")
 
 
 def with_source(trenches: DataFrame, source_frames: DataFrame) -> DataFrame:
