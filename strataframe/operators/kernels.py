@@ -43,11 +43,10 @@ def rectangle(image: np.ndarray, m: Six, y: int, x: int, height: int, width: int
         return np.zeros((max(height, 0), max(width, 0)))
     h, w = image.shape
     if m[0] == m[4] == 1 and m[1] == m[3] == 0:
-        sy, sx = y + m[5], x + m[2]
-        # a rectangle that lies wholly outside stays outside, however far
-        sy, sx = min(max(sy, -height - 2.0), h + 1.0), min(max(sx, -width - 2.0), w + 1.0)
-        top, left = int(np.floor(sy)), int(np.floor(sx))
-        fy, fx = sy - top, sx - left
+        # the weights come from the shift alone, so they don't depend on the rectangle; one that lies wholly outside stays outside, however far
+        down, right = np.floor(m[5]), np.floor(m[2])
+        fy, fx = m[5] - down, m[2] - right
+        top, left = int(min(max(y + down, -height - 2.0), h + 1.0)), int(min(max(x + right, -width - 2.0), w + 1.0))
         part = window(image, top, left, height + 1, width + 1)
         if fy:
             part[:-1] = part[:-1] * (1 - fy) + part[1:] * fy

@@ -21,34 +21,90 @@ def gaussian_weights(sigma: float) -> list[float]:
     return [float(x) for x in w / w.sum()]
 
 
-def gaussian_smooth(profile: Column, sigma: float) -> Column:
-    """Smoothed values; beyond its ends the profile is mirrored, the end value repeated.  Sigma 0 changes nothing."""
-    if sigma <= 0:
-        return profile
-    w = gaussian_weights(sigma)
-    radius, n = len(w) // 2, F.size(profile)
-    weights = F.array(*map(F.lit, w))
-
-    def mirrored(i: Column) -> Column:
-        m = F.pmod(i, 2 * n)
-        return F.when(m < n, m).otherwise(2 * n - 1 - m)
-
-    def at(i: Column) -> Column:
-        taps = F.sequence(F.lit(0), F.lit(2 * radius))
-        return F.aggregate(taps, F.lit(0.0), lambda acc, k: acc + F.get(weights, k) * F.get(profile, mirrored(i + k - radius)))
-
-    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), at)).otherwise(profile)
+#: Multiplications up to which a profile is convolved directly.
+_DIRECT = 1 << 22
+
+
+def smooth_values(values: np.ndarray, sigma: float) -> np.ndarray:
+    """Smoothed values of one profile.  What is mirrored at both ends has a period of twice the length, so a long profile is
+    smoothed by one product of spectra, whatever the sigma is."""
+    n = len(values)
+    if sigma <= 0 or not n:
+        return values
+    w = np.array(gaussian_weights(sigma))
+    radius = len(w) // 2
+    mirrored = np.concatenate((values, values[::-1]))
+    if n * len(w) <= _DIRECT:
+        return np.convolve(mirrored[np.arange(-radius, n + radius) % (2 * n)], w, "valid")
+    kernel = np.bincount(np.arange(-radius, radius + 1) % (2 * n), weights=w, minlength=2 * n)
+    found = np.fft.irfft(np.fft.rfft(mirrored) * np.fft.rfft(kernel), 2 * n)[:n]
+    grain = 2.0 ** np.ceil(np.log2(max(np.abs(values).max(), 1e-300)) - 40)  # flat parts stay flat
+    return np.round(found / grain) * grain
+
+
+def _by_profile(change) -> Column:
+    """An Arrow function that changes each profile; null ones stay null, and a null value counts as not a number."""
+
+    @F.arrow_udf("array<double>")
+    def run(profile: pa.Array, parameter: pa.Array) -> pa.Array:
+        flat, bounds = profile.values.to_numpy(zero_copy_only=False), profile.offsets.to_numpy()
+        parts = [change(flat[bounds[k] : bounds[k + 1]], p) if profile[k].is_valid else np.zeros(0) for k, p in enumerate(parameter.to_pylist())]
+        ends = pa.array(np.concatenate(([0], np.cumsum([len(p) for p in parts]))).astype(np.int32))
+        values = pa.array(np.concatenate(parts) if parts else np.zeros(0))
+        return pa.ListArray.from_arrays(ends, values, mask=profile.is_null()) if profile.null_count else pa.ListArray.from_arrays(ends, values)
+
+    return run
+
+
+def gaussian_smooth(profile: Column, sigma: float | Column) -> Column:
+    """Smoothed values; beyond its ends the profile is mirrored, the end value repeated.  Sigma 0 (or null) changes nothing; a column gives each profile its own."""
+    if not isinstance(sigma, Column):
+        if sigma <= 0:
+            return profile
+        sigma = F.lit(float(sigma))
+    return _by_profile(lambda values, s: smooth_values(values, s or 0.0))(profile.cast("array<double>"), sigma.cast("double"))
 
 
 def convolve(profile: Column, kernel: list[float]) -> Column:
     """Full convolution divided by the kernel's sum; longer than the profile by the kernel's length less one."""
-    weights, m, n = F.array(*(F.lit(float(k)) for k in kernel)), len(kernel), F.size(profile)
-    total = float(sum(kernel))
+    weights = np.array(kernel, float) / float(sum(kernel))
+    return _by_profile(lambda values, _: np.convolve(values, weights) if len(values) else values)(profile.cast("array<double>"), F.lit(0.0))
 
-    def at(i: Column) -> Column:
-        return F.aggregate(F.sequence(F.lit(0), F.lit(m - 1)), F.lit(0.0), lambda acc, k: acc + F.get(weights, k) * F.when((i - k >= 0) & (i - k < n), F.get(profile, i - k)).otherwise(0.0)) / total
 
-    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n + m - 2), at)).otherwise(profile)
+def _lowest_before(height: list[float], low: list[float]) -> list[float]:
+    """Of each node the lowest value between it and the last higher node before it.
+
+    low: the lowest between a node and the one before.  Nodes that are not higher are passed over together, so each is looked at once.
+    """
+    out, stack = [], []
+    for h, least in zip(height, low, strict=True):
+        while stack and stack[-1][0] <= h:
+            least = min(least, stack.pop()[1])
+        stack.append((h, least))
+        out.append(least)
+    return out
+
+
+def prominences(values: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """How far each peak rises above the higher of the two lowest places that part it from higher ground (or an end)."""
+    if not len(found):
+        return np.zeros(0)
+    # nodes: the peaks' plateaus and both ends, which may be higher than any peak
+    change = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
+    level = values[change]
+    rises, falls = np.append(True, level[1:] > level[:-1]), np.append(level[:-1] > level[1:], True)
+    node = np.flatnonzero(rises & falls)
+    height = level[node].tolist()
+    cuts = np.unique(np.append(0, node))
+    between = np.minimum.reduceat(level, cuts)
+    if cuts[0] != node[0]:  # the start lies lower than the first node
+        low, last = between, between[-1]
+    else:
+        low, last = np.append(level[0], between[:-1]), between[-1]
+    left = _lowest_before(height, low.tolist()[: len(node)])
+    right = _lowest_before(height[::-1], [last, *low.tolist()[1 : len(node)][::-1]])[::-1]
+    of = np.searchsorted(change[node], found, side="right") - 1
+    return values[found] - np.maximum(left, right)[of]
 
 
 def peaks_of(values: np.ndarray, height: float | None, distance: float | None, prominence: float | None) -> np.ndarray:
@@ -61,22 +117,18 @@ def peaks_of(values: np.ndarray, height: float | None, distance: float | None, p
     if height is not None:
         found = found[values[found] >= height]
     if distance is not None and distance > 1:
-        kept = np.ones(len(found), bool)
-        for k in np.argsort(values[found], kind="stable")[::-1]:
+        place, kept = found.tolist(), [True] * len(found)
+        for k in np.argsort(values[found], kind="stable")[::-1].tolist():
             if kept[k]:
-                near = np.abs(found - found[k]) < distance
-                near[k] = False
-                kept &= ~near
-        found = found[kept]
+                # kept peaks lie apart, so a peak is passed at most from both sides
+                for step in (-1, 1):
+                    other = k + step
+                    while 0 <= other < len(place) and abs(place[other] - place[k]) < distance:
+                        kept[other] = False
+                        other += step
+        found = found[np.array(kept, bool)]
     if prominence is not None:
-        rises = []
-        for p in found:
-            higher = np.flatnonzero(values > values[p])
-            left, right = higher[higher < p], higher[higher > p]
-            low = values[left[-1] + 1 if len(left) else 0 : p + 1].min()
-            high = values[p : right[0] if len(right) else len(values)].min()
-            rises.append(values[p] - max(low, high))
-        found = found[np.array(rises) >= prominence] if len(found) else found
+        found = found[prominences(values, found) >= prominence]
     return found
 
 

@@ -68,9 +68,16 @@ def position_order(fov: str = "fov") -> list[Column]:
     return [F.regexp_replace(fov, "[0-9]+$", ""), F.regexp_extract(fov, "([0-9]+)$", 1).try_cast("decimal(38,0)"), F.col(fov)]
 
 
-def numbered(boxes: DataFrame, order: list[str | Column]) -> DataFrame:
-    """Ids from 0 over all positions, lanes and places; boxes are one row a trench, so one task orders them."""
-    return boxes.withColumn("trench_id", F.row_number().over(Window.orderBy(*order)) - 1)
+def numbered(boxes: DataFrame, order: list[str | Column], lead: int = 3, groups: tuple[str, ...] = ("fov",)) -> DataFrame:
+    """Ids from 0 over all positions, lanes and places.
+
+    The first ``lead`` columns of the order must depend on ``groups`` alone: only positions, a row each, are
+    brought together, for the running sum of their sizes; boxes are ranked in their own position.
+    """
+    before = Window.orderBy(*order[:lead]).rowsBetween(Window.unboundedPreceding, -1)
+    begins = boxes.groupBy(*groups).agg(F.count(F.lit(1)).alias("__n")).withColumn("__begin", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
+    own = F.row_number().over(Window.partitionBy(*groups).orderBy(*order[lead:])) - 1
+    return boxes.withColumn("__own", own).join(begins, list(groups)).withColumn("trench_id", (F.col("__begin") + F.col("__own")).cast("int")).drop("__begin", "__own")
 
 
 def detect_trenches(
@@ -86,15 +93,9 @@ def detect_trenches(
     tuned = lane_params(lanes, overrides, defaults)
     profiles = signal.as_array(means.band_profile(image, lanes, trench_length, least_band), ["fov", "lane_index"], "x")
     profiles = profiles.join(tuned, ["fov", "lane_index"])
-    sigmas = {sigma, *(float(p["sigma"]) for p in (overrides or {}).values() if "sigma" in p)}
-    smooth = F.col("profile")
-    for s in sigmas:
-        smooth = F.when(F.col("sigma") == float(s), signal.gaussian_smooth(F.col("profile"), s)).otherwise(smooth)
+    profiles = profiles.withColumn("profile", signal.gaussian_smooth(F.col("profile"), F.col("sigma")))
     if conv_filter:
-        smoothed = profiles.withColumn("profile", smooth)
-        profiles = smoothed.withColumn("profile", signal.convolve(F.col("profile"), conv_filter))
-    else:
-        profiles = profiles.withColumn("profile", smooth)
+        profiles = profiles.withColumn("profile", signal.convolve(F.col("profile"), conv_filter))
     found = signal.find_peaks(profiles, ["fov", "lane_index", "y_center", "orientation", "trench_bottom_offset"], height, distance, prominence) if not overrides else signal.find_peaks(profiles, ["fov", "lane_index", "y_center", "orientation", "trench_bottom_offset"])
     size = image.groupBy("fov").agg((F.max("y") + 1).alias("__h"), (F.max("x") + 1).alias("__w"))
     boxes = inside(trench_boxes(found, trench_width, trench_length).join(size, "fov"), F.col("__h"), F.col("__w"))
@@ -102,16 +103,20 @@ def detect_trenches(
     if positions is None:
         return numbered(kept, [*position_order(), "lane_index", "x_left"])
     placed = kept.join(positions.select("fov", F.col("p_index").alias("__p")).distinct(), "fov")
-    return numbered(placed, ["__p", "lane_index", "x_left"]).drop("__p")
+    return numbered(placed, ["__p", "lane_index", "x_left"], 1, ("fov", "__p")).drop("__p")
 
 
 def discard(trenches: DataFrame, ids: list[int]) -> DataFrame:
     return trenches.where(~F.col("trench_id").isin(ids))
 
 
-def slots(trenches: DataFrame) -> DataFrame:
-    """The place of each trench in the output, in the order of the ids."""
-    return trenches.withColumn("slot", F.row_number().over(Window.orderBy("trench_id")) - 1)
+def slots(trenches: DataFrame, block: int = 1 << 16) -> DataFrame:
+    """The place of each trench in the output, in the order of the ids; ids are ranked in blocks, whose sizes add up."""
+    rows = trenches.withColumn("__block", F.floor(F.col("trench_id") / block))
+    before = Window.orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)  # over one row a block
+    begins = rows.groupBy("__block").agg(F.count(F.lit(1)).alias("__n")).select("__block", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__begin"))
+    own = F.row_number().over(Window.partitionBy("__block").orderBy("trench_id")) - 1
+    return rows.withColumn("__own", own).join(begins, "__block").withColumn("slot", (F.col("__begin") + F.col("__own")).cast("int")).drop("__block", "__begin", "__own")
 
 
 def uniform_shape(trenches: DataFrame) -> tuple[int, int]:

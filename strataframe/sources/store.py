@@ -10,6 +10,8 @@ import json
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.names import canonical_json
+from ..operators import trenches
+from . import chunks
 
 SECTIONS = ("registration", "lanes", "trenches")
 
@@ -89,9 +91,12 @@ class Store:
         path, system = self._at(self.path)
         return system.getContentSummary(path).getLength()
 
-    def wipe(self) -> None:
-        """Delete all sections; what the store says of its source stays."""
+    def wipe(self, everything: bool = False) -> None:
+        """Delete all sections; what the store says of its source, crops and metadata groups stay unless ``everything`` goes."""
         self.reset(SECTIONS[0])
+        if everything:
+            for part in ("crops", "manifest", "transforms", "metadata", "attributes"):
+                self._delete(f"{self.path}/{part}")
 
     def __repr__(self) -> str:
         return f"Store at {self.path} (complete: {', '.join(s for s in SECTIONS if self.has(s)) or 'nothing'})"
@@ -107,31 +112,76 @@ def pending(frames: DataFrame, done: DataFrame) -> DataFrame:
     return frames.join(done.select("fov"), "fov", "left_anti")
 
 
-def write_crops(crops: DataFrame, path: str, fingerprint: str, resume: bool = True, compression: str = "zstd", batch: int = 16) -> None:
-    """Write crops with a folder a position, ``batch`` positions at a time; a run that goes on writes the missing positions only.
-
-    A batch's positions are recorded once they are written, so a crash loses a
-    batch at most.  A store of another fingerprint is refused with RuntimeError; without
-    ``resume`` what the store holds is deleted first.
-    """
-    spark = crops.sparkSession
+def _open(spark: SparkSession, path: str, fingerprint: str, resume: bool) -> DataFrame | None:
+    """The positions that a store of crops has, or None; what it holds is deleted without ``resume``, and another fingerprint refused."""
     store = Store(spark, path)
-    codec = compression if compression == "zstd" else "uncompressed"
     if not resume:
-        for part in ("crops", "manifest"):
+        for part in ("crops", "manifest", "transforms"):
             store._delete(f"{path}/{part}")
-    # only names of positions are read for these: columns that nobody asks for are not computed
-    names = crops.select("fov").distinct()
-    if store._exists(f"{path}/manifest"):
-        kept = spark.read.parquet(f"{path}/manifest")
-        if kept.where(F.col("fingerprint") != fingerprint).limit(1).count():
-            raise RuntimeError("the store was written with other trenches or settings")
-        names = pending(names, kept)
-    missing = sorted(r.fov for r in names.collect())
+    if not store._exists(f"{path}/manifest"):
+        return None
+    kept = spark.read.parquet(f"{path}/manifest")
+    if kept.where(F.col("fingerprint") != fingerprint).limit(1).count():
+        raise RuntimeError("the store was written with other trenches or settings")
+    return kept
+
+
+def _write_missing(names: DataFrame, kept: DataFrame | None, table, path: str, fingerprint: str, batch: int, options: dict[str, str]) -> list[str]:
+    """Write ``table(names)`` of the missing positions, a batch at a time, and record each batch's positions once they are written."""
+    spark = names.sparkSession
+    missing = sorted(r.fov for r in (names if kept is None else pending(names, kept)).collect())
     for at in range(0, len(missing), batch):
         own = missing[at : at + batch]
-        crops.where(F.col("fov").isin(own)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", codec).partitionBy("fov").parquet(f"{path}/crops")
+        table(own).write.mode("overwrite").options(partitionOverwriteMode="dynamic", **options).partitionBy("fov").parquet(f"{path}/crops")
         spark.createDataFrame([(f, fingerprint) for f in own], "fov string, fingerprint string").coalesce(1).write.mode("append").parquet(f"{path}/manifest")
+    return missing
+
+
+def write_crops(crops: DataFrame, path: str, fingerprint: str, resume: bool = True, compression: str = "zstd", batch: int = 16, positions: DataFrame | None = None, level: int = 3) -> None:
+    """Write crops with a folder a position, ``batch`` positions at a time; a run that goes on writes the missing positions only.
+
+    A batch's positions are recorded once they are written, so a crash loses a
+    batch at most.  A store of another fingerprint is refused with RuntimeError; without
+    ``resume`` what the store holds is deleted first.  positions: a table with the names in ``fov``; without it they are read from the
+    crops.  Every batch computes its crops anew, so what they are made of should be stored; see ``extract``.
+    """
+    names = (crops if positions is None else positions).select("fov").distinct()
+    kept = _open(crops.sparkSession, path, fingerprint, resume)
+    _write_missing(names, kept, lambda own: crops.where(F.col("fov").isin(own)), path, fingerprint, batch, chunks.write_options(compression, level))
+
+
+def extract(
+    frames: DataFrame, transforms: DataFrame, boxes: DataFrame, path: str, degrees: float = 0.0, time_chunk: int | None = None, dtype: str = "uint16", compression: str = "zstd", level: int = 3,
+    byte_shuffle: bool = True, resume: bool = True, batch: int = 16, settings: dict | None = None, groups: dict[str, DataFrame] | None = None, attributes: dict | None = None,
+) -> list[str]:
+    """Cut all trenches from all frames and write them as chunks, with the metadata groups and attributes beside them; the positions written.
+
+    Transforms are written to the store first, so no batch of positions computes them again; each batch reads its own
+    frames only.  A run that goes on takes the transforms that the store has, so what they depend on belongs in ``settings``; with other
+    trenches or settings it is refused.
+    """
+    trenches.uniform_shape(boxes)
+    spark, path = frames.sparkSession, path.rstrip("/")
+    known = {"degrees": degrees, "time_chunk": time_chunk, "dtype": dtype, "codec": compression, "level": level, "byte_shuffle": byte_shuffle, **(settings or {})}
+    if not resume:
+        _open(spark, path, "", False)
+    if not Store(spark, path)._exists(f"{path}/transforms/_SUCCESS"):
+        transforms.write.mode("overwrite").parquet(f"{path}/transforms")
+    moved = spark.read.parquet(f"{path}/transforms")
+    fingerprint = trenches.fingerprint(boxes, canonical_json(known), moved).first().fingerprint
+    kept = _open(spark, path, fingerprint, True)
+    options = chunks.write_options(compression, level)
+
+    def table(own: list[str]) -> DataFrame:
+        here = F.col("fov").isin(own)
+        cut = trenches.crops(frames.where(here), moved.where(here), boxes.where(here), degrees, integers=not dtype.startswith("float"))
+        return chunks.pack(cut, time_chunk, dtype, byte_shuffle)
+
+    written = _write_missing(boxes.select("fov").distinct(), kept, table, path, fingerprint, batch, options)
+    write_groups(path, **(groups or {}))
+    store = Store(spark, path)
+    store.set_attributes(store.attributes() | (attributes or {}) | {"extraction": known, "fingerprint": fingerprint})
+    return written
 
 
 GROUPS = ("source_frames", "events", "acquisition")
