@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.names import snake_name
@@ -50,42 +52,73 @@ def split_events(records: DataFrame, fovs: DataFrame, times: DataFrame, text: st
     return frames.drop("__p", "__t", "__z", "__record"), rows.where(~is_frame).drop("__record")
 
 
+def _fields(text: str) -> T.StructType:
+    """The fields of a schema of variants; objects are structs."""
+    parts = re.split("(`(?:[^`]|``)*`)", text)
+    return T._parse_datatype_string("".join(p if k % 2 else p.replace("OBJECT<", "STRUCT<").replace("STRUCT<>", "STRING") for k, p in enumerate(parts)))
+
+
+def _place(key: str) -> str:
+    """The path of a key in a variant."""
+    return "$['" + key.replace("\\", "\\\\").replace("'", "\\'") + "']"
+
+
+def _kinds(records: DataFrame, text: str) -> dict[str, tuple[str, bool]]:
+    """Of every key of the records its type and whether its values are objects or lists.
+
+    Records are parsed once a pass: one pass finds the schema that all share, one counts nulls.  Keys are column names, so they are few.
+    """
+    values = records.select(F.try_parse_json(text).alias("v"))
+    found = values.agg(F.schema_of_variant_agg("v").alias("schema")).first().schema
+    fields = _fields(found).fields if found and found.startswith("OBJECT<") and found != "OBJECT<>" else []
+    if not fields:
+        return {}
+    present = [F.count(F.when(F.is_variant_null(F.variant_get("v", _place(f.name), "variant")), 1)).alias(f"n{k}") for k, f in enumerate(fields)]
+    nulls = values.agg(*present).first()
+    kinds = {}
+    for k, f in enumerate(fields):
+        kind = f.dataType
+        if isinstance(kind, T.BooleanType):
+            name = "object" if nulls[k] else "bool"
+        elif isinstance(kind, T.NullType):
+            name = "object"
+        elif isinstance(kind, T.LongType):
+            name = "float64" if nulls[k] else "int64"
+        elif isinstance(kind, (T.DecimalType, T.DoubleType, T.FloatType)):
+            whole = isinstance(kind, T.DecimalType) and kind.scale == 0 and not nulls[k]
+            name = "int64" if whole and kind.precision < 19 else "float64"
+        else:
+            name = "string"
+        kinds[f.name] = name, isinstance(kind, (T.StructType, T.ArrayType))
+    return kinds
+
+
 def key_types(records: DataFrame, text: str = "json") -> DataFrame:
-    """Every key of the records, sorted, and the type of its column.
+    """Every key of the records, and the type of its column.
 
     bool, long or double if all values are; a null makes a bool an object and
-    a long a double; strings stay; anything mixed is a string.
+    a long a double; strings stay; anything mixed is a string.  Texts that aren't JSON objects have no keys.
     """
-    pairs = records.select(F.explode(F.json_object_keys(text)).alias("key"), F.col(text).alias("__json"))
-    value = F.expr("variant_get(parse_json(__json), concat('$[\"', key, '\"]'))")
-    kind = F.coalesce(F.expr("schema_of_variant(__v)"), F.lit("VOID"))
-    kinds = pairs.withColumn("__v", value).select("key", kind.alias("kind"))
-    has = lambda pattern: F.sum(F.col("kind").rlike(pattern).cast("int"))
-    counts = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("n"), has("^BOOLEAN").alias("b"), has("^BIGINT").alias("i"), has("^(DECIMAL|DOUBLE|FLOAT)").alias("d"), has("^VOID").alias("v"), has("^STRING").alias("s"))
-    n = F.col("n")
-    kind = (
-        F.when(F.col("v") == n, "object").when(F.col("b") == n, "bool").when(F.col("b") + F.col("v") == n, "object")
-        .when(F.col("i") == n, "int64").when(F.col("i") + F.col("d") + F.col("v") == n, "float64").otherwise("string")
-    )
-    return counts.select("key", kind.alias("type"))
-
-
-def records_table(records: DataFrame, prefix: str, text: str = "json") -> DataFrame:
+    kinds = _kinds(records, text)
+    return records.sparkSession.createDataFrame([(key, kind) for key, (kind, _) in sorted(kinds.items())], "key string, type string")
+
+
+def records_table(records: DataFrame, prefix: str, text: str = "json", without: tuple[str, ...] = (), scalars: bool = False) -> DataFrame:
     """Records as columns: one for each key, sorted, named in snake case with a prefix (if not empty); the key is kept in the column's metadata.
 
-    Of keys with equal names the last counts.  Keys are column names, so they are known on the driver.
+    Of keys with equal names the last counts.  Objects and lists are kept as JSON, or with ``scalars`` left out; keys ``without`` are too.
+    Every record is parsed once.
     """
-    types = {r["key"]: r["type"] for r in key_types(records, text).collect()}
+    kinds = {k: kind for k, (kind, nested) in _kinds(records, text).items() if k not in without and not (scalars and nested)}
     cast = {"bool": "boolean", "int64": "bigint", "float64": "double", "string": "string", "object": "string"}
     columns = {}
-    record = F.from_json(text, T.MapType(T.StringType(), T.StringType()))
-    for key in sorted(types):
-        value = F.col("__record")[key].try_cast(cast[types[key]])
-        if types[key] == "string":
+    for key in sorted(kinds):
+        value = F.try_variant_get("__record", _place(key), cast[kinds[key]])
+        if kinds[key] == "string":
             value = F.coalesce(value, F.lit(""))
         name = "_".join(filter(None, (prefix, snake_name(key))))
         columns[name] = value.alias(name, metadata={"source_name": key})
-    return records.withColumn("__record", record).select(*[c for c in records.columns if c != text], *columns.values())
+    return records.withColumn("__record", F.try_parse_json(text)).select(*[c for c in records.columns if c != text], *columns.values())
 
 
 def acquisition_channels(document: DataFrame, names: list[str] | None = None, text: str = "json") -> DataFrame:

@@ -2,8 +2,10 @@
 
 Frames come as Parquet, one row a position, time, channel and focus plane, of
 which any axis may be missing.  Selections are kept as values and applied to
-``frames`` when it is asked for, so they reach the scan as filters.  Names and
-counts are small aggregates over the columns of one axis; pixels are not read.
+``frames`` when it is asked for, so they reach the scan as filters: positions both by
+name and by number, whichever the source has.  Names and
+counts are small aggregates over the columns of one axis, asked for once and passed on to
+what is selected from an experiment; pixels are not read.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.names import canonical_json
 from ..functions.plain import is_scalar, plain, range_fields, without_nan
-from ..operators import metadata, selection
+from ..operators import metadata, selection, trenches
 from .store import Store
 
 #: Fixed value: the name of the only position or channel of a table without that axis.
@@ -35,7 +37,8 @@ def with_axes(raw: DataFrame) -> DataFrame:
     """The frames with fov, p_index, t and c, whatever of them the table has.
 
     Without positions or channels there is one, named ``single``; without times
-    there is time 0.  Positions without numbers are numbered by name.  Names of several positions get
+    there is time 0.  Positions without numbers are numbered in the order of their names, 10 after 2; of
+    these, equal names are one position.  Names of several numbered positions get
     ``-01``, ``-02``, ... in the order of the positions.
     """
     out = raw
@@ -49,7 +52,7 @@ def with_axes(raw: DataFrame) -> DataFrame:
     out = out.withColumn("fov", F.col("fov").cast("string"))
     if "p_index" not in raw.columns:
         # one row a position: the window is as small as the axis
-        names = out.select("fov").distinct().withColumn("p_index", (F.row_number().over(Window.orderBy("fov")) - 1).cast("int"))
+        names = out.select("fov").distinct().withColumn("p_index", (F.row_number().over(Window.orderBy(*trenches.position_order())) - 1).cast("int"))
         return out.join(names, "fov")
     names = selection.rename_duplicates(out.select("fov", "p_index").distinct(), "fov", "p_index")
     return out.drop("fov").join(names, "p_index")
@@ -70,34 +73,49 @@ class Experiment:
     @property
     def frames(self) -> DataFrame:
         """The frames that the selections leave."""
-        out = selection.discard_fovs(self.raw, list(self.discarded)) if self.discarded else self.raw
+        out = self.raw
+        if self.discarded:
+            gone = set(self.discarded)
+            # one of the two is the source's own column, which the scan can filter
+            out = selection.discard_fovs(out, list(self.discarded)).where(F.col("p_index").isin([p for p, name in self.raw_positions if name not in gone]))
         if self.times is not None:
             out = selection.select_times(out, *_resolved(self.times, self.raw_timepoints))
         return out if self.y is None and self.x is None else selection.select_roi(out, self.y, self.x)
 
+    def _with(self, **changes: Any) -> Experiment:
+        """An experiment of other selections that knows what this one knows of the source."""
+        out = dataclasses.replace(self, **changes)
+        out.__dict__.update({k: v for k, v in self.__dict__.items() if k in _KNOWN})
+        return out
+
     def select_fovs(self, keep: list[str | int]) -> Experiment:
         """Keep the named positions, or those at the given places; of two calls, what both keep."""
         names = {name for name in self.raw_fov_names if name in keep} | {self.raw_fov_names[k] for k in keep if isinstance(k, int)}
         return self.discard_fovs([name for name in self.raw_fov_names if name not in names])
 
     def discard_fovs(self, drop: list[str]) -> Experiment:
-        return dataclasses.replace(self, discarded=tuple(dict.fromkeys([*self.discarded, *map(str, drop)])))
+        return self._with(discarded=tuple(dict.fromkeys([*self.discarded, *map(str, drop)])))
 
     def select_times(self, start: int | None, end: int | None) -> Experiment:
         """Times ``[start, end)`` of the source; the last call counts."""
-        return dataclasses.replace(self, times=(start, end))
+        return self._with(times=(start, end))
 
     def select_roi(self, y: Range | None = None, x: Range | None = None) -> Experiment:
         """A region of the source's pixels; of each axis the last call counts."""
-        return dataclasses.replace(self, y=self.y if y is None else y, x=self.x if x is None else x)
+        return self._with(y=self.y if y is None else y, x=self.x if x is None else x)
 
     @property
     def name(self) -> str:
         return PurePosixPath(self.path).stem
 
     @cached_property
+    def raw_positions(self) -> list[tuple[int, str]]:
+        """Number and name of every position of the source."""
+        return [(r.p_index, r.fov) for r in self.raw.select("p_index", "fov").distinct().orderBy("p_index").collect()]
+
+    @property
     def raw_fov_names(self) -> list[str]:
-        return [r.fov for r in self.raw.select("p_index", "fov").distinct().orderBy("p_index").collect()]
+        return [name for _, name in self.raw_positions]
 
     @property
     def fov_names(self) -> list[str]:
@@ -153,6 +171,7 @@ class Experiment:
         """A copy of the acquisition document."""
         return copy.deepcopy(self.document)
 
+    # the names of the fields below are fixed values: stores of other programs that read them have the same
     @property
     def subset(self) -> dict[str, Any]:
         """What was selected of the source."""
@@ -177,6 +196,10 @@ class Experiment:
         return f"Experiment {self.name!r} ({sizes}; {self.pixel_size_um:g} um a pixel, {self.time_interval_ms:g} ms a frame) at {self.path}"
 
 
+#: What selections don't change.
+_KNOWN = {name for name, value in vars(Experiment).items() if isinstance(value, cached_property)}
+
+
 def _resolved(times: Range, n: int) -> Range:
     start, end, _ = slice(*times).indices(n)
     return start, end
@@ -234,16 +257,19 @@ def acquisition_table(spark: SparkSession, document: dict[str, Any], channel_nam
     if they are as many as the document's channels), else ``acquisition_channel``.  A document without
     channels gives one row with the document alone.
     """
-    channels = plain(document).get("structured", {}).get("metadata", {}).get("channels") or []
-    whole = F.lit(canonical_json(plain(document))).alias("raw_json")
-    if not channels:
-        return spark.range(1).select(whole)
-    own = [str(channel.get("name") or f"channel_{i}") for i, channel in enumerate(channels)]
-    column = "c" if channel_names is None or len(channel_names) == len(own) else "acquisition_channel"
-    names = channel_names if column == "c" and channel_names else own
-    scalars = [{k: v for k, v in channel.items() if k != "name" and is_scalar(v)} for channel in channels]
-    rows = spark.createDataFrame([(i, str(name), json.dumps(values)) for i, (name, values) in enumerate(zip(names, scalars))], f"channel_index int, {column} string, json string")
-    return metadata.records_table(rows, "").withColumn("raw_json", whole)
+    whole = spark.createDataFrame([(canonical_json(plain(document)),)], "raw_json string")
+    texts = F.from_json(F.get_json_object("raw_json", "$.structured.metadata.channels"), "array<string>")
+    channels = whole.select("raw_json", F.posexplode(texts).alias("channel_index", "json"))
+    count = channels.count()  # one document
+    if not count:
+        return whole
+    ours = channel_names is None or len(channel_names) == count
+    name = F.coalesce(F.nullif(F.get_json_object("json", "$.name"), F.lit("")), F.concat(F.lit("channel_"), F.col("channel_index")))
+    if ours and channel_names:
+        name = F.element_at(F.array(*(F.lit(str(n)) for n in channel_names)), F.col("channel_index") + 1)
+    rows = channels.select("channel_index", name.alias("c" if ours else "acquisition_channel"), "json", "raw_json")
+    found = metadata.records_table(rows, "", without=("name",), scalars=True)
+    return found.select(*[c for c in found.columns if c != "raw_json"], "raw_json")
 
 
 def open_store(experiment: Experiment) -> Store:
