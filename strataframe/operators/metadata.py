@@ -58,9 +58,12 @@ def _fields(text: str) -> T.StructType:
     return T._parse_datatype_string("".join(p if k % 2 else p.replace("OBJECT<", "STRUCT<").replace("STRUCT<>", "STRING") for k, p in enumerate(parts)))
 
 
-def _place(key: str) -> str:
-    """The path of a key in a variant."""
-    return "$['" + key.replace("\\", "\\\\").replace("'", "\\'") + "']"
+def _value(record: str, key: str, kind: str) -> Column:
+    """The value of a record's key, or null if it isn't of the kind; paths know no escapes, so a key of both quotes goes by a map."""
+    if "'" in key and '"' in key:
+        return F.try_variant_get(F.try_variant_get(record, "$", "map<string,variant>")[key], "$", kind)
+    quote = '"' if "'" in key else "'"
+    return F.try_variant_get(record, f"$[{quote}{key}{quote}]", kind)
 
 
 def _kinds(records: DataFrame, text: str) -> dict[str, tuple[str, bool]]:
@@ -68,12 +71,12 @@ def _kinds(records: DataFrame, text: str) -> dict[str, tuple[str, bool]]:
 
     Records are parsed once a pass: one pass finds the schema that all share, one counts nulls.  Keys are column names, so they are few.
     """
-    values = records.select(F.try_parse_json(text).alias("v"))
+    values = records.where(F.ltrim(text).startswith("{")).select(F.try_parse_json(text).alias("v"))
     found = values.agg(F.schema_of_variant_agg("v").alias("schema")).first().schema
     fields = _fields(found).fields if found and found.startswith("OBJECT<") and found != "OBJECT<>" else []
     if not fields:
         return {}
-    present = [F.count(F.when(F.is_variant_null(F.variant_get("v", _place(f.name), "variant")), 1)).alias(f"n{k}") for k, f in enumerate(fields)]
+    present = [F.count(F.when(F.is_variant_null(_value("v", f.name, "variant")), 1)).alias(f"n{k}") for k, f in enumerate(fields)]
     nulls = values.agg(*present).first()
     kinds = {}
     for k, f in enumerate(fields):
@@ -113,7 +116,7 @@ def records_table(records: DataFrame, prefix: str, text: str = "json", without:
     cast = {"bool": "boolean", "int64": "bigint", "float64": "double", "string": "string", "object": "string"}
     columns = {}
     for key in sorted(kinds):
-        value = F.try_variant_get("__record", _place(key), cast[kinds[key]])
+        value = _value("__record", key, cast[kinds[key]])
         if kinds[key] == "string":
             value = F.coalesce(value, F.lit(""))
         name = "_".join(filter(None, (prefix, snake_name(key))))

@@ -123,6 +123,30 @@ def warped_rotated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pixels(geometry.warp(stack, _shifts(stack), 10.0))
 
 
+def _steps(stack: DataFrame) -> DataFrame:
+    """Made-up matrices of small rotations, scales and shifts."""
+    angle, scale = (F.col("t") % 5 - 2) * 0.01, 1 + (F.col("p_index") % 3 - 1) * 0.002
+    six = scale * F.cos(angle), -F.sin(angle), F.col("t") % 3 - 1.0, F.sin(angle), scale * F.cos(angle), F.col("p_index") % 4 * 0.5
+    return stack.select("fov", "t", *(c.alias(n) for c, n in zip(six, geometry.NAMES, strict=True)))
+
+
+def warped_affine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stack = _stack(spark, sf_dir)
+    return _pixels(geometry.warp(stack, _steps(stack)))
+
+
+def cumulative_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = geometry.cumulated_matrices(_steps(_stack(spark, sf_dir)), 16)
+    return found.select("fov", "t", *((F.round(n, 6) + 0.0).alias(n) for n in geometry.NAMES))
+
+
+def positions_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions without numbers, of which two are chosen by their place in the order of names."""
+    named = _stack(spark, sf_dir).select(F.concat(F.lit("XYPos:"), F.col("p_index") + 5).alias("fov"), "t", "h", "w", "pixels")
+    whole = experiment.Experiment(f"{sf_dir}/embeddings.parquet", experiment.with_axes(named))
+    return whole.select_fovs([2, 7]).frames.groupBy("fov", "p_index").agg(F.count(F.lit(1)).alias("n_frames"))
+
+
 def registered_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     stack = means.edge_frames(_stack(spark, sf_dir), 10, "end")
     return means.mean_image(geometry.warp(stack, _shifts(stack)), 10, "end").select("fov", "y", "x", F.round("v", 6).alias("v"))
@@ -164,6 +188,13 @@ wp AS (SELECT q.fov, q.t, CAST(q.y AS INT) AS y, CAST(q.x AS INT) AS x, (coalesc
  LEFT JOIN px c ON c.fov = q.fov AND c.t = q.t AND c.y = y0 + 1 AND c.x = x0 LEFT JOIN px d ON d.fov = q.fov AND d.t = q.t AND d.y = y0 + 1 AND d.x = x0 + 1)
 """
 
+_STEPS = """, st AS (SELECT fov, t, (1 + (p_index % 3 - 1) * 0.002::DOUBLE) * cos((t % 5 - 2) * 0.01::DOUBLE) AS m00, -sin((t % 5 - 2) * 0.01::DOUBLE) AS m01, t % 3 - 1.0::DOUBLE AS m02,
+ sin((t % 5 - 2) * 0.01::DOUBLE) AS m10, (1 + (p_index % 3 - 1) * 0.002::DOUBLE) * cos((t % 5 - 2) * 0.01::DOUBLE) AS m11, p_index % 4 * 0.5::DOUBLE AS m12 FROM fr)"""
+_SIX = ", ".join(f"round({n}, 6) + 0.0::DOUBLE AS {n}" for n in geometry.NAMES)
+_PRODUCTS = """, cm(fov, t, m00, m01, m02, m10, m11, m12) AS (SELECT fov, t, 1.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 1.0::DOUBLE, 0.0::DOUBLE FROM st WHERE t = 0
+ UNION ALL SELECT s.fov, s.t, c.m00 * s.m00 + c.m01 * s.m10, c.m00 * s.m01 + c.m01 * s.m11, c.m00 * s.m02 + c.m01 * s.m12 + c.m02, c.m10 * s.m00 + c.m11 * s.m10, c.m10 * s.m01 + c.m11 * s.m11, c.m10 * s.m02 + c.m11 * s.m12 + c.m12
+ FROM cm c JOIN st s ON s.fov = c.fov AND s.t = c.t + 1)"""
+
 PLANS = {
     "mean_image": (mean_image, FRAMES_SQL + f"SELECT fov, y, x, round(avg(v), 6) AS v FROM px JOIN {_LAST} l USING (fov) WHERE t > last - 10 GROUP BY fov, y, x"),
     "mean_image_start": (mean_image_start, FRAMES_SQL + "SELECT fov, y, x, round(avg(v), 6) AS v FROM px WHERE t < 5 GROUP BY fov, y, x"),
@@ -184,6 +215,9 @@ PLANS = {
     "kymograph": (kymograph, FRAMES_SQL + "SELECT fov, y, CAST(row_number() OVER (PARTITION BY fov, y ORDER BY t, x) - 1 AS INT) AS place, round(v, 6) AS v FROM px WHERE t IN (0, 10, 20)"),
     "warped": (warped, FRAMES_SQL + _SHIFTS + _PLAIN + _WARP + "SELECT fov, t, y, x, round(v, 6) + 0.0::DOUBLE AS v FROM wp"),
     "warped_rotated": (warped_rotated, FRAMES_SQL + _SHIFTS + _ROTATED + _WARP + "SELECT fov, t, y, x, round(v, 6) + 0.0::DOUBLE AS v FROM wp"),
+    "warped_affine": (warped_affine, FRAMES_SQL + _STEPS.replace(", st AS", ", mt AS") + _WARP + "SELECT fov, t, y, x, round(v, 6) + 0.0::DOUBLE AS v FROM wp"),
+    "cumulative_matrices": (cumulative_matrices, FRAMES_SQL.replace("WITH fr", "WITH RECURSIVE fr") + _STEPS + _PRODUCTS + f"SELECT fov, t, {_SIX} FROM cm"),
+    "positions_by_name": (positions_by_name, FRAMES_SQL + ", o AS (SELECT p_index + 5 AS n, row_number() OVER (ORDER BY p_index) - 1 AS place, count(*) AS n_frames FROM fr GROUP BY p_index) SELECT 'XYPos:' || n AS fov, CAST(place AS INT) AS p_index, n_frames FROM o WHERE place IN (2, 7)"),
     "registered_mean": (registered_mean, FRAMES_SQL + _SHIFTS + _PLAIN + _WARP + f"SELECT fov, y, x, round(avg(v), 6) AS v FROM wp JOIN {_LAST} l USING (fov) WHERE t > last - 10 GROUP BY fov, y, x"),
     "rotation_matrix": (rotation_matrix, FRAMES_SQL + _SHIFTS + _ROTATED + "SELECT fov, t, round(m00, 9) AS m00, round(m01, 9) AS m01, round(m02, 9) AS m02, round(m10, 9) AS m10, round(m11, 9) AS m11, round(m12, 9) AS m12 FROM mt"),
     "alignment_errors": (alignment_errors, FRAMES_SQL + "SELECT fov, t FROM fr WHERE t = 3"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions import names
 from ..operators import geometry, means, metadata, selection, signal, trenches
-from ..sources import frames, store
+from ..sources import chunks, frames, store
 from .frames_plans import FRAMES_SQL, _SHIFTS, _PLAIN, _WARP, _shifts
 
 
@@ -102,7 +102,22 @@ def peaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def peaks_apart(spark: SparkSession, sf_dir: str) -> DataFrame:
     smooth = _profile(spark, sf_dir).withColumn("profile", signal.gaussian_smooth(F.col("profile"), 2.0))
-    return signal.find_peaks(smooth, ["fov"], distance=8, prominence=0.1)
+    return signal.find_peaks(smooth, ["fov"], distance=8, prominence=0.1).withColumn("value", F.round("value", 6))
+
+
+def user_peaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Peaks of the values of every user's events, in their order."""
+    order = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    events = _read(spark, sf_dir, "events").select("user_id", (F.row_number().over(order) - 1).alias("x"), F.col("value").alias("profile"))
+    return signal.find_peaks(signal.as_array(events, ["user_id"], "x"), ["user_id"], height=5, distance=4, prominence=10)
+
+
+def event_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of different keys and types as columns."""
+    tag = F.when(F.col("event_id") % 2 == 0, F.col("event_type"))
+    whole = F.struct(F.col("event_id").alias("Index"), F.col("value").alias("Value [s]"), (F.col("user_id") > 7).alias("isOld"), F.col("props").alias("raw"), F.array("user_id").alias("users"), tag.alias("Tag"))
+    record = F.when(F.col("event_id") % 3 == 0, F.to_json(F.struct(F.col("event_id").alias("Index"), F.lit("none").alias("mixed"), F.lit(False).alias("isOld")))).otherwise(F.regexp_replace(F.to_json(whole), "}$", ',"mixed":7,"nothing":null}'))
+    return metadata.records_table(_read(spark, sf_dir, "events").select("event_id", record.alias("json")), "frame")
 
 
 def lane_orientation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,6 +168,14 @@ def trench_crops(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("trench_id", "t", "y", "x", F.round("v", 6).alias("v"))
 
 
+def chunked_crops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Crops as chunks of four times, of which a part of the times is read back."""
+    stack = frames.from_embeddings(spark, sf_dir)
+    crops = trenches.crops(stack, _shifts(stack), _boxes(spark, sf_dir), integers=False)
+    rows = frames.pixels(chunks.unpack(chunks.pack(crops, 4, "float64"), 6, 43))
+    return rows.select("trench_id", "t", "y", "x", F.round("v", 6).alias("v"))
+
+
 def trench_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     stack = frames.from_embeddings(spark, sf_dir)
     return trenches.with_source(_boxes(spark, sf_dir), stack.select("fov", "p_index", "t", "t_ms")).select("trench_id", "p_index", "t", "t_ms")
@@ -190,6 +213,14 @@ def detected_trenches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trenches.detect_trenches(image, lanes, sigma=1.0, distance=1, prominence=0, height=-10, trench_width=2, trench_length=2, trench_bottom_offset=0, positions=stack, least_band=2)
 
 
+def lane_overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trenches where the second lane of a position has a height, an offset and no smoothing of its own."""
+    stack = frames.from_embeddings(spark, sf_dir)
+    image, lanes = _lanes(stack)
+    own = {1: {"sigma": 0.0, "height": 0.05, "trench_bottom_offset": 1.0}}
+    return trenches.detect_trenches(image, lanes, sigma=1.0, distance=1, prominence=0, height=-10, trench_width=2, trench_length=2, trench_bottom_offset=0, overrides=own, positions=stack, least_band=2)
+
+
 def band_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     stack = frames.from_embeddings(spark, sf_dir)
     lanes = stack.select("fov", (F.col("p_index") % 8).alias("y_center"), F.lit(0).alias("lane_index")).distinct()
@@ -222,6 +253,22 @@ ed AS (SELECT pk.*, coalesce((SELECT max(g.x) FROM g WHERE g.fov = pk.fov AND g.
 pr AS (SELECT fov, peak, value, value - greatest((SELECT min(g.v) FROM g WHERE g.fov = ed.fov AND g.x > ed.l AND g.x <= ed.peak), (SELECT min(g.v) FROM g WHERE g.fov = ed.fov AND g.x >= ed.peak AND g.x < ed.r)) AS prominence FROM ed)
 SELECT fov, peak, value FROM pr WHERE prominence >= 2"""
 
+#: Peaks of the profiles in g, tallest first (of equals the last), of which each is kept if no kept one is nearer than the distance.
+_APART = """, ch AS (SELECT fov, x, v, lag(v) OVER (PARTITION BY fov ORDER BY x) AS p FROM g),
+run AS (SELECT fov, x, v, coalesce(lead(x) OVER o, (SELECT max(x) + 1 FROM g WHERE g.fov = ch.fov)) AS nx, lag(v) OVER o AS pv, lead(v) OVER o AS nv FROM ch WHERE p IS NULL OR v <> p WINDOW o AS (PARTITION BY fov ORDER BY x)),
+pk AS (SELECT fov, CAST((x + nx - 1) // 2 AS INT) AS peak, v AS value, row_number() OVER (PARTITION BY fov ORDER BY v DESC, x DESC) AS nth FROM run WHERE v > pv AND v > nv AND v >= {height}),
+kp(fov, nth, kept) AS (SELECT fov, 1, [peak] FROM pk WHERE nth = 1 UNION ALL SELECT kp.fov, kp.nth + 1, CASE WHEN len(list_filter(kp.kept, lambda k: abs(k - pk.peak) < {distance})) > 0 THEN kp.kept ELSE list_append(kp.kept, pk.peak) END FROM kp JOIN pk ON pk.fov = kp.fov AND pk.nth = kp.nth + 1),
+ap AS (SELECT pk.* FROM pk JOIN (SELECT fov, unnest(kept) AS peak FROM (SELECT fov, kept FROM kp QUALIFY nth = max(nth) OVER (PARTITION BY fov))) k USING (fov, peak)),
+ed AS (SELECT ap.fov, peak, value, coalesce(max(CASE WHEN g.x < peak AND g.v > value THEN g.x END), -1) AS l, coalesce(min(CASE WHEN g.x > peak AND g.v > value THEN g.x END), 1000000000) AS r FROM ap JOIN g ON g.fov = ap.fov GROUP BY ap.fov, peak, value),
+pr AS (SELECT ed.fov, peak, value, value - greatest(min(CASE WHEN g.x > l AND g.x <= peak THEN g.v END), min(CASE WHEN g.x >= peak AND g.x < r THEN g.v END)) AS prominence FROM ed JOIN g ON g.fov = ed.fov GROUP BY ed.fov, peak, value)
+"""
+_SMOOTH = "WITH RECURSIVE " + _PROFILE[5:].replace("g AS (", "g0 AS (") + """, k AS (SELECT i, exp(-0.5::DOUBLE * i * i / 4.0::DOUBLE) AS w FROM range(-8, 9) r(i)), kw AS (SELECT i, w / (SELECT sum(w) FROM k) AS w FROM k),
+g AS (SELECT a.fov, a.x, sum(kw.w * h.v ORDER BY kw.i) AS v FROM g0 a CROSS JOIN kw JOIN g0 h ON h.fov = a.fov AND h.x = CASE WHEN (a.x + kw.i + 240) % 240 < 120 THEN (a.x + kw.i + 240) % 240 ELSE 239 - (a.x + kw.i + 240) % 240 END GROUP BY a.fov, a.x)
+"""
+_USERS = "WITH RECURSIVE g AS (SELECT user_id AS fov, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS INT) AS x, value AS v FROM events)"
+#: As _TRENCHES, where lane 1 is not smoothed, needs a height and lies one row further off.
+_OVERRIDES = _TRENCHES.replace("sum(kw.w * b.v) AS v FROM bp a", "sum(CASE WHEN a.lane_index <> 1 THEN kw.w * b.v WHEN kw.i = 0 THEN b.v ELSE 0 END) AS v FROM bp a").replace("CASE WHEN orientation > 0 THEN y_center - 2 ELSE y_center END", "CASE WHEN orientation > 0 THEN y_center - 2 - (lane_index = 1)::INT ELSE y_center + (lane_index = 1)::INT END").replace("WHERE v > pv AND v > nv)", "WHERE v > pv AND v > nv AND (lane_index <> 1 OR v >= 0.05))")
+
 PLANS = {
     "rename_duplicates": (rename_duplicates, "SELECT p_partkey, CASE WHEN count(*) OVER (PARTITION BY p_name) > 1 THEN p_name || '-' || CASE WHEN row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) < 10 THEN '0' ELSE '' END || CAST(row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) AS VARCHAR) ELSE p_name END AS p_name FROM part"),
     "ordered_distinct": (ordered_distinct, "SELECT p_type, min(p_partkey) AS p_partkey FROM part GROUP BY p_type"),
@@ -236,7 +283,10 @@ PLANS = {
     "smoothed": (smoothed, _PROFILE + _GAUSS + " SELECT g.fov, g.x, round(sum(kw.w * h.v), 6) AS v FROM g CROSS JOIN kw JOIN g h ON h.fov = g.fov AND h.x = CASE WHEN (g.x + kw.i + 240) % 240 < 120 THEN (g.x + kw.i + 240) % 240 ELSE 239 - (g.x + kw.i + 240) % 240 END GROUP BY g.fov, g.x"),
     "convolved": (convolved, _PROFILE + "SELECT a.fov, CAST(a.x + k.i AS INT) AS x, round(sum(a.v * k.w) / 4, 6) AS v FROM g a CROSS JOIN (VALUES (0, 1.0::DOUBLE), (1, 2.0::DOUBLE), (2, 1.0::DOUBLE)) k(i, w) GROUP BY 1, 2"),
     "peaks": (peaks, _PROFILE + _PEAKS),
-    "peaks_apart": (peaks_apart, None),
+    "peaks_apart": (peaks_apart, _SMOOTH + _APART.format(height=-1, distance=8) + "SELECT fov, peak, round(value, 6) AS value FROM pr WHERE prominence >= 0.1"),
+    "user_peaks": (user_peaks, _USERS + _APART.format(height=5, distance=4) + "SELECT fov AS user_id, peak, value FROM pr WHERE prominence >= 10"),
+    "event_columns": (event_columns, "SELECT event_id, event_id AS frame_index, event_id % 3 <> 0 AND user_id > 7 AS frame_is_old, CASE WHEN event_id % 3 = 0 THEN 'none' ELSE '7' END AS frame_mixed, CAST(NULL AS VARCHAR) AS frame_nothing, CASE WHEN event_id % 3 = 0 THEN '' ELSE props END AS frame_raw, CASE WHEN event_id % 3 <> 0 AND event_id % 2 = 0 THEN event_type ELSE '' END AS frame_tag, CASE WHEN event_id % 3 = 0 THEN '' ELSE '[' || user_id || ']' END AS frame_users, CASE WHEN event_id % 3 <> 0 THEN value END AS frame_value_s FROM events"),
+    "lane_overrides": (lane_overrides, FRAMES_SQL + _LANES + _OVERRIDES),
     "lane_orientation": (lane_orientation, _PROFILE + "SELECT a.fov, a.x AS place, CASE WHEN avg(CASE WHEN b.x < a.x THEN b.v END) > avg(CASE WHEN b.x >= a.x THEN b.v END) THEN 1 ELSE -1 END AS orientation FROM g a JOIN g b ON b.fov = a.fov AND b.x >= a.x - 5 AND b.x < a.x + 5 GROUP BY a.fov, a.x"),
     "detected_lanes": (detected_lanes, FRAMES_SQL + _LANES + "SELECT fov, lane_index, y_center, orientation FROM ln"),
     "detected_trenches": (detected_trenches, FRAMES_SQL + _LANES + _TRENCHES),
@@ -245,6 +295,7 @@ PLANS = {
     "trench_bands": (trench_bands, _BOXES + "SELECT fov, y_top, y_bottom, string_agg(CAST(trench_id AS VARCHAR), ',' ORDER BY trench_id) AS trench_ids FROM bx GROUP BY fov, y_top, y_bottom"),
     "trench_counts": (trench_counts, _BOXES + "SELECT fov, count(*) AS n_trenches, count(DISTINCT lane_index) AS n_lanes FROM bx GROUP BY fov"),
     "trench_crops": (trench_crops, FRAMES_SQL + _SHIFTS + _PLAIN + _WARP + BOXES_SQL + "SELECT trench_id, t, CASE WHEN needs_flip THEN y_bottom - 1 - y ELSE y - y_top END AS y, x - x_left AS x, round(v, 6) AS v FROM wp JOIN bx USING (fov) WHERE x >= x_left AND x < x_right AND y >= y_top AND y < y_bottom"),
+    "chunked_crops": (chunked_crops, FRAMES_SQL + _SHIFTS + _PLAIN + _WARP + BOXES_SQL + "SELECT trench_id, t, CASE WHEN needs_flip THEN y_bottom - 1 - y ELSE y - y_top END AS y, x - x_left AS x, round(v, 6) AS v FROM wp JOIN bx USING (fov) WHERE x >= x_left AND x < x_right AND y >= y_top AND y < y_bottom AND t >= 6 AND t < 43"),
     "trench_sources": (trench_sources, FRAMES_SQL + BOXES_SQL + "SELECT trench_id, p_index, t, t * 30000.0::DOUBLE AS t_ms FROM bx JOIN fr USING (fov)"),
     "stored_size": (stored_size, _BOXES + ", n AS (SELECT CAST(sum(9) * 750 * 2 * 2 AS DOUBLE) AS n_bytes FROM bx) SELECT n_bytes, CASE WHEN n_bytes < 1024 THEN format('{:.1f} B', n_bytes) WHEN n_bytes < 1048576 THEN format('{:.1f} KB', n_bytes / 1024) ELSE format('{:.1f} MB', n_bytes / 1048576) END AS size FROM n"),
     "fingerprint": (fingerprint, FRAMES_SQL + _SHIFTS + BOXES_SQL + """, e AS (SELECT fov, 0 AS kind, trench_id AS spot, '{"trench_id":' || trench_id || ',"fov":"' || fov || '","lane_index":' || lane_index || ',"x_left":' || x_left || ',"x_right":' || x_right || ',"y_top":' || y_top || ',"y_bottom":' || y_bottom || ',"orientation":' || orientation || ',"needs_flip":' || needs_flip || '}' AS line FROM bx

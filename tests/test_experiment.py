@@ -125,3 +125,41 @@ def test_ranks_of_blocks_are_ranks_of_the_whole(spark):
             rows = frames._ranked(table, block).where(F.col("label") == label).orderBy("rank").collect()
             assert [r["rank"] for r in rows] == list(range(len(ids)))
             assert [r.vec_id for r in rows] == [None, *sorted(v for v in ids if v is not None)]
+
+
+def test_positions_without_numbers_follow_their_names(spark, tmp_path):
+    names = [f"XYPos:{i}" for i in range(12)]
+    spark.createDataFrame([(n, t, 1, 1, [1.0]) for n in names for t in (0, 1)], "fov string, t int, h int, w int, pixels array<double>").write.parquet(f"{tmp_path}/e")
+    whole = ex.load(spark, f"{tmp_path}/e")
+    assert whole.fov_names == names
+    part = whole.select_fovs([2, "XYPos:10"]).select_times(1, 2)
+    assert part.fov_names == ["XYPos:2", "XYPos:10"] and {(r.fov, r.p_index) for r in part.frames.collect()} == {("XYPos:2", 2), ("XYPos:10", 10)}
+    plan = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(part.frames._jdf.queryExecution(), "formatted")
+    assert all("(fov" in line for line in plan.splitlines() if "PushedFilters" in line)
+
+
+def test_selected_numbers_reach_the_scan_and_names_are_asked_once(spark, tmp_path, monkeypatch):
+    rows = [("a", p, t, 1, 1, [1.0]) for p in range(3) for t in (0, 1)]
+    spark.createDataFrame(rows, "fov string, p_index int, t int, h int, w int, pixels array<double>").write.parquet(f"{tmp_path}/e")
+    whole = ex.load(spark, f"{tmp_path}/e")
+    part = whole.select_fovs(["a-01", "a-03"]).discard_fovs(["a-03"])
+    plan = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(part.frames._jdf.queryExecution(), "formatted")
+    assert any("p_index" in line and ("In(" in line or "EqualTo" in line) for line in plan.splitlines() if "PushedFilters" in line)
+    assert {(r.fov, r.p_index) for r in part.frames.collect()} == {("a-01", 0)}
+    monkeypatch.setattr(type(whole.raw), "distinct", lambda self: 1 / 0)
+    assert part.select_times(0, 1).select_roi(y=(0, 1)).fov_names == ["a-01"]
+
+
+def test_records_of_odd_keys(spark):
+    from strataframe.operators import metadata
+
+    records = ['{"a.b": 1, "it\'s": true, "q\\"x": 2.5, "x y": {"k": 1}, "l": [1, 2], "big": 123456789012345678, "OBJECT<": "o", "a\'b\\"c": 3, "`t`": 1, "m": 1, "e": null}', '{"m": "x", "a.b": 2, "e": null, "big": 5}', "not json", None, "[1]", "{}"]
+    for some in (records, records[2:]):
+        table = spark.createDataFrame([(t,) for t in some], "json string")
+        kinds = {r["key"]: r["type"] for r in metadata.key_types(table).collect()}
+        if some is records:
+            assert kinds == {"a.b": "int64", "it's": "bool", 'q"x': "float64", "x y": "string", "l": "string", "big": "int64", "OBJECT<": "string", "a'b\"c": "int64", "`t`": "int64", "m": "string", "e": "object"}
+            rows = metadata.records_table(table, "").collect()
+            assert (rows[0].x_y, rows[0].l, rows[0].m, rows[0].t, rows[0].a_b, rows[0].it_s, rows[0].a_b_c, rows[1].m, rows[1].big, rows[2].m, rows[2].a_b) == ('{"k":1}', "[1,2]", "1", 1, 1, True, 3, "x", 5, "", None)
+        else:
+            assert kinds == {} and metadata.records_table(table, "p").columns == []
