@@ -10,14 +10,14 @@ item, and one of ``PIECE`` characters without edits is found too, for it lacks a
 
 Lemma: a region within k edits of the piece shares at least m + 1 - q(k + 1)
 of its q-grams with it, all within k + 1 neighbouring diagonals (place in the
-text minus place in the piece).  A region is looked for where the text has one of
-the piece's telling q-grams: those that at most ``COMMON`` distinct pieces hold, or
-its ``TELLING`` rarest if it has fewer.  So a phrase that many items begin with
-leads nowhere by itself, and what a q-gram of the text leads to is bounded.  Such a
+text minus place in the piece).  A piece is also k + 1 segments of q characters or more, of which k edits
+leave one as it is; so a region is looked for where the text has the first q-gram of a
+segment, and none is missed.  Such a
 place falls into diagonal bands of width 2(k + 1) that overlap by half; in each band the
 piece's shared q-grams are counted, and bands that reach the bound are
-verified, by a banded alignment with free ends.  What that leaves out: a region whose
-only unedited q-grams are ones that more than ``COMMON`` pieces hold.
+verified, by a banded alignment with free ends.  Many pieces may share a phrase that a text holds: then all are candidates, and
+the alignment begins at the end whose q-gram fewer pieces have, and gives a piece up as soon as it costs too much.
+What is found of an item depends on no other item, and not on the blocks.
 
 Items of fewer than q characters are found where they stand unedited as whole words.
 
@@ -45,8 +45,8 @@ from ._shared import discard, stored
 Q = 12
 PIECE, STRIDE = 80, 8
 EDIT_SHARE = 16
-#: Distinct pieces that a telling q-gram has at most, and how many a piece has at least.
-COMMON, TELLING = 256, 8
+#: Where more distinct pieces have the first q-gram of a piece, its alignment may begin at its end; it changes work only.
+COMMON = 256
 #: Most bytes of items that are sent to the tasks at once.
 BLOCK = 2 << 20
 _FILTER_BITS = 22
@@ -78,6 +78,32 @@ _OF_WORD = np.zeros(256, bool)
 _OF_WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
 
+_GRAMS = PIECE - Q + 1
+_PAD = 4 * PIECE
+
+
+def _short_codes(codes: np.ndarray) -> np.ndarray:
+    """Half of each code: enough to count by, for what is counted is aligned."""
+    return (codes >> np.uint64(32)).astype(np.uint32)
+
+
+class _Padded:
+    """A chunk's text and q-grams with room on both sides, as windows; q-grams that two texts make together are 0, which no piece's is."""
+
+    def __init__(self, text: np.ndarray, bounds: np.ndarray, codes: np.ndarray):
+        self.size = len(text)
+        room = np.zeros(_PAD, np.uint8)
+        self._text = {False: np.concatenate((room, text, room)), True: np.concatenate((room, text[::-1], room))}
+        short = _short_codes(codes)
+        inner = bounds[1:-1]
+        crossing = (inner[:, None] - np.arange(1, Q)).ravel()
+        short[crossing[(crossing >= 0) & (crossing < len(short))]] = 0
+        self.grams = np.lib.stride_tricks.sliding_window_view(np.concatenate((np.zeros(_PAD, np.uint32), short, np.zeros(_PAD, np.uint32))), _GRAMS)
+
+    def chars(self, width: int, backward: bool) -> np.ndarray:
+        return np.lib.stride_tricks.sliding_window_view(self._text[backward], width)
+
+
 class Index:
     """The q-grams of a block of items.
 
@@ -118,37 +144,29 @@ class Index:
             self.short[n] = codes[order], np.array([i for i, _ in own])[order]
 
     def _find_keys(self, buf: np.ndarray) -> None:
-        """Of each telling q-gram the places in the items, and the pieces that hold each place, which follow each other."""
+        """The first q-grams of all segments, with their pieces and places in them; all q-grams; and which end of each piece is rarer."""
         begin = np.arange(max(0, len(buf) - Q + 1))
         low, high = np.searchsorted(self.at + self.length, begin + Q), np.searchsorted(self.at, begin, side="right")
         held = high > low
         self.codes_at = _text.byte_prefix(buf).spans(begin, begin + Q) if len(begin) else np.zeros(0, np.uint64)
-        begin, low, count = begin[held], low[held], (high - low)[held]
-        known, number = np.unique(self.codes_at[begin], return_inverse=True)
-        holders = np.bincount(number, weights=count, minlength=len(known)).astype(np.int64)
-        rare = holders[number] <= COMMON
-        at_place = np.full(len(self.codes_at) + 1, np.iinfo(np.int64).max)
-        at_place[begin] = holders[number]
-        told = np.concatenate(([0], np.cumsum(at_place[:-1] <= COMMON)))
-        n_rare = told[self.at + self.length - Q + 1] - told[self.at]
-        extra_begin, extra_piece = [], []
-        for piece in np.flatnonzero(n_rare < np.minimum(TELLING, self.length - Q + 1)).tolist():
-            own = self.at[piece] + np.argsort(at_place[self.at[piece] : self.at[piece] + self.length[piece] - Q + 1], kind="stable")[:TELLING]
-            own = own[at_place[own] > COMMON]
-            extra_begin.append(own)
-            extra_piece.append(np.full(len(own), piece))
-        begin, low, count = begin[rare], low[rare], count[rare]
-        if extra_begin:
-            added = np.concatenate(extra_begin)
-            begin, low, count = np.concatenate([begin, added]), np.concatenate([low, *extra_piece]), np.concatenate([count, np.ones(len(added), np.int64)])
-        codes = self.codes_at[begin]
+        self.known, number = np.unique(self.codes_at[held], return_inverse=True)
+        holders = np.zeros(len(begin) + 1, np.int64)
+        holders[:-1][held] = np.bincount(number, weights=(high - low)[held], minlength=len(self.known)).astype(np.int64)[number]
+        first, last = holders[self.at], holders[self.at + self.length - Q]
+        self.backward = (first > COMMON) & (last < first)
+        self.filter = np.zeros(1 << _FILTER_BITS, bool)
+        self.filter[(self.known >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
+
+        segments = self.edits + 1
+        piece = np.repeat(np.arange(len(self.at)), segments)
+        offset = _text.spread(np.zeros(len(self.at), np.int64), segments) * self.length[piece] // segments[piece]
+        codes = self.codes_at[self.at[piece] + offset]
         order = np.argsort(codes, kind="stable")
         self.keys, first = np.unique(codes[order], return_index=True)
         self.first = np.append(first, len(codes))
-        self.begin, self.low_piece, self.n_pieces = begin[order], low[order], count[order]
-        self.known = known
-        self.filter = np.zeros(1 << _FILTER_BITS, bool)
-        self.filter[(known >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
+        self.key_piece, self.key_offset = piece[order], offset[order]
+        short = _short_codes(self.codes_at)
+        self.grams = np.lib.stride_tricks.sliding_window_view(np.append(np.maximum(short, 1), np.zeros(_GRAMS, np.uint32)), _GRAMS)
 
     def search(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
         """Row, piece, start, end and edits of every verified region."""
@@ -192,47 +210,84 @@ class Index:
         telling = (hit + Q <= bounds[row + 1]) & (k < len(self.keys))
         telling[telling] = self.keys[k[telling]] == codes[hit[telling]]
         hit, row, k = hit[telling], row[telling], k[telling]
-        leads = np.concatenate(([0], np.cumsum(self.n_pieces)))
-        total = np.cumsum(leads[self.first[k + 1]] - leads[self.first[k]])
+        if not len(hit):
+            return none
+        padded = _Padded(text, bounds, codes)
+        total = np.cumsum(self.first[k + 1] - self.first[k])
         top, n_rows, found, low = len(text) + 2 * PIECE, len(bounds), [none], 0
         while low < len(hit):  # so many places at once as lead to a bounded number of pieces (one place at least)
             high = max(low + 1, int(np.searchsorted(total, (total[low - 1] if low else 0) + _LOOKED, side="right")))
             part = slice(low, high)
             count = self.first[k[part] + 1] - self.first[k[part]]
             entry = _text.spread(self.first[k[part]], count)
-            count_of = self.n_pieces[entry]
-            piece = _text.spread(self.low_piece[entry], count_of)
-            diagonal = np.repeat(np.repeat(hit[part], count) - self.begin[entry], count_of) + self.at[piece] + PIECE  # kept positive
+            piece = self.key_piece[entry]
+            diagonal = np.repeat(hit[part], count) - self.key_offset[entry] + PIECE  # kept positive
             band = diagonal // (self.edits[piece] + 1)
-            key = (piece * n_rows + np.repeat(np.repeat(row[part], count), count_of)) * top
+            key = (piece * n_rows + np.repeat(row[part], count)) * top
             keys = np.unique(np.concatenate([key + band, key + np.maximum(0, band - 1)]))
             for i in range(0, len(keys), _ALIGNED):
                 own = keys[i : i + _ALIGNED]
-                found.append(self._verify(text, bounds, codes, own // top // n_rows, own // top % n_rows, own % top))
+                found.append(self._verify(text, bounds, padded, own // top // n_rows, own // top % n_rows, own % top))
             low = high
         row, piece, start, end, edits = (np.concatenate(x) for x in zip(*found, strict=True))
         once = np.unique(np.stack([row, piece, start, end, edits], axis=1), axis=0)
         return tuple(once.T)
 
-    def _verify(self, text: np.ndarray, bounds: np.ndarray, codes: np.ndarray, piece: np.ndarray, row: np.ndarray, band: np.ndarray) -> tuple[np.ndarray, ...]:
+    def _verify(self, text: np.ndarray, bounds: np.ndarray, padded: _Padded, piece: np.ndarray, row: np.ndarray, band: np.ndarray) -> tuple[np.ndarray, ...]:
         """Regions of the bands whose piece has enough of its q-grams on the band's diagonals and aligns within its edits."""
         first = band * (self.edits[piece] + 1) - PIECE
-        offset = np.arange(PIECE - Q + 1)
-        inside = offset <= self.length[piece][:, None] - Q
-        wanted = self.codes_at[np.minimum(self.at[piece][:, None] + offset, len(self.codes_at) - 1)]
-        shared = np.zeros(inside.shape, bool)
-        for d in range(2 * (int(self.edits[piece].max(initial=0)) + 1)):
-            j = first[:, None] + offset + d
-            on = inside & (d < 2 * (self.edits[piece] + 1))[:, None] & (j >= bounds[row][:, None]) & (j + Q <= bounds[row + 1][:, None])
-            shared |= on & (codes[np.clip(j, 0, len(codes) - 1)] == wanted)
-        enough = shared.sum(axis=1) >= self.least[piece]
-        piece, row, first = piece[enough], row[enough], first[enough]
+        wanted = np.where(np.arange(_GRAMS) <= (self.length[piece] - Q)[:, None], self.grams[self.at[piece]], np.uint32(1))
+        shared, widths = np.zeros(wanted.shape, bool), 2 * (self.edits[piece] + 1)
+        for d in range(int(widths.max(initial=0))):
+            on = padded.grams[first + d + _PAD] == wanted
+            if d >= widths.min():
+                on &= (d < widths)[:, None]
+            shared |= on
+        keep = np.flatnonzero(shared.sum(axis=1) >= self.least[piece])
+        keep = keep[self._may_align(padded, piece[keep], first[keep])]
+        piece, row, first = piece[keep], row[keep], first[keep]
         if not len(piece):
             return tuple(np.zeros(0, np.int64) for _ in range(5))
         start, end, edits = self._align(text, bounds, piece, row, first)
         good = edits <= self.edits[piece]
         return row[good], piece[good], start[good], end[good], edits[good]
 
+    def _may_align(self, padded: _Padded, piece: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Whether each piece aligns within its edits if neighbouring texts are taken as one, from its rarer end on; most that don't are given up early."""
+        out = np.zeros(len(piece), bool)
+        for backward in (False, True):
+            own = np.flatnonzero(self.backward[piece] == backward)
+            if not len(own):
+                continue
+            some, length, edits = piece[own], self.length[piece[own]], self.edits[piece[own]]
+            k = int(edits.max())
+            width = 2 * (k + 1) + 2 * k + 1
+            low = first[own] - k
+            if backward:  # read from the other end, diagonals run the other way
+                low = padded.size - length - low - width + 1
+            view = padded.chars(width, backward)
+            value = np.zeros((len(own), width), np.uint8)
+            for i in range(1, PIECE + 1):
+                chars = self.chars[some, length - i if backward else np.full(len(some), i - 1)]
+                x = value + (view[low + (i - 1 + _PAD)] != chars[:, None])
+                np.minimum(x[:, :-1], value[:, 1:] + 1, out=x[:, :-1])
+                step = 1
+                while step <= k:  # runs of 1, 3, 7, ... characters that the text has more
+                    np.minimum(x[:, step:], x[:, :-step] + step, out=x[:, step:])
+                    step *= 2
+                value = x
+                done = length == i
+                if i % 3 and not (i >= Q and done.any()):
+                    continue
+                fine = value.min(axis=1) <= edits
+                out[own[done & fine]] = True
+                stay = fine & ~done
+                if not stay.all():
+                    own, some, length, edits, low, value = own[stay], some[stay], length[stay], edits[stay], low[stay], value[stay]
+                if not len(own):
+                    break
+        return out
+
     def _align(self, text: np.ndarray, bounds: np.ndarray, piece: np.ndarray, row: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
         """Least edits of each piece against the text at the band's diagonals and k beside them, its start and its end."""
         k = int(self.edits[piece].max())

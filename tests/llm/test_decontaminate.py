@@ -148,3 +148,46 @@ def test_clean_keeps_all_columns(spark):
     for block in (60, decontaminate.BLOCK):
         kept = decontaminate.clean(docs, spark.createDataFrame([(5, item), (6, "x" * 30)], "item_id long, text string"), block=block)
         assert kept.columns == docs.columns and sorted((r.doc_id for r in kept.collect()), key=str) == [2, None]
+
+
+def test_what_is_found_depends_on_no_other_item(spark):
+    """A near copy of one item among many that share 60 characters, in one block and in many."""
+    rng = np.random.default_rng(12)
+    start = "which one of the following answers is the right one to give "[:60]
+    items = [(k, start + "".join(rng.choice(list("abcdefghij "), 60))) for k in range(3000)]
+    piece = items[0][1][:80]
+    changed = piece[:66] + "Q" + piece[67:73] + piece[74:]
+    text = f"some words before {changed} and after"
+    data = np.frombuffer(text.encode(), np.uint8)
+    alone = None
+    for n in (1, 200, 256, 257, 300, 3000):
+        index = decontaminate.Index(items[:n])
+        _, item, start_at, end, edits = decontaminate.regions(index, data, np.array([0, len(data)]))
+        assert item.tolist() == [0] and (n == 1 or (start_at.tolist(), end.tolist(), edits.tolist()) == alone), n
+        alone = alone if n > 1 else (start_at.tolist(), end.tolist(), edits.tolist())
+    docs, table = spark.createDataFrame([(1, text), (2, start + "only")], "doc_id long, text string"), spark.createDataFrame(items[:300], "item_id long, text string")
+    for block in (12_000, decontaminate.BLOCK):
+        assert [(r.doc_id, r.item_id, [r.start], [r.end], [r.edits]) for r in decontaminate.matches(docs, table, block=block).collect()] == [(1, 0, *alone)]
+        assert [r.doc_id for r in decontaminate.clean(docs, table, block=block).collect()] == [2]
+
+
+def test_common_pieces_against_alignment_of_all(monkeypatch):
+    """Pieces that share their start, middle or end, in texts with edits anywhere, begun at either end."""
+    rng = np.random.default_rng(13)
+    letters = list("abcdefgh ")
+    part = lambda n: "".join(rng.choice(letters, n))
+    shared = part(55)
+    items = [(k, shared + part(25)) for k in range(30)] + [(100 + k, part(25) + shared) for k in range(30)] + [(200 + k, part(14) + shared + part(11)) for k in range(30)] + [(300, part(30))]
+    docs = [part(20) + edited(rng, items[k][1], int(rng.integers(0, 8))) + part(20) for k in range(0, 90, 3)] + [shared + shared, part(300), items[-1][1], "", items[4][1][40:], items[40][1][:60]]
+    data = [d.encode() for d in docs]
+    buf, offsets = np.frombuffer(b"".join(data), np.uint8), np.concatenate(([0], np.cumsum([len(d) for d in data])))
+    for common in (1 << 30, 0):
+        monkeypatch.setattr(decontaminate, "COMMON", common)
+        index = decontaminate.Index(items)
+        assert index.backward.any() == (common == 0)
+        row, piece, *_ = index.search(buf, offsets)
+        found = set(zip(row.tolist(), piece.tolist(), strict=True))
+        for r, text in enumerate(docs):
+            whole = brute.folded(text).encode()
+            for p in range(len(index.at)):
+                assert ((r, p) in found) == (brute.distance_in(index.chars[p, : index.length[p]].tobytes(), whole) <= index.edits[p]), (r, p)
