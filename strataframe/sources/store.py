@@ -13,7 +13,7 @@ from ..functions.names import canonical_json
 from ..operators import trenches
 from . import chunks
 
-SECTIONS = ("registration", "lanes", "trenches")
+SECTIONS = ("registration", "means", "lanes", "trenches")
 
 
 class Store:
@@ -101,6 +101,12 @@ class Store:
     def __repr__(self) -> str:
         return f"Store at {self.path} (complete: {', '.join(s for s in SECTIONS if self.has(s)) or 'nothing'})"
 
+    def drop(self, section: str) -> None:
+        """Delete one section alone."""
+        if section not in SECTIONS:
+            raise ValueError(f"unknown section {section!r}")
+        self._delete(f"{self.path}/{section}")
+
     def reset(self, section: str) -> None:
         """Delete a section and those of the stages after it."""
         for name in SECTIONS[SECTIONS.index(section) :]:
