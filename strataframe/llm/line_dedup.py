@@ -9,10 +9,12 @@ A run of consecutive lines counts from ``min_words`` words on.
    line: the selected positions are fingerprints that no repeated run can miss.
 2. Join.  Positions are joined on their fingerprint; those whose fingerprint
    stands only once, the most, go no further.
-3. Extend.  A joined position is extended line by line both ways, as far as
-   the windows go that selected it, and compared over the whole of each by the
-   hash of its lines.  Windows of a longer common run overlap or touch, so together
-   they are the maximal common runs.
+3. Extend.  A joined position is extended both ways as far as the windows go that
+   selected it, and each window is compared as a whole, by the hash of its lines, with those of all
+   positions of its fingerprint; windows of a longer common run overlap or touch, so together they are
+   the maximal common runs.  Pairs of positions are not walked line by line: each would
+   have to be walked with all others of its fingerprint, not with the first alone, and
+   a common line has very many.
 4. Delete.  Of equal runs the first in order of id, then place, stays; the
    lines of all later ones go: those that lie in a run of at least ``min_words`` words
    that also stands in a document of a smaller id or earlier in the same text.

@@ -1,8 +1,8 @@
 """PII surrogates: keyed, type-consistent replacements that keep identities apart and together.
 
-Entities are e-mail addresses, IPv4 and IPv6 addresses, phone numbers, card
-numbers, secrets (long hexadecimal strings and well-known token forms), and
-names after a title.  An entity has parts with a form each (letter case and
+Entities are e-mail addresses, IPv4 and IPv6 addresses, phone and social security numbers, card
+numbers, secrets (IBANs, long hexadecimal strings and well-known token forms), and
+names after a title, whose genitive is not a part of them.  An entity has parts with a form each (letter case and
 separators aside): an address has its local part and its domain, a name its words
 (so "Mr. John Smith" and "Mr. Smith" share the surname's surrogate), all others one.
 All parts of one form get the same surrogate, which is coreference.  A
@@ -17,8 +17,12 @@ again, round by round.  From round ``GROW`` on surrogates get longer, and in rou
 ``LAST`` they take a long hash of the form, so a form without a letter to change ("_@-.com"),
 or one whose space is used up, ends there at the latest.
 
+The rows with entities and the table of surrogates stay in the shared folder until
+``_shared.clear`` is called, once the result is written: they hold what is to be hidden.  So
+does the plan, as it shows the secret.
+
 Not found: names without a title, bare mentions of a name elsewhere in the text, digits
-other than 0-9, phone numbers without separators, a plus sign or brackets.  Letters of a script
+other than 0-9, phone numbers without separators, a plus sign or brackets, long hexadecimal strings of letters alone.  Letters of a script
 that has no alphabet here become Latin ones; combining marks and signs stay.
 
 All is DataFrame functions.  Texts are searched once to write the entities
@@ -37,7 +41,7 @@ import hashlib
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ._shared import checkpointed
+from ._shared import discard, stored
 
 #: The rounds from which on surrogates grow, and in which they take a hash of the whole form.
 GROW, LAST = 3, 8
@@ -49,11 +53,23 @@ OTHER_TITLES = ["Dr", "Prof"]
 #: Small words inside names, which stay.
 PARTICLES = ["von", "van", "der", "den", "de", "la", "di", "da", "del", "bin", "al"]
 
-_TITLES = "|".join([*MALE_TITLES, *FEMALE_TITLES, *OTHER_TITLES])
+#: Titles that are abbreviations of something else where they stand in capitals without a full stop.
+DOTTED = ["MS", "DR", "PROF"]
+
+
+def _capital(titles: list[str]) -> str:
+    """The titles in capitals, before a word in capitals alone."""
+    capitals = [t.upper() + (r"(?=\.)" if t.upper() in DOTTED else "") for t in titles]
+    return rf"(?:{'|'.join(capitals)})(?=\.? (?:\p{{Lu}}\. )*\p{{Lu}}['’]?\p{{Lu}})"
+
+
+_TITLES = "|".join([*MALE_TITLES, *FEMALE_TITLES, *OTHER_TITLES, _capital([*MALE_TITLES, *FEMALE_TITLES, *OTHER_TITLES])])
 _TITLED = rf"^(?:(?:{_TITLES})\.? )+"
 #: A word of a name begins with a capital letter, or is of a script without capitals.
-_WORD = r"[\p{Lu}\p{Lo}][\p{L}\p{M}]*+(?:['’]\p{L}[\p{L}\p{M}]*+)*+"
-_LONG_WORD = r"(?:\p{Lu}(?:[\p{L}\p{M}]|['’]\p{L})(?:[\p{L}\p{M}]|['’]\p{L})*+|\p{Lo}[\p{Lo}\p{M}]*+)"
+#: An apostrophe in a name, but for the one of a genitive at its end.
+_APOSTROPHE = r"['’](?![sS](?![\p{L}\p{M}]))\p{L}"
+_WORD = rf"[\p{{Lu}}\p{{Lo}}][\p{{L}}\p{{M}}]*+(?:{_APOSTROPHE}[\p{{L}}\p{{M}}]*+)*+"
+_LONG_WORD = rf"(?:\p{{Lu}}(?:[\p{{L}}\p{{M}}]|{_APOSTROPHE})(?:[\p{{L}}\p{{M}}]|{_APOSTROPHE})*+|\p{{Lo}}[\p{{Lo}}\p{{M}}]*+)"
 _PARTICLE = "(?:" + "|".join(PARTICLES) + ")"
 #: A name's glue: what stands before a word of it.
 _GLUE = rf"(?:[ -]|{_PARTICLE} |\p{{Lu}}\. )*"
@@ -66,11 +82,13 @@ PATTERN = "|".join([
     r"\+[0-9]{1,3}[ -]?\(?[0-9]{2,4}\)?[ -]?[0-9]{3,4}[ -]?[0-9]{3,4}(?![0-9])",
     r"\+[0-9]{1,3}(?:[ .-][0-9]{1,4}){3,6}(?![0-9])",
     r"(?<![\p{L}0-9(])\([0-9]{2,5}\) ?[0-9]{3,4}[ .-]?[0-9]{3,5}(?![0-9])",
-    r"(?<![\p{L}0-9.-])(?:[0-9]{3}-[0-9]{3}-[0-9]{4}|[0-9]{3}\.[0-9]{3}\.[0-9]{4}|0[0-9](?:[ .][0-9]{2}){4}|0[0-9]{2,4}[ /-][0-9]{6,8})(?![\p{L}0-9]|[.-][0-9])",
+    r"(?<![\p{L}0-9.-])(?:(?:1[ .-])?(?:[0-9]{3}-[0-9]{3}-[0-9]{4}|[0-9]{3}\.[0-9]{3}\.[0-9]{4}|[0-9]{3} [0-9]{3} [0-9]{4})|[0-9]{3}-[0-9]{2}-[0-9]{4}|0[0-9](?:[ .][0-9]{2}){4}|0[0-9]{2,4}[ /-][0-9]{6,8})(?![\p{L}0-9]|[.-][0-9])",
     r"(?<![\p{L}0-9])[0-9]{13,19}(?![\p{L}0-9])",
-    r"(?<![\p{L}0-9])[0-9]{4}(?:[ -][0-9]{4}){3}(?![\p{L}0-9])",
+    r"(?<![\p{L}0-9])(?:[0-9]{4}(?:[ -][0-9]{4}){3}|3[0-9]{3}[ -][0-9]{6}[ -][0-9]{5})(?![\p{L}0-9])",
+    r"(?<![\p{L}0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{4}){2,7}[A-Z0-9]{1,3}(?![\p{L}0-9])",
+    r"(?<![\p{L}0-9])[A-Z]{2}[0-9]{2}(?: [A-Z0-9]{4}){3,7}(?: [A-Z0-9]{1,3})?(?![\p{L}0-9])",
     r"(?<![\p{L}0-9])(?=[a-fA-F]*[0-9])[0-9a-fA-F]{32,128}(?![\p{L}0-9])",
-    r"(?<![\p{L}0-9])(?=[A-Za-z_-]*[0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|sk-[A-Za-z0-9]{20,})(?![\p{L}0-9])",
+    r"(?<![\p{L}0-9])(?=[A-Za-z_-]*[0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|sk-[A-Za-z0-9]{20,}|xox[abeoprs]-[A-Za-z0-9-]{10,}|AIza[0-9A-Za-z_-]{35}|eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,})(?![\p{L}0-9])",
     rf"(?<!\p{{L}})(?:(?:{_TITLES})\.? )+(?:\p{{Lu}}\. |{_PARTICLE} ){{0,3}}{_LONG_WORD}(?:(?: (?:\p{{Lu}}\. )?(?:{_PARTICLE} ){{0,2}}|-){_LONG_WORD}){{0,3}}",
 ])
 
@@ -100,7 +118,7 @@ def entities(text: Column) -> Column:
     """All entities in order; texts that lack the signs that every entity has are not searched."""
     may = text.rlike("[0-9@]")
     for title in [*MALE_TITLES, *FEMALE_TITLES, *OTHER_TITLES]:
-        may = may | text.contains(title)
+        may = may | text.contains(title) | text.contains(title.upper())
     return F.when(may, F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))).otherwise(F.array().cast("array<string>"))
 
 
@@ -122,7 +140,7 @@ def parts(surface: Column, secret: str) -> Column:
 
     title = F.regexp_extract(surface, _TITLED, 0)
     name = F.regexp_replace(surface, _TITLED, "")
-    gender = F.when(title.rlike(rf"(?:^| )(?:{'|'.join(MALE_TITLES)})[. ]"), "m").when(title.rlike(rf"(?:^| )(?:{'|'.join(FEMALE_TITLES)})[. ]"), "f").otherwise("n")
+    gender = F.when(title.rlike(rf"(?:^| )(?:{'|'.join([*MALE_TITLES, *(t.upper() for t in MALE_TITLES)])})[. ]"), "m").when(title.rlike(rf"(?:^| )(?:{'|'.join([*FEMALE_TITLES, *(t.upper() for t in FEMALE_TITLES)])})[. ]"), "f").otherwise("n")
     words = F.arrays_zip(F.regexp_extract_all(name, F.lit(rf"({_GLUE})({_WORD})(?!\.)"), F.lit(1)).alias("glue"), F.regexp_extract_all(name, F.lit(rf"({_GLUE})({_WORD})(?!\.)"), F.lit(2)).alias("word"))
     named = F.transform(words, lambda w, i: part(F.concat(F.when(i == 0, title).otherwise(""), _turned(w["glue"], secret)), w["word"], F.concat(F.lit("name|"), gender, F.lit("|"), F.lower(w["word"]))))
 
@@ -207,7 +225,7 @@ def surrogate(form: Column, secret: str, attempt: Column) -> Column:
     checked = F.filter(F.transform(F.sequence(F.lit(0), F.lit(9)), lambda d: F.concat(lead, d.cast("string"))), lambda x: F.call_function("luhn_check", x))
     card = F.when(F.call_function("luhn_check", body), checked[0]).otherwise(F.concat(lead, F.substring(number, -1, 1)))
     is_hex = body.rlike("^[0-9a-f]+$")
-    token = F.concat(F.regexp_extract(body, "^(akia|gh[pousr]_|sk-)?", 0), _masked(F.regexp_replace(body, "^(akia|gh[pousr]_|sk-)", ""), stream), grown)
+    token = F.concat(F.regexp_extract(body, "^(akia|gh[pousr]_|sk-|xox[abeoprs]-|aiza|eyj)?", 0), _masked(F.regexp_replace(body, "^(akia|gh[pousr]_|sk-|xox[abeoprs]-|aiza|eyj)", ""), stream), grown)
     hash_form = F.concat(_masked(body, stream, is_hex), F.when(last, full).otherwise(F.lit("")))
     gender = F.substring(form, 6, 1)
 
@@ -245,25 +263,32 @@ def render(piece: Column, drawn: Column) -> Column:
 
 def mapping(forms: DataFrame, secret: str) -> DataFrame:
     """form and drawn: a surrogate for each of the distinct forms, none drawn twice and none a form itself."""
-    real = checkpointed(forms.distinct())
+    real = stored(forms.distinct())
     now = real.withColumn("attempt", F.lit(0))
+    before = None
     for attempt in range(LAST + 1):
-        now = checkpointed(now.withColumn("drawn", surrogate(F.col("form"), secret, F.col("attempt"))))
-        owner = now.groupBy("drawn").agg(F.min(F.struct("attempt", "form")).alias("owner"), F.count(F.lit(1)).alias("n"))
-        clash = owner.where("n > 1").join(now, "drawn").where("form != owner.form").select("form")
-        taken = now.join(real.select(F.col("form").alias("drawn")), "drawn", "left_semi").select("form")
-        again = checkpointed(clash.unionAll(taken).distinct())
+        drawn = stored(now.withColumn("drawn", surrogate(F.col("form"), secret, F.col("attempt"))))
+        if before is not None:
+            discard(*before)
+        owner = drawn.groupBy("drawn").agg(F.min(F.struct("attempt", "form")).alias("owner"), F.count(F.lit(1)).alias("n"))
+        clash = owner.where("n > 1").join(drawn, "drawn").where("form != owner.form").select("form")
+        taken = drawn.join(real.select(F.col("form").alias("drawn")), "drawn", "left_semi").select("form")
+        again = stored(clash.unionAll(taken).distinct())
         if again.isEmpty():
-            return now.select("form", "drawn")
+            discard(real, again)
+            return drawn.select("form", "drawn")
         following = F.when(F.col("again") == 1, attempt + 1).otherwise(F.col("attempt"))
-        now = now.join(again.withColumn("again", F.lit(1)), "form", "left").select("form", following.alias("attempt"))
+        now = drawn.join(again.withColumn("again", F.lit(1)), "form", "left").select("form", following.alias("attempt"))
+        before = drawn, again
     raise RuntimeError("two forms have the same hash of 512 bits")
 
 
 def pseudonymise(docs: DataFrame, secret: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The id, the text with every entity replaced, and ``n_entities`` of every row."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    found = checkpointed(rows.withColumn("found", entities(F.col("text"))).where(F.size("found") > 0).withColumn("key", F.xxhash64("id", "text")))
+    # two hashes: one alone would meet another row's among very many
+    key = F.struct(F.xxhash64("id", "text").alias("a"), F.xxhash64("text", "id").alias("b"))
+    found = stored(rows.withColumn("found", entities(F.col("text"))).where(F.size("found") > 0).withColumn("key", key))
     spots = found.select("key", F.posexplode("found").alias("pos", "surface"))
     spots = spots.select("key", "pos", F.posexplode(parts(F.col("surface"), secret)).alias("sub", "part")).select("key", "pos", "sub", "part.*")
     drawn = mapping(spots.select("form"), secret)

@@ -88,3 +88,52 @@ def test_later_rounds_differ(spark, form):
     rounds = spark.range(surrogates.LAST + 1).select(surrogates.surrogate(F.lit(form), "k", F.col("id").cast("int")).alias("drawn")).collect()
     drawn = [r.drawn for r in rounds]
     assert len(set(drawn[surrogates.GROW :])) == len(drawn) - surrogates.GROW and len(drawn[-1]) > 30 and form not in drawn[surrogates.GROW :]
+
+
+def test_names_in_the_genitive_and_in_capitals(spark):
+    texts = ["Mr Smith's dog and Mr. Smith", "MR. SMITH'S CAR, MRS SMITH, DR. O'BRIEN", "Frau Müller’s house", "MS Windows and DR Congo, MISS", "Dr. D'Arcy's cat"]
+    out = [r.text for r in surrogates.pseudonymise(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "k").orderBy("doc_id").collect()]
+    a, b = re.fullmatch(r"Mr (\w+)'s dog and Mr\. (\w+)", out[0]).groups()
+    assert a == b != "Smith"
+    he, she, other = re.fullmatch(r"MR\. ([A-Z]+)'S CAR, MRS ([A-Z]+), DR\. ([A-Z]+)", out[1]).groups()
+    assert he == a.upper() and she != he and she != "SMITH" and "BRIEN" not in other
+    assert re.fullmatch(r"Frau (?!Müller)\w+’s house", out[2]) and out[3] == texts[3] and re.fullmatch(r"Dr\. \w+'s cat", out[4]) and "Arcy" not in out[4]
+
+
+#: Strings that hold something to be hidden, each with what must not be left and how the rest must look.
+FORMS = [
+    ("call 499 555 6503 now", "555 6503", r"call \d{3} \d{3} \d{4} now"), ("call 1-499-555-6503.", "555-6503", r"call \d-\d{3}-\d{3}-\d{4}\."), ("1 499 555 6503", "555 6503", r"\d \d{3} \d{3} \d{4}"),
+    ("SSN 123-45-6789!", "45-6789", r"SSN \d{3}-\d{2}-\d{4}!"), ("amex 3782 822463 10005,", "822463", r"amex \d{4} \d{6} \d{5},"), ("DE89370400440532013000", "370400440532013000", "[A-Z]{2}[0-9]{20}"),
+    ("DE89 3704 0044 0532 0130 00.", "3704 0044", r"[A-Z]{2}\d\d( \d{4}){4} \d\d\."), ("xoxb-123456789012-abcdefABCDEF", "123456789012", r"xoxb-\d{12}-[a-zA-Z]{12}"), ("AIzaSyA1234567890abcdefghijklmnopqrstuv", "1234567890", r"AIza\w{35}"),
+    ("eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0In0.abc123DEF456", "eyJzdWIiOiIxMjM0In0", r"eyJ[\w-]+\.[\w-]+\.[\w-]+"),
+]
+#: Numbers and words that are nothing of the kind.
+PLAIN = ["1 234 567 and 12-34-5678", "in 2024-01-02 at 12:30", "version 1.499.555.6", "page 123 456 of 789", "AB12 is a room", "xox and eyJust", "12345-6789 is a code", "DE89 is short"]
+
+
+def test_forms_are_found_and_others_left(spark):
+    """Against expectations written by hand, without the operator's own pattern."""
+    docs = spark.createDataFrame(list(enumerate([t for t, _, _ in FORMS] + PLAIN)), "doc_id long, text string")
+    out = [r.text for r in surrogates.pseudonymise(docs, "k").orderBy("doc_id").collect()]
+    for (text, secret, shape), now in zip(FORMS, out, strict=False):
+        assert secret not in now and re.fullmatch(shape, now) and now != text, (text, now)
+    assert out[len(FORMS) :] == PLAIN
+
+
+def test_nothing_is_left_in_the_shared_folder(spark):
+    from strataframe.llm import _shared
+
+    def files():
+        path = spark._jvm.org.apache.hadoop.fs.Path(_shared.shared_folder(spark))
+        found = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).listFiles(path, True)
+        out = set()
+        while found.hasNext():
+            out.add(found.next().getPath().toString())
+        return out
+
+    _shared.clear(spark)
+    before = files()
+    docs = spark.createDataFrame([(1, "ann@mail.example.com"), (2, "x@y.zz")], "doc_id long, text string")
+    assert len(surrogates.pseudonymise(docs, "k").collect()) == 2 and files() - before
+    _shared.clear(spark)
+    assert files() <= before
