@@ -78,10 +78,11 @@ def source_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts of events by type and bucket of 720 events, as profiles."""
-    events = _read(spark, sf_dir, "events").select(F.col("event_type").alias("fov"), F.floor(F.col("event_id") % 720 / 6).cast("int").alias("x"))
+    """Counts of events by bucket of 720 events, as profiles: one of each type in each 7,200 events."""
+    name = F.concat_ws(":", "event_type", F.expr("event_id div 7200").cast("string"))
+    events = _read(spark, sf_dir, "events").select(name.alias("fov"), F.floor(F.col("event_id") % 720 / 6).cast("int").alias("x"))
     counts = events.groupBy("fov", "x").agg(F.count(F.lit(1)).cast("double").alias("profile"))
-    grid = counts.select("fov").distinct().crossJoin(spark.range(120).select(F.col("id").cast("int").alias("x")))  # event types times buckets
+    grid = counts.select("fov").distinct().withColumn("x", F.explode(F.sequence(F.lit(0), F.lit(119))))
     full = grid.join(counts, ["fov", "x"], "left").fillna(0.0, ["profile"])
     return signal.as_array(full, ["fov"], "x")
 
@@ -126,17 +127,17 @@ def lane_orientation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trenches made up from the parts: 3 x 3 boxes in 8 x 8 images."""
+    """Trenches made up from the parts: 3 x 3 boxes in 8 x 8 images, a position for each 24 parts."""
     part = _read(spark, sf_dir, "part")
     peak = part.select(
-        F.concat(F.lit("XYPos:"), (F.col("p_partkey") % 12).cast("string")).alias("fov"), (F.col("p_partkey") % 2).cast("int").alias("lane_index"),
+        F.concat(F.lit("XYPos:"), F.expr("p_partkey div 24").cast("string")).alias("fov"), (F.col("p_partkey") % 2).cast("int").alias("lane_index"),
         (F.col("p_size") % 9).alias("peak"), F.lit(4).alias("y_center"), F.when(F.col("p_partkey") % 2 == 0, 1).otherwise(-1).alias("orientation"), (F.col("p_size") % 3).alias("trench_bottom_offset"),
     ).distinct()
     boxes = trenches.inside(trenches.trench_boxes(peak, 3, 3), F.lit(8), F.lit(8)).drop("peak", "y_center", "trench_bottom_offset")
     return trenches.numbered(boxes, [*trenches.position_order(), "lane_index", "x_left", "y_top"])
 
 
-BOXES_SQL = """, pk AS (SELECT DISTINCT 'XYPos:' || CAST(p_partkey % 12 AS VARCHAR) AS fov, CAST(p_partkey % 2 AS INT) AS lane_index, p_size % 9 AS peak,
+BOXES_SQL = """, pk AS (SELECT DISTINCT 'XYPos:' || CAST(p_partkey // 24 AS VARCHAR) AS fov, CAST(p_partkey % 2 AS INT) AS lane_index, p_size % 9 AS peak,
  CASE WHEN p_partkey % 2 = 0 THEN 1 ELSE -1 END AS orientation, p_size % 3 AS o FROM part),
 bx0 AS (SELECT fov, lane_index, orientation, CAST(peak - 1 AS INT) AS x_left, CAST(peak + 2 AS INT) AS x_right, CAST(CASE WHEN orientation > 0 THEN 4 - o - 3 ELSE 4 + o END AS INT) AS y_top FROM pk),
 bx AS (SELECT CAST(row_number() OVER (ORDER BY CAST(fov[7:] AS INT), lane_index, x_left, y_top) - 1 AS INT) AS trench_id, *, y_top + 3 AS y_bottom, orientation <= 0 AS needs_flip FROM bx0
@@ -242,7 +243,7 @@ bs AS (SELECT a.fov, a.lane_index, a.y_center, a.orientation, a.p_index, a.x, su
 tp AS (SELECT *, x - 1 AS x_left, CASE WHEN orientation > 0 THEN y_center - 2 ELSE y_center END AS y_top FROM (SELECT *, lag(v) OVER o AS pv, lead(v) OVER o AS nv FROM bs WINDOW o AS (PARTITION BY fov, lane_index ORDER BY x)) WHERE v > pv AND v > nv)
 SELECT CAST(row_number() OVER (ORDER BY p_index, lane_index, x_left) - 1 AS INT) AS trench_id, fov, lane_index, CAST(x_left AS INT) AS x_left, CAST(x_left + 2 AS INT) AS x_right, CAST(y_top AS INT) AS y_top, CAST(y_top + 2 AS INT) AS y_bottom, orientation, orientation < 0 AS needs_flip
  FROM tp WHERE x_left >= 0 AND x_left + 2 <= 8 AND y_top >= 0 AND y_top + 2 <= 8"""
-_PROFILE = """WITH c AS (SELECT event_type AS fov, CAST((event_id % 720) // 6 AS INT) AS x, CAST(count(*) AS DOUBLE) AS v FROM events GROUP BY 1, 2),
+_PROFILE = """WITH c AS (SELECT event_type || ':' || (event_id // 7200) AS fov, CAST((event_id % 720) // 6 AS INT) AS x, CAST(count(*) AS DOUBLE) AS v FROM events GROUP BY 1, 2),
 g AS (SELECT f.fov, CAST(r.x AS INT) AS x, coalesce(c.v, 0) AS v FROM (SELECT DISTINCT fov FROM c) f CROSS JOIN range(120) r(x) LEFT JOIN c ON c.fov = f.fov AND c.x = r.x)
 """
 _GAUSS = ", k AS (SELECT i, exp(-0.5::DOUBLE * i * i / 9.0::DOUBLE) AS w FROM range(-12, 13) r(i)), kw AS (SELECT i, w / (SELECT sum(w) FROM k) AS w FROM k)"
@@ -297,7 +298,7 @@ PLANS = {
     "trench_crops": (trench_crops, FRAMES_SQL + _SHIFTS + _PLAIN + _WARP + BOXES_SQL + "SELECT trench_id, t, CASE WHEN needs_flip THEN y_bottom - 1 - y ELSE y - y_top END AS y, x - x_left AS x, round(v, 6) AS v FROM wp JOIN bx USING (fov) WHERE x >= x_left AND x < x_right AND y >= y_top AND y < y_bottom"),
     "chunked_crops": (chunked_crops, FRAMES_SQL + _SHIFTS + _PLAIN + _WARP + BOXES_SQL + "SELECT trench_id, t, CASE WHEN needs_flip THEN y_bottom - 1 - y ELSE y - y_top END AS y, x - x_left AS x, round(v, 6) AS v FROM wp JOIN bx USING (fov) WHERE x >= x_left AND x < x_right AND y >= y_top AND y < y_bottom AND t >= 6 AND t < 43"),
     "trench_sources": (trench_sources, FRAMES_SQL + BOXES_SQL + "SELECT trench_id, p_index, t, t * 30000.0::DOUBLE AS t_ms FROM bx JOIN fr USING (fov)"),
-    "stored_size": (stored_size, _BOXES + ", n AS (SELECT CAST(sum(9) * 750 * 2 * 2 AS DOUBLE) AS n_bytes FROM bx) SELECT n_bytes, CASE WHEN n_bytes < 1024 THEN format('{:.1f} B', n_bytes) WHEN n_bytes < 1048576 THEN format('{:.1f} KB', n_bytes / 1024) ELSE format('{:.1f} MB', n_bytes / 1048576) END AS size FROM n"),
+    "stored_size": (stored_size, _BOXES + ", n AS (SELECT CAST(sum(9) * 750 * 2 * 2 AS DOUBLE) AS n_bytes FROM bx) SELECT n_bytes, CASE WHEN n_bytes < 1024 THEN format('{:.1f} B', n_bytes) WHEN n_bytes < 1048576 THEN format('{:.1f} KB', n_bytes / 1024) WHEN n_bytes < 1073741824 THEN format('{:.1f} MB', n_bytes / 1048576) ELSE format('{:.1f} GB', n_bytes / 1073741824) END AS size FROM n"),
     "fingerprint": (fingerprint, FRAMES_SQL + _SHIFTS + BOXES_SQL + """, e AS (SELECT fov, 0 AS kind, trench_id AS spot, '{"trench_id":' || trench_id || ',"fov":"' || fov || '","lane_index":' || lane_index || ',"x_left":' || x_left || ',"x_right":' || x_right || ',"y_top":' || y_top || ',"y_bottom":' || y_bottom || ',"orientation":' || orientation || ',"needs_flip":' || needs_flip || '}' AS line FROM bx
  UNION ALL SELECT fov, 1, t, '{"t":' || t || ',"tx":' || CAST(round(tx * 4) AS INT) || ',"ty":' || CAST(round(ty * 4) AS INT) || '}' FROM sh),
 h AS (SELECT sha256(string_agg(line, chr(10) ORDER BY kind, spot)) AS hash FROM e GROUP BY fov) SELECT sha256(string_agg(hash, chr(10) ORDER BY hash) || chr(10) || '{"codec":"zstd","level":3}') AS fingerprint FROM h"""),
