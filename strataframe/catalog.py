@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import frames_plans, table_plans
+from .plans import frames_plans, stage_plans, table_plans
 
-PLANS = frames_plans.PLANS | table_plans.PLANS
+PLANS = frames_plans.PLANS | table_plans.PLANS | stage_plans.PLANS
 Query = Callable[[SparkSession, str], DataFrame]
 
 

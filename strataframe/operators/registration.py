@@ -20,6 +20,7 @@ from .means import block_means, reference
 from .selection import select_roi
 
 BACKENDS = ("least_squares", "phase")
+_FAINT = 1e-4
 
 
 def shift(image: np.ndarray, tx: float, ty: float) -> np.ndarray:
@@ -33,13 +34,30 @@ def shift(image: np.ndarray, tx: float, ty: float) -> np.ndarray:
     return rows[:, x0] * (1 - fx) + rows[:, x1] * fx
 
 
-def phase_translation(ref: np.ndarray, mov: np.ndarray, rounds: int = 5) -> tuple[float, float]:
-    """Peak of the phase correlation with a parabola through its neighbours, repeated on what is left."""
+def _level(image: np.ndarray) -> np.ndarray:
+    """The image without the plane that fits it best."""
+    out = image - image.mean()
+    for axis, n in enumerate(image.shape):
+        place = np.arange(n) - (n - 1) / 2
+        if n > 1:
+            slope = (out.mean(axis=1 - axis) * place).sum() / (place**2).sum()
+            out = out - slope * (place[:, None] if axis == 0 else place)
+    return out
+
+
+def phase_translation(ref: np.ndarray, mov: np.ndarray, rounds: int = 20) -> tuple[float, float]:
+    """Peak of the phase correlation with a parabola through its neighbours, repeated on what is left.
+
+    Frequencies that hold next to nothing have the phase of noise, so those under ``_FAINT`` of the strongest count in proportion to what they hold.
+    So that a slope of the light isn't the strongest, the plane that fits an image best is taken off.
+    """
     tx = ty = 0.0
+    still = np.conj(np.fft.fft2(_level(ref)))
     for _ in range(rounds):
         now = shift(mov, tx, ty)
-        cross = np.fft.fft2(now - now.mean()) * np.conj(np.fft.fft2(ref - ref.mean()))
-        corr = np.fft.ifft2(cross / np.maximum(np.abs(cross), 1e-12)).real
+        cross = np.fft.fft2(_level(now)) * still
+        size = np.abs(cross)
+        corr = np.fft.ifft2(cross / np.maximum(size, max(size.max() * _FAINT, 1e-300))).real
         h, w = corr.shape
         py, px = np.unravel_index(corr.argmax(), corr.shape)
 

@@ -6,6 +6,8 @@ All paths go through Spark's file systems, so a store may lie anywhere that Spar
 from __future__ import annotations
 
 import json
+import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -16,6 +18,14 @@ from . import chunks
 SECTIONS = ("registration", "means", "lanes", "trenches")
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new path for a store in the folder of ``spark.checkpoint.dir``; where none is set, in a local session as in tests, in a temporary one."""
+    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not folder and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{(folder or tempfile.mkdtemp(prefix='spark-')).rstrip('/')}/store-{uuid.uuid4().hex}"
+
+
 class Store:
     """A checkpoint store with a section a stage: a table, its parameters, and a mark that it is complete."""
 

@@ -297,3 +297,32 @@ def test_slots_in_blocks(spark):
     table = spark.createDataFrame([(i,) for i in (5, 900, 3, 70000, 12, 131073)], "trench_id int")
     for block in (1, 10, 1 << 16):
         assert [(r.trench_id, r.slot) for r in trenches.slots(table, block).orderBy("slot").collect()] == [(3, 0), (5, 1), (12, 2), (900, 3), (70000, 4), (131073, 5)]
+
+
+@pytest.mark.parametrize("noise", [0.0, 0.01])
+def test_phases_of_smooth_spots(noise):
+    """Wide spots leave most frequencies to noise, whose phases must not count."""
+    rng = np.random.default_rng(1)
+    y, x = np.mgrid[:32, :32].astype(float)
+
+    def image(dy, dx):
+        return sum(v * np.exp(-((y - cy - dy) ** 2 + (x - cx - dx) ** 2) / 18) for cy, cx, v in ((9, 13, 60), (15, 18, 80), (21, 21, 100))) + noise * rng.standard_normal((32, 32))
+
+    for dy, dx in ((-1, 0), (0.5, -0.5), (-0.5, 2), (1, 1)):
+        assert np.allclose(registration.phase_translation(image(0, 0), image(dy, dx)), (dx, dy), atol=0.06)
+
+
+@pytest.mark.parametrize("slope", [0.0, 3.0])
+def test_phases_on_a_slope_of_light(slope):
+    texture = np.random.default_rng(3).standard_normal((160, 160))
+    for axis in (0, 1):
+        texture = (np.roll(texture, 1, axis) + 2 * texture + np.roll(texture, -1, axis)) / 4
+    light = slope * np.mgrid[:100, :100].sum(0)
+    for dy, dx in ((3, -5), (10, 20), (25, -3)):
+        found = registration.phase_translation(10 * texture[30:130, 30:130] + light, 10 * texture[30 - dy : 130 - dy, 30 - dx : 130 - dx] + light)
+        assert np.allclose(found, (dx, dy), atol=0.15)
+
+
+def test_phases_of_flat_and_tiny_images():
+    for shape in ((1, 1), (1, 5), (4, 4)):
+        assert registration.phase_translation(np.ones(shape), np.ones(shape)) == (0.0, 0.0)
