@@ -380,8 +380,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     return last if not parts else docs.sparkSession.read.schema(schema).parquet(*parts).unionAll(last)
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", block: int = BLOCK) -> DataFrame:
-    """The rows of ``docs`` in which no item is found, without a shuffle: each block of items filters the rows that the one before left."""
+def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", block: int = BLOCK, least_bytes: int = 1) -> DataFrame:
+    """The rows of ``docs`` in which no item is found, without a shuffle: each block of items filters the rows that the one before left.
+
+    Items of under ``least_bytes`` bytes (without white space at their ends) delete nothing: a single word or number stands in any text. ``matches`` reports them all.
+    """
+    benchmark = benchmark.where(F.octet_length(F.regexp_replace(item_text, r"^\s+|\s+$", "")) >= least_bytes)
 
     def without(items: list[tuple[int | None, str]]):
         def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -191,3 +191,12 @@ def test_common_pieces_against_alignment_of_all(monkeypatch):
             whole = brute.folded(text).encode()
             for p in range(len(index.at)):
                 assert ((r, p) in found) == (brute.distance_in(index.chars[p, : index.length[p]].tobytes(), whole) <= index.edits[p]), (r, p)
+
+
+def test_short_items_report_but_do_not_delete(spark):
+    docs = spark.createDataFrame([(1, "the answer is 42 as ever"), (2, "nothing of the kind"), (3, "a whole sentence of some words stands here")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, " 42 \n"), (2, "whole sentence of some words"), (3, None), (4, "")], "item_id long, text string")
+    assert sorted((r.doc_id, r.item_id) for r in decontaminate.matches(docs, items).collect()) == [(1, 1), (3, 2)]
+    assert sorted(r.doc_id for r in decontaminate.clean(docs, items).collect()) == [2]
+    assert sorted(r.doc_id for r in decontaminate.clean(docs, items, least_bytes=12).collect()) == [1, 2]
+    assert decontaminate.clean(docs, items, least_bytes=100).count() == 3
