@@ -19,8 +19,9 @@ from strataframe.llm import decontaminate, jaccard_join, line_dedup, quality, se
 from strataframe.llm._shared import stored
 from strataframe.llm.queries import quality_weights
 
-#: The least score of a document that stays.
+#: The least score of a document that stays, and the least bytes of a benchmark item that deletes documents.
 LEAST_SCORE = 0.3
+LEAST_ITEM = 12
 
 
 def _quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,8 +41,8 @@ def _near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no passage of an item; null and empty texts hold none, repeated rows stay or go alike."""
-    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    """Documents that hold no passage of an item (single words and numbers are none); null and empty texts hold none, repeated rows stay or go alike."""
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), least_bytes=LEAST_ITEM)
 
 
 def _tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
