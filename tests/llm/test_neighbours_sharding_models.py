@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,7 +16,8 @@ def test_neighbours_equal_brute_force(spark):
     rows = [(int(i), v.tolist()) for i, v in enumerate(x)]
     rows += [(1000, None), (1001, [0.0] * 16), (1002, [None] + [1.0] * 15), (1003, [float("nan")] * 16), (1004, [float("inf")] + [1.0] * 15), (None, [1.0] * 16), (1200, [1.0, 2.0]), (1300, [2.0, 1.0]), rows[100], rows[51]]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("rank", F.lit("clash"))
-    found = neighbours.nearest(frame.repartition(5), F.col("vec_id") % 100 == 0, block=3).collect()
+    is_query = F.col("vec_id") % 100 == 0
+    found = neighbours.nearest(frame.repartition(5), is_query, memory=9_000).collect()  # four blocks
     got = {}
     for r in sorted(found, key=lambda r: (r.query_id, r.rank)):
         got.setdefault(r.query_id, []).append((r.vec_id, r.score))
@@ -26,7 +28,40 @@ def test_neighbours_equal_brute_force(spark):
         assert [i for i, _ in got[q]] == [i for _, i in order]
         assert np.allclose([s for _, s in got[q]], [v for v, _ in order], rtol=1e-12)
     assert got[1200] == [(1300, np.sqrt(2))] and sorted(got) == [0, 100, 200, 300, 400, 500, 600, 1200, 1300]
-    assert neighbours.nearest(frame.limit(0), F.col("vec_id") % 100 == 0).count() == 0
+    for few in (1, 7, 10_000):  # bounds from all rows, from some, and none
+        assert sorted(neighbours.nearest(frame.repartition(3), is_query, few=few).collect()) == sorted(found)
+    assert neighbours.nearest(frame.limit(0), is_query).count() == 0
+
+
+def test_neighbours_of_a_vector_that_many_share(spark):
+    """Most rows, and most queries, are one vector; some ids come twice."""
+    x = np.ones((3000, 8))
+    x[::3] = np.random.default_rng(8).normal(size=(1000, 8))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(i, [1.0] * 8) for i in range(40)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = {}
+    for r in neighbours.nearest(frame, F.col("vec_id") % 100 == 0, k=4).where("score = 0").orderBy("rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    for q in range(100, 3000, 100):
+        same = [i for i in range(6) if i != q] if q % 3 else []
+        assert got.get(q, []) == same[:4]
+
+
+def test_what_tasks_return_is_bounded_by_few_rows(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(4000, 8))
+    ids = np.arange(4000)
+    batches = [pa.record_batch({"id": pa.array(ids[at : at + 100]), "vector": pa.array(x[at : at + 100].tolist())}) for at in range(0, 4000, 100)]
+    q = x[:50]
+    d = np.sqrt(((q[:, None] - x) ** 2).sum(2))
+    d[np.arange(50), np.arange(50)] = np.inf
+    within = np.sort(d[:, :: 8], axis=1)[:, 9]
+    for bound, most in ((np.full(50, np.inf), 50 * 40 * 10), (within * (1 + 1e-12), 50 * 8 * 10 * 2)):
+        rows = [b for batch in batches for b in neighbours._search([(ids[:50], q, bound)], 10)(iter([batch]))]
+        assert sum(b.num_rows for b in rows) <= most
+        found = sorted((a, s, v) for b in rows for a, v, s in zip(*(c.to_pylist() for c in b.columns)))
+        for a in range(50):
+            assert [v for o, _, v in found if o == a][:10] == np.argsort(d[a], kind="stable")[:10].tolist()
 
 
 @pytest.mark.parametrize("size", [1e-3, 1.0, 1e3, 1e5, 1e7, 1e12])
