@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from . import kernels
 from .geometry import cumulated
 from .means import block_means, reference
-from .selection import select_roi
+from .selection import first_plane, select_roi
 
 BACKENDS = ("least_squares", "phase")
 _FAINT = 1e-4
@@ -270,7 +270,8 @@ def _translations(blocked: DataFrame, backend: str, moves: bool) -> DataFrame:
 
 
 def one_channel(frames: DataFrame, channel: str | None = None) -> DataFrame:
-    """The frames of a channel; without a name, of the first channel of each position in order of names."""
+    """The frames of a channel in the first focus plane; without a name, of the first channel of each position in order of names."""
+    frames = first_plane(frames)
     if channel is not None:
         return frames.where(F.col("c") == channel)
     return frames.join(frames.groupBy("fov").agg(F.min("c").alias("c")), ["fov", "c"], "left_semi")

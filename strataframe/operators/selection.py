@@ -78,6 +78,11 @@ def ordered_distinct(rows: DataFrame, value: str, position: str) -> DataFrame:
     return rows.groupBy(value).agg(F.min(position).alias(position))
 
 
+def first_plane(frames: DataFrame) -> DataFrame:
+    """The frames of the first focus plane; all of them where the table has no planes, and those whose plane is null."""
+    return frames.where("z = 0 or z is null") if "z" in frames.columns else frames
+
+
 def resolve(label: str | int, names: list[str], what: str = "channel") -> str:
     """A name, or the name at an index (negative ones count from the end)."""
     if isinstance(label, int):

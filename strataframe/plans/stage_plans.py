@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.names import canonical_json
 from ..operators import geometry, means, registration, selection, trenches
-from ..sources import chunks, experiment, frames, store
+from ..sources import analysis, chunks, experiment, frames, store
 from .frames_plans import FRAMES_SQL, _PLAIN, _SHIFTS, _WARP, _pixels, _shifts, _stack
 from .table_plans import BOXES_SQL, _boxes
 
@@ -110,6 +110,32 @@ def extracted_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("trench_id", "t", "t_ms", "missing", "y", "x", F.round("v", 6).alias("v"))
 
 
+def analysis_previews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From an analysis whose stages are stored: the last position's fourth frame, the first and the last trench; and what another setting of lanes makes undone."""
+    stack = _stack(spark, sf_dir)
+    whole, kept = experiment.Experiment("", experiment.with_axes(stack)), store.Store(spark, store.scratch(spark))
+    run, boxes = analysis.Analysis(whole, kept), _own_boxes(stack, spark, sf_dir)
+    nothing = spark.createDataFrame([], ", ".join(f"{c} {kind}" for c, kind in (analysis.SCHEMAS["means"] | analysis.SCHEMAS["lanes"]).items()))
+    for stage, table in {"registration": _shifts(stack), "means": nothing, "lanes": nothing, "trenches": boxes}.items():
+        kept.save(stage, table, run.params(stage))
+    ends = boxes.agg(F.min("trench_id").alias("first"), F.max("trench_id").alias("last")).first()
+    found = run.warp_frame(-1, 3).select(F.lit("frame").alias("which"), "t", "w", "pixels")
+    for which, trench in ends.asDict().items():
+        found = found.unionByName(run.trench_stack(trench).select(F.lit(which).alias("which"), "t", "w", "pixels"))
+    other = analysis.Analysis(whole, kept, lanes={"sigma": 2.0})
+    undone = ",".join(stage for stage in analysis.STAGES if other.state(stage) != "ready")
+    return frames.pixels(found).select("which", "t", "y", "x", F.round("v", 6).alias("v"), F.lit(undone).alias("undone"))
+
+
+def acquisition_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kinds of events as the channels of an acquisition document: a typed column a scalar, objects left out, names of the experiment."""
+    kinds = spark.read.parquet(f"{sf_dir}/events.parquet").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.max("user_id").alias("last"))
+    channels = [{"name": r.event_type, "frameCount": r.n, "last user": r.last, "half": r.n / 2, "isMany": r.n > 10, "optics": {"n": r.n}} for r in kinds.orderBy("event_type").collect()]
+    channels[0]["mode"] = "first"
+    table = experiment.acquisition_table(spark, {"structured": {"metadata": {"channels": channels}}}, [c["name"].upper() for c in channels])
+    return table.drop("raw_json")
+
+
 def cut_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bytes that the crops of each position take, from the shape that all trenches have."""
     boxes = _boxes(spark, sf_dir)
@@ -135,5 +161,11 @@ PLANS = {
  || string_agg(name, ',' ORDER BY p_index) || '],"raw_timepoint_count":' || (max(last) + 1) || ',"roi":{"x":null,"y":{"start":1,"step":null,"stop":null}},"time_slice":{"start":1,"step":null,"stop":-2}}' AS subset FROM ps"""),
     "stored_stages": (stored_stages, FRAMES_SQL + _SHIFTS + BOXES_SQL + """SELECT trench_id, t, tx, ty, 'mean' AS mode, '{"lane_params":{"1":{"sigma":0.5}},"trench_width":3}' AS params, 'registration;True;False' AS state FROM bx JOIN sh USING (fov)"""),
     "extracted_store": (extracted_store, FRAMES_SQL + _SHIFTS + _PLAIN + _WARP + BOXES_SQL + f"SELECT trench_id, t, t * 30000.0::DOUBLE AS t_ms, 0 AS missing, {_CUT} AND t >= 6 AND t < 43"),
+    "analysis_previews": (analysis_previews, FRAMES_SQL + _SHIFTS + _PLAIN + _WARP + BOXES_SQL + f""", own AS (SELECT * FROM bx WHERE fov IN (SELECT fov FROM fr)),
+ends AS (SELECT 'first' AS which, min(trench_id) AS trench_id FROM own UNION ALL SELECT 'last', max(trench_id) FROM own)
+SELECT which, t, {_CUT.replace("FROM wp JOIN bx USING (fov)", ", 'lanes,trenches' AS undone FROM wp JOIN own USING (fov) JOIN ends USING (trench_id)")}
+UNION ALL SELECT 'frame', t, y, x, round(v, 6), 'lanes,trenches' FROM wp WHERE t = 3 AND fov = (SELECT 'XYPos:' || max(p_index) FROM fr)"""),
+    "acquisition_columns": (acquisition_columns, """SELECT CAST(row_number() OVER (ORDER BY event_type) - 1 AS INT) AS channel_index, upper(event_type) AS c, count(*) AS frame_count, count(*) / 2 AS half, count(*) > 10 AS is_many,
+ max(user_id) AS last_user, CASE WHEN row_number() OVER (ORDER BY event_type) = 1 THEN 'first' ELSE '' END AS mode FROM events GROUP BY event_type"""),
     "cut_shapes": (cut_shapes, "WITH " + BOXES_SQL.lstrip(", ") + "SELECT fov, count(*) * 18 AS n_bytes FROM bx GROUP BY fov"),
 }

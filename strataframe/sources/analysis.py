@@ -172,7 +172,27 @@ class Analysis:
         boxes = trenches.discard(boxes, discard) if discard else boxes
         summary = store_summary(self.experiment, p)
         settings = {"stages": {stage: _digest(self.params(stage)) for stage in STAGES}}
-        return stores.extract(self.experiment.frames, self.transforms(), boxes, path, p["rotation"], settings=settings, groups=groups, attributes=summary, **options)
+        return stores.extract(selection.first_plane(self.experiment.frames), self.transforms(), boxes, path, p["rotation"], settings=settings, groups=groups, attributes=summary, **options)
+
+    def _frames_of(self, fov: str, channel: str | int | None) -> DataFrame:
+        """The frames of one position and channel (the registered one if none is named), by filters that reach the scan."""
+        channel = self.params("registration")["channel"] if channel is None else selection.resolve(channel, self.experiment.channel_names)
+        return registration.one_channel(self.experiment.select_fovs([fov]).frames, channel)
+
+    def warp_frame(self, fov: str | int = 0, time: int = 0, channel: str | int | None = None) -> DataFrame:
+        """One frame without drift and rotated, its values not cut to whole numbers. Numbers are places among what the selections leave."""
+        moved, name, t = self.load("registration"), selection.resolve(fov, self.experiment.fov_names, "position"), self.experiment.times_left[time]
+        own = moved.where((F.col("fov") == name) & (F.col("t") == t))
+        return geometry.warp(self._frames_of(name, channel).where(F.col("t") == t), own, self.params("registration")["rotation"])
+
+    def trench_stack(self, trench_id: int, channel: str | int | None = None) -> DataFrame:
+        """One trench at all times, its values not cut to whole numbers, without writing; ValueError if there is no such trench."""
+        moved, box = self.load("registration"), self.load("trenches").where(F.col("trench_id") == trench_id)
+        place = box.select("fov").first()
+        if place is None:
+            raise ValueError(f"no trench {trench_id}")
+        own = moved.where(F.col("fov") == place.fov)
+        return trenches.crops(self._frames_of(place.fov, channel), own, box, self.params("registration")["rotation"], integers=False)
 
     def __repr__(self) -> str:
         return f"Analysis of {self.experiment.name!r} ({', '.join(f'{stage} {self.state(stage)}' for stage in STAGES)})"

@@ -133,10 +133,12 @@ class Experiment:
 
     @property
     def timepoints(self) -> int:
-        if self.times is None:
-            return self.raw_timepoints
-        start, end = _resolved(self.times, self.raw_timepoints)
-        return max(0, end - start)
+        return len(self.times_left)
+
+    @property
+    def times_left(self) -> range:
+        """The source's times that the selection leaves."""
+        return range(*_resolved(self.times or (None, None), self.raw_timepoints))
 
     @cached_property
     def focus_planes(self) -> int | None:

@@ -129,3 +129,39 @@ def test_older_parameters(spark, source, tmp_path):
 def test_discarded_trenches_leave_gaps(spark):
     table = spark.range(4).select(F.col("id").cast("int").alias("trench_id"))
     assert [(r.trench_id, r.slot) for r in trenches.slots(trenches.discard(table, [1])).orderBy("slot").collect()] == [(0, 0), (2, 1), (3, 2)]
+
+
+def test_previews_of_one_frame_and_one_trench(spark, source, tmp_path):
+    run = made(spark, source, f"{tmp_path}/s")
+    with pytest.raises(RuntimeError, match="missing"):
+        run.warp_frame()
+    run.trench_table()
+    frame = run.warp_frame(-1, 3).collect()
+    assert [(r.fov, r.t, r.c) for r in frame] == [("XYPos:1", 3, "PC")]
+    still, moved = np.array(frame[0].pixels).reshape(60, 80), scene(3, 1).astype(float)
+    assert np.abs(still[:, :70] - moved[:, 3:73]).max() < 70  # found to within a tenth of a pixel
+    stack = run.trench_stack(4, "mC").orderBy("t").collect()
+    box = run.load("trenches").where("trench_id = 4").first()
+    assert [(r.fov, r.t, r.c, r.h, r.w) for r in stack] == [("XYPos:1", t, "mC", 20, 9) for t in range(4)]
+    cut = np.array(run.warp_frame("XYPos:1", 2, "mC").first().pixels).reshape(60, 80)[box.y_top : box.y_bottom, box.x_left : box.x_right]
+    assert np.allclose(np.array(stack[2].pixels).reshape(20, 9), cut[::-1] if box.needs_flip else cut)
+    with pytest.raises(ValueError, match="trench 99"):
+        run.trench_stack(99)
+    with pytest.raises(ValueError, match="position"):
+        run.warp_frame("no")
+    with pytest.raises(IndexError):
+        run.warp_frame(0, 4)
+
+
+def test_stages_take_the_first_focus_plane(spark, source, tmp_path):
+    flat = experiment.load(spark, f"{source}/table").raw
+    noise = F.transform("pixels", lambda v: (v * 7 + 3).cast("int") % 500).cast(flat.schema["pixels"].dataType)
+    deep = experiment.Experiment("deep", experiment.with_axes(flat.withColumn("z", F.lit(0)).unionByName(flat.withColumns({"z": F.lit(1), "pixels": noise}))))
+    assert deep.has_z and deep.focus_planes == 2
+    crops = {}
+    for name, changes in {"flat": {}, "deep": {"experiment": deep}}.items():
+        run = made(spark, source, f"{tmp_path}/{name}", **changes)
+        run.extract(f"{tmp_path}/{name}/crops", time_chunk=2)
+        crops[name] = sorted((r.trench_id, r.t, r.c, list(r.pixels)) for r in chunks.read(spark, f"{tmp_path}/{name}/crops").collect())
+        assert run.transforms().count() == 8 and run.trench_stack(0).count() == 4
+    assert crops["deep"] == crops["flat"] and len(crops["flat"]) == 6 * 4 * 2
