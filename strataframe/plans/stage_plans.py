@@ -118,7 +118,7 @@ def analysis_previews(spark: SparkSession, sf_dir: str) -> DataFrame:
     nothing = spark.createDataFrame([], ", ".join(f"{c} {kind}" for c, kind in (analysis.SCHEMAS["means"] | analysis.SCHEMAS["lanes"]).items()))
     for stage, table in {"registration": _shifts(stack), "means": nothing, "lanes": nothing, "trenches": boxes}.items():
         kept.save(stage, table, run.params(stage))
-    ends = boxes.agg(F.min("trench_id").alias("first"), F.max("trench_id").alias("last")).first()
+    ends = kept.load("trenches").agg(F.min("trench_id").alias("first"), F.max("trench_id").alias("last")).first()
     found = run.warp_frame(-1, 3).select(F.lit("frame").alias("which"), "t", "w", "pixels")
     for which, trench in ends.asDict().items():
         found = found.unionByName(run.trench_stack(trench).select(F.lit(which).alias("which"), "t", "w", "pixels"))

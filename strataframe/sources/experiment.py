@@ -168,6 +168,13 @@ class Experiment:
             known = self.raw.agg(F.max("pixel_um")).first()[0]
         return 1.0 if known is None else float(known)
 
+    @cached_property
+    def plane_step_um(self) -> float:
+        """The distance of the first two focus planes by a column ``z_um``, 1 without it, 0 if there are no two."""
+        if not {"z", "z_um"} <= set(self.raw.columns):
+            return 1.0
+        return float(selection.calibration(self.raw, "z", "z_um", 0.0).first().step)
+
     @property
     def acquisition_metadata(self) -> dict[str, Any]:
         """A copy of the acquisition document."""
@@ -220,11 +227,12 @@ def load(spark: SparkSession, path: str, document: str | None = None) -> Experim
 
 
 def acquisition_document(
-    experiment: Experiment, structured: dict[str, Any], custom: dict[str, Any] | None = None, unstructured: dict[str, Any] | None = None, dtype: str = "uint16",
+    experiment: Experiment, structured: dict[str, Any], custom: dict[str, Any] | None = None, unstructured: dict[str, Any] | None = None, dtype: str = "uint16", legacy: bool = False,
 ) -> dict[str, Any]:
     """The acquisition document of an experiment: a summary of the file, its structured metadata, and its custom blocks.
 
     structured: metadata (with channels), experiment, attributes and text_info, as far as known.
+    legacy: whether the frames come from a file of an old layout, which frame tables don't tell.
     """
     first = experiment.raw.select("h", "w").first()
     axes = {"T": experiment.raw_timepoints, "P": len(experiment.raw_fov_names)} | ({"Z": experiment.focus_planes} if experiment.has_z else {})
@@ -238,6 +246,8 @@ def acquisition_document(
             "sizes": axes,
             "shape": list(axes.values()),
             "dtype": dtype,
+            "is_legacy": legacy,
+            "voxel_size_um": {"x": experiment.pixel_size_um, "y": experiment.pixel_size_um, "z": experiment.plane_step_um},
             "pixel_size_um": experiment.pixel_size_um,
             "time_interval_ms": experiment.time_interval_ms,
         },

@@ -66,7 +66,10 @@ def test_missing_axes(spark, tmp_path):
     empty = ex.Experiment("none", ex.with_axes(bare.limit(0)))
     assert empty.fov_names == [] and empty.timepoints == 1 and empty.frames.count() == 0
     planes = ex.Experiment("z", ex.with_axes(bare.withColumn("z", F.lit(4))))
-    assert planes.has_z and planes.focus_planes == 5 and "Z=5" in repr(planes)
+    assert planes.has_z and planes.focus_planes == 5 and "Z=5" in repr(planes) and planes.plane_step_um == 1
+    apart = bare.withColumn("z", F.explode(F.array(*map(F.lit, (0, 1, 2))))).withColumn("z_um", F.col("z") * 0.4 + 7)
+    stack = ex.Experiment("z", ex.with_axes(apart))
+    assert abs(stack.plane_step_um - 0.4) < 1e-9 and stack.select_times(0, 1).times_left == range(0, 1)
 
 
 def test_acquisition_document_and_table(spark, folder, tmp_path):
@@ -76,6 +79,7 @@ def test_acquisition_document_and_table(spark, folder, tmp_path):
     document = ex.acquisition_document(e, {"metadata": {"channels": channels}}, custom, {"z": 1, "a": 2})
     assert document["file_summary"]["sizes"] == {"T": 2, "P": 2, "C": 2, "Y": 3, "X": 4} and document["file_summary"]["shape"] == [2, 2, 2, 3, 4]
     assert document["file_summary"]["pixel_size_um"] == 0.108 and document["file_summary"]["source_size_bytes"] > 0
+    assert document["file_summary"]["voxel_size_um"] == {"x": 0.108, "y": 0.108, "z": 1.0} and document["file_summary"]["is_legacy"] is False
     assert document["custom"]["custom_data_keys"] == ["AppInfo_V1_0", "StreamDataV1_0"] and document["custom"]["selected"] == {"AppInfo_V1_0": {"v": 3}}
     assert document["custom"]["unstructured_metadata_keys"] == ["a", "z"] and document["structured"]["experiment"] == []
     rows = ex.acquisition_table(spark, document, ["first", "second"]).orderBy("channel_index").collect()
