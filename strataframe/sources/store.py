@@ -26,6 +26,9 @@ def scratch(spark: SparkSession) -> str:
     return f"{(folder or tempfile.mkdtemp(prefix='spark-')).rstrip('/')}/store-{uuid.uuid4().hex}"
 
 
+_MANIFEST = "params string, complete boolean"
+
+
 class Store:
     """A checkpoint store with a section a stage: a table, its parameters, and a mark that it is complete."""
 
@@ -47,7 +50,7 @@ class Store:
 
     def _write_params(self, section: str, params: dict, complete: bool) -> None:
         row = [(canonical_json(params), complete)]
-        self.spark.createDataFrame(row, "params string, complete boolean").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/{section}/manifest")
+        self.spark.createDataFrame(row, _MANIFEST).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/{section}/manifest")
 
     def save(self, section: str, table: DataFrame, params: dict) -> None:
         """Mark incomplete, replace the table, mark complete: a crash between leaves an incomplete section."""
@@ -58,11 +61,13 @@ class Store:
         self._write_params(section, params, True)
 
     def has(self, section: str) -> bool:
-        return self._exists(f"{self.path}/{section}/manifest") and self._manifest(section)["complete"]
+        return self._manifest(section)["complete"]
 
     def _manifest(self, section: str) -> dict:
-        r = self.spark.read.parquet(f"{self.path}/{section}/manifest").first()
-        return {"params": r["params"], "complete": r["complete"]}
+        """Parameters and mark of a section; one that is missing, or whose manifest was lost while it was written, is incomplete."""
+        path = f"{self.path}/{section}/manifest"
+        r = self.spark.read.schema(_MANIFEST).parquet(path).first() if self._exists(path) else None
+        return {"params": r["params"], "complete": r["complete"]} if r else {"params": "{}", "complete": False}
 
     def load(self, section: str) -> DataFrame:
         if not self.has(section):
@@ -71,13 +76,14 @@ class Store:
 
     def matches(self, section: str, params: dict) -> bool:
         """Whether a complete section was made with equal parameters."""
-        return self.has(section) and self._manifest(section)["params"] == canonical_json(params)
+        return self._manifest(section) == {"params": canonical_json(params), "complete": True}
 
     def params(self, section: str) -> dict:
         """The parameters that a complete section was made with."""
-        if not self.has(section):
+        known = self._manifest(section)
+        if not known["complete"]:
             raise RuntimeError(f"section {section!r} is not complete")
-        return json.loads(self._manifest(section)["params"])
+        return json.loads(known["params"])
 
     def attributes(self) -> dict:
         """What the store says of its source; empty before it is said."""
