@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from . import _text
-from ._shared import unused
+from ._shared import stored, unused
 
 BITS = 18
 SCALE = 30.0
@@ -105,21 +105,34 @@ def ftrl(examples: list[tuple[np.ndarray, np.ndarray, int]], epochs: int, alpha:
     return weight(np.arange(len(z)))
 
 
-def train(labelled: DataFrame, text_col: str = "text", label_col: str = "quality", key: Column | None = None, max_rows: int = TRAIN_ROWS, max_bytes: int = TRAIN_BYTES, parts: int = 4) -> np.ndarray | None:
+def train(labelled: DataFrame, text_col: str = "text", label_col: str = "quality", key: Column | None = None, max_rows: int = TRAIN_ROWS, max_bytes: int = TRAIN_BYTES, parts: int = 4, labels: DataFrame | None = None, id_col: str = "doc_id") -> np.ndarray | None:
     """Weights fitted on at most ``max_rows`` labelled rows, those whose hashed key is smallest; rows of one key count once.
 
+    labels: a table of one label an id, for rows that have none of their own; the id is the key then.
+    Ids meet their labels without texts, and only the rows to fit send theirs.
+
     Up to ``parts`` models are fitted beside each other on a share of the rows
     each and then averaged, so no task has more than ``max_rows / parts`` rows, give
     or take; the driver gets at most ``parts`` times the number of weights.
     """
-    rows = labelled.select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label"), F.xxhash64(key if key is not None else F.col(text_col)).alias("key")).where("label is not null")
-    kept = rows.groupBy("key").agg(F.min(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")).alias("size")).orderBy("key").limit(max_rows)
+    by = F.xxhash64(id_col if labels is not None else key if key is not None else F.col(text_col)).alias("key")
+    size = F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("size")
+    label = F.col(label_col).cast("int").alias("label")
+    if labels is None:
+        rows = labelled.select(F.col(text_col).alias("text"), label, by, size).where("label is not null")
+        found = rows.select("key", "size", "label")
+    else:
+        found = labelled.select(F.col(id_col).alias("id"), by, size).join(labels.select(F.col(id_col).alias("id"), label).where("label is not null"), "id")
+    kept = stored(found.groupBy("key").agg(F.min("size").alias("size"), F.min("label").alias("label")).orderBy("key").limit(max_rows))
     before = F.sum("size").over(Window.orderBy("key").rowsBetween(Window.unboundedPreceding, 0)) - F.min("size").over(Window.orderBy("key").rowsBetween(Window.unboundedPreceding, 0))  # at most max_rows thin rows
     limit = kept.withColumn("before", before).where(F.col("before") <= max_bytes).agg(F.max("key"), F.count(F.lit(1))).first()
     if not limit[1]:
         return None
     parts = max(1, min(parts, limit[1] // 1000))  # a few rows make one model
-    rows = rows.where(F.col("key") <= F.lit(limit[0])).groupBy("key").agg(F.min(F.struct("text", "label")).alias("row")).select("key", "row.*").withColumn("part", F.pmod("key", F.lit(parts)))
+    inside = F.col("key") <= F.lit(limit[0])
+    if labels is not None:
+        rows = labelled.select(F.col(text_col).alias("text"), by).join(F.broadcast(kept.where(inside).select("key", "label")), "key")
+    rows = rows.where(inside).groupBy("key").agg(F.min(F.struct("text", "label")).alias("row")).select("key", "row.*").withColumn("part", F.pmod("key", F.lit(parts)))
 
     def fit(key: tuple, table: pa.Table) -> pa.Table:
         table = table.sort_by([("key", "ascending"), ("label", "ascending")])

@@ -31,8 +31,7 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quality_weights(docs: DataFrame, labels: DataFrame):
     """Weights learned from labelled rows whose crc32(doc_id) mod 5 is not 0."""
     labels = labels.where("doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    rows = docs.select("doc_id", "text").where(_remainder(5) != 0).join(labels.where(_remainder(5) != 0), "doc_id")
-    return quality.train(rows, key=F.col("doc_id"))
+    return quality.train(docs.select("doc_id", "text").where(_remainder(5) != 0), labels=labels.where(_remainder(5) != 0))
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -224,3 +224,25 @@ def test_quality_equals_plain_ftrl(spark):
     model = quality.train(many, key=F.col("doc_id"))
     docs = spark.createDataFrame([(1, "good text 17", 0.0, "x"), (2, "### 16 $$", 0.0, "y")], "doc_id long, text string, score double, __text string").withColumn("__SCORE", F.lit(1))
     assert [r.doc_id for r in quality.keep_good(docs, model, 0.5).collect()] == [1] and quality.keep_good(docs, model, 0.5).columns == docs.columns
+
+
+def test_only_fitted_texts_are_sent(spark):
+    """Documents meet their labels by id: what is shuffled doesn't grow with texts that are not fitted."""
+    rng = np.random.default_rng(4)
+    docs = spark.createDataFrame([(i, rng.bytes(3000).hex()) for i in range(1500)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(0, 1500, 75)] + [(3, None), (9999, 1)], "doc_id long, quality int")
+    wanted = quality.train(docs.join(labels, "doc_id").where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0), key=F.col("doc_id"))
+    sc = spark.sparkContext._jsc.sc()
+
+    def shuffled():
+        sc.listenerBus().waitUntilEmpty()
+        return sum(sc.statusStore().executorList(False).apply(k).totalShuffleWrite() for k in range(sc.statusStore().executorList(False).size()))
+
+    before, threshold = shuffled(), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = queries.quality_weights(docs, labels)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert shuffled() - before < 1 << 20
+    assert np.array_equal(got, wanted)
