@@ -8,7 +8,9 @@ one class, so copies are never compared.
    shingles of either in any fixed order, so each class is routed by those.
    The order puts frequent shingles last: their counts come from all
    documents, and at most ``HOT`` of them are kept.  It only changes how much
-   is compared, never what is found.  A shingle's bucket is named after its least class
+   is compared, never what is found.  A row tells its class's size and the largest set
+   that could still link if this shingle is the first shared; of a bucket only classes that
+   fit another one there stay (all of a bucket of more than ``NEAR``).  A shingle's bucket is named after its least class
    (a frequent shingle's after a class fixed beforehand, so its rows are never
    brought together), and classes of one name form a group; two classes that
    share a bucket share that group.
@@ -19,7 +21,8 @@ one class, so copies are never compared.
    is too small.  The first traversal needs the signatures only and drops
    classes without a possible partner; texts are sent for the rest (a text is
    no larger than the hashes of its shingles), whose pairs left at the leaves are
-   verified on the sets, unless links found before connect them.
+   verified on the sets, unless links found before connect them.  What a place has linked
+   is given as links to the least class, so that places with the same classes give the same links.
 3. Large groups.  Each block is joined by itself first.  Then a few classes of
    each component in the group stand for it, and these are joined the same way,
    round by round, so near copies, however many, soon are one component.  At last only classes of
@@ -60,7 +63,14 @@ BLOCK, BLOCK_SHINGLES = 512, 4 << 20
 BANDS, LAST_BAND = 24, 10
 #: Most rounds in which components of large groups are joined by so many classes of each, before all that is left is compared.
 ROUNDS, STAND = 6, 4
+#: Rows of a bucket that are compared with each other, and rows of one that are held.
+NEAR, HELD = 64, 1 << 16
+#: At most so many classes whose texts are wanted are sent to all tasks; if there are more, texts are shuffled to meet them.
+SENT = 2_000_000
 _FLUSH = 16 << 20
+#: A routed row's key: 41 bits of the shingle's hash, 11 each of two sizes, and one that tells a name (1) from a shingle (0).
+_HASH, _SIZE, _MOST, _CODE = 23, 12, 1, (1 << 11) - 1
+_STEPS = np.unique(np.floor(1.011 ** np.arange(2000)).astype(np.int64))
 
 
 def shingles(buf: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -161,7 +171,39 @@ def frequent(docs: DataFrame, text_col: str, words: int, most: int, least: int)
     return {r.shingle: r.name for r in top.toLocalIterator()}
 
 
-def route(docs: DataFrame, hot: dict[int, int], text_col: str, words: int, percent: int) -> DataFrame:
+def _coded(size: np.ndarray) -> np.ndarray:
+    """Sizes in 11 bits: a larger one never has a smaller code."""
+    return np.searchsorted(_STEPS, size, side="right")
+
+
+def fitting(key: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """name and class of those that may link, in whole buckets sorted by key and class; a bucket's name is its least class that stays.
+
+    Two classes fit if neither is larger than what the other allows.
+    """
+    fresh = np.ones(len(key), bool)
+    fresh[1:] = (key[1:] != key[:-1]) | (cls[1:] != cls[:-1])
+    key, cls = key[fresh], cls[fresh]
+    _, bucket, count = np.unique(key >> _HASH, return_inverse=True, return_counts=True)
+    own = count[bucket]
+    key, cls, bucket, own = (x[own > 1] for x in (key, cls, bucket, own))
+    size, most = (key >> _SIZE) & _CODE, (key >> _MOST) & _CODE
+    stays = own > NEAR
+    at = np.flatnonzero(~stays)
+    for step in range(1, NEAR):
+        at = at[own[at] > step]
+        first = at[at + step < len(key)]
+        first = first[bucket[first + step] == bucket[first]]
+        first = first[(size[first + step] <= most[first]) & (size[first] <= most[first + step])]
+        stays[first] = True
+        stays[first + step] = True
+    cls, bucket = cls[stays], bucket[stays]
+    start = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
+    least = np.minimum.reduceat(cls, start) if len(start) else cls
+    return np.repeat(least, np.diff(np.append(start, len(cls)))) | 1, cls
+
+
+def route(docs: DataFrame, hot: dict[int, int], text_col: str, words: int, percent: int, held: int = HELD) -> DataFrame:
     """name and class: classes that share a name may be similar."""
     hot_value = np.array(sorted(hot), np.int64)
     hot_name = np.array([hot[int(v)] for v in hot_value], np.int64)
@@ -176,46 +218,48 @@ def route(docs: DataFrame, hot: dict[int, int], text_col: str, words: int, perce
             is_hot = np.zeros(len(values), bool)
             inside = place < len(hot_value)
             is_hot[inside] = hot_value[place[inside]] == signed[inside]
-            order = np.lexsort((values, is_hot, row)) if is_hot.any() else np.arange(len(values))
+            order = np.argsort(2 * row + is_hot, kind="stable") if is_hot.any() else np.arange(len(values))
             rank = np.arange(len(values)) - bounds[row]
             _, fresh = np.unique(cls, return_index=True)
             only = np.zeros(len(cls), bool)
             only[fresh] = True
-            taken = order[(rank < prefix_length(size, percent)[row]) & only[row]]
-            cold = taken[~is_hot[taken]]
+            chosen = (rank < prefix_length(size, percent)[row]) & only[row]
+            taken, left = order[chosen], (size[row] - rank)[chosen]
             warm = taken[is_hot[taken]]
             named = np.unique(np.stack([hot_name[place[warm]], cls[row[warm]]], axis=1), axis=0) if len(warm) else np.zeros((0, 2), np.int64)
-            # the lowest bit tells a name (1) from a shingle (0)
-            yield pa.record_batch({"key": np.concatenate([signed[cold] & ~1, named[:, 0] | 1]), "cls": np.concatenate([cls[row[cold]], named[:, 1]])})
+            cold, left = taken[~is_hot[taken]], left[~is_hot[taken]]
+            # sets link if (100 + percent) * shared >= percent * (both sizes), and no more than what is left is shared
+            most = (100 + percent) * left // percent - size[row[cold]]
+            key = (signed[cold] >> _HASH << _HASH) | _coded(size[row[cold]]) << _SIZE | _coded(most) << _MOST
+            yield pa.record_batch({"key": np.concatenate([key, named[:, 0] | 1]), "cls": np.concatenate([cls[row[cold]], named[:, 1]])})
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows sorted by key and class; a bucket's name is its first class."""
-        last_key, last_name, last_cls, open_ = None, None, None, False
+        """Rows sorted by key and class."""
+        key, cls = np.zeros(0, np.int64), np.zeros(0, np.int64)  # the last bucket may go on in the next batch
+        long, long_name = None, 0  # a bucket of too many rows to hold
         for batch in batches:
-            key, cls = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            direct = key & 1 == 1
-            out = [np.stack([key[direct], cls[direct]], axis=1)]
-            key, cls = key[~direct], cls[~direct]
+            more, more_cls = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            direct = more & 1 == 1
+            out = [(more[direct], more_cls[direct])]
+            key, cls = np.concatenate([key, more[~direct]]), np.concatenate([cls, more_cls[~direct]])
             if len(key):
-                fresh = np.ones(len(key), bool)
-                fresh[1:] = (key[1:] != key[:-1]) | (cls[1:] != cls[:-1])
-                fresh[0] = last_key is None or key[0] != last_key or cls[0] != last_cls
-                begins = np.ones(len(key), bool)
-                begins[1:] = key[1:] != key[:-1]
-                begins[0] = last_key is None or key[0] != last_key
-                at = np.maximum.accumulate(np.where(begins, np.arange(len(key)), -1))
-                first = np.where(at >= 0, cls[at], last_name if last_name is not None else 0)
-                other = fresh & ~begins
-                out.append(np.stack([first[other] | 1, cls[other]], axis=1))
-                # the first class of a bucket joins the group when a second one comes
-                owner = np.unique(first[other])
-                out.append(np.stack([owner | 1, owner], axis=1))
-                last_key, last_cls, last_name = key[-1], cls[-1], first[-1]
-            rows = np.unique(np.concatenate(out), axis=0)
-            yield pa.record_batch({"name": rows[:, 0], "cls": rows[:, 1]})
+                bucket = key >> _HASH
+                done, last = np.searchsorted(bucket, long, side="right") if long is not None else 0, np.searchsorted(bucket, bucket[-1])
+                out.append((np.full(done, long_name), cls[:done]))
+                if last > done:
+                    out.append(fitting(key[done:last], cls[done:last]))
+                key, cls = key[max(done, last) :], cls[max(done, last) :]
+                if len(key) > held:
+                    long, long_name = bucket[-1], cls.min() | 1
+                    out.append((np.full(len(cls), long_name), cls))
+                    key, cls = key[:0], cls[:0]
+            names, members = (np.concatenate(x) for x in zip(*out, strict=True))
+            yield pa.record_batch({"name": names, "cls": members})
+        names, members = fitting(key, cls)
+        yield pa.record_batch({"name": names, "cls": members})
 
     rows = docs.select(F.col(text_col).alias("text")).mapInArrow(emit, "key long, cls long")
-    dealt = rows.repartition(F.when(F.col("key").bitwiseAND(1) == 1, F.col("cls")).otherwise(F.col("key"))).sortWithinPartitions("key", "cls")
+    dealt = rows.repartition(F.when(F.col("key").bitwiseAND(1) == 1, F.col("cls")).otherwise(F.shiftright("key", _HASH))).sortWithinPartitions("key", "cls")
     return dealt.mapInArrow(name, "name long, cls long").distinct()
 
 
@@ -294,7 +338,10 @@ _GUEST, _FIRST, _SECOND = 1, 2, 4
 
 
 def join_sets(cls: list[int], sets: list[np.ndarray], flags: list[int], percent: int = PERCENT, joined: list[int] | None = None) -> list[tuple[int, int]]:
-    """Links that connect what all links connect, among sets whose flags share no bit and whose components, if given, differ."""
+    """Links that connect what all links connect, among sets whose flags share no bit and whose components, if given, differ.
+
+    Each is from the least component (or class) of those that are linked to another one.
+    """
     order = sorted(range(len(sets)), key=lambda i: (len(sets[i]), int(sets[i][0])))
     cls, sets, joined = [cls[i] for i in order], [sets[i] for i in order], [(joined or cls)[i] for i in order]
     size = np.array([len(x) for x in sets], np.int64)
@@ -309,15 +356,18 @@ def join_sets(cls: list[int], sets: list[np.ndarray], flags: list[int], percent:
             i = parent[i]
         return i
 
-    links = []
+    linked = []
     for i, others in tree.pairs(percent, np.array(flags)[order], joined=np.array(joined)):
         for j in others.tolist():
             if find(i) != find(j):
                 both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
                 if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
                     parent[find(j)] = find(i)
-                    links.append((cls[i], cls[j]))
-    return links
+                    linked += [i, j]
+    least: dict[int, int] = {}
+    for i in linked:
+        least[find(i)] = min(joined[i], least.get(find(i), joined[i]))
+    return sorted({(least[find(i)], joined[i]) for i in linked if joined[i] != least[find(i)]})
 
 
 def needed(groups: DataFrame) -> DataFrame:
@@ -430,7 +480,7 @@ def links(docs: DataFrame, described: DataFrame, id_col: str = "doc_id", text_co
     counts = members.groupBy("name", "band").agg(F.count(F.lit(1)).alias("n"), F.min("guest").alias("guests")).where("n > 1 and guests = 0")
     counts = stored(counts.select("name", "band", F.ceil(F.col("n") / _rows_of(F.col("band"), block)).cast("int").alias("blocks")))
     members = stored(members.join(counts, ["name", "band"]).select("name", "band", "cls", "guest", "blocks", F.col("cls").alias("comp")))
-    marks = classes.select("cls", "size", "signature")
+    marks = stored(classes.select("cls", "size", "signature").join(members.select("cls").distinct(), "cls", "left_semi"))
 
     def pruned(at: DataFrame) -> DataFrame:
         return stored(prune(at.join(marks, "cls"), percent))
@@ -439,7 +489,7 @@ def links(docs: DataFrame, described: DataFrame, id_col: str = "doc_id", text_co
     large = members.where("blocks > 1").drop("comp", "blocks")
     wanted = stored(kept.select("cls").unionAll(large.select("cls")).distinct().join(classes.select("cls", "key"), "cls"))
     texts = docs.select(F.xxhash64(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
-    pool = stored(texts.join(wanted, "key").groupBy("cls").agg(F.first("text").alias("text")))
+    pool = stored(texts.join(F.broadcast(wanted) if wanted.count() <= SENT else wanted, "key").groupBy("cls").agg(F.first("text").alias("text")))
     found = _compare(kept, pool, words, percent)
     if large.isEmpty():
         return found

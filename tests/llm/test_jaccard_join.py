@@ -91,3 +91,41 @@ def test_other_columns(spark):
 def test_empty_table(spark):
     assert found(spark, []) == []
     assert found(spark, [(1, None), (2, "")]) == [(1, 0, 1), (2, 0, 2)]
+
+
+def test_classes_that_cannot_link_are_not_routed(spark):
+    """One shared shingle of sets too unlike in size, or too late in their order, routes nothing; sets that link stay."""
+    tail = " ".join(f"s{i}" for i in range(5))
+    docs = [(i, " ".join(f"d{i}-{k}" for k in range(30 * 2**i)) + " " + tail) for i in range(6)]
+    near = [(10 + i, " ".join([*(f"n{k}" for k in range(60)), f"end{i}"])) for i in range(5)]
+    frame = spark.createDataFrame(docs + near, "doc_id long, text string")
+    sets = {i: jaccard_join.shingles(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]), 5) for i, t in docs + near}
+    cls = {i: int(jaccard_join.classes(*x)[0][0]) for i, x in sets.items()}
+    rows = jaccard_join.route(frame, {}, "text", 5, 75).collect()
+    assert {r.cls for r in rows} == {cls[i] for i, _ in near}
+    # all of one bucket, and more of one than are compared or held
+    size = jaccard_join._coded(np.arange(1, 3000))
+    assert (np.diff(size) >= 0).all() and size.max() <= jaccard_join._CODE
+    for n in (2, jaccard_join.NEAR, jaccard_join.NEAR + 1):
+        key = np.full(n, (5 << jaccard_join._HASH) | 70 << jaccard_join._SIZE | 70 << jaccard_join._MOST)
+        assert jaccard_join.fitting(key, np.arange(n))[1].tolist() == list(range(n))
+
+
+def test_long_buckets_go_on_in_other_batches(spark):
+    """A bucket of more rows than are held or come in one batch keeps all its classes under one name."""
+    docs = [(i, " ".join([*(f"t{k}" for k in range(60)), f"e{i}"])) for i in range(150)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    try:
+        rows = jaccard_join.route(spark.createDataFrame(docs, "doc_id long, text string"), {}, "text", 5, 75, held=40).groupBy("name").count().collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert max(r["count"] for r in rows) == 150
+
+
+def test_links_of_a_place_go_to_the_least_class():
+    """Places that hold the same near copies give the same links, so their number follows the classes, not the places."""
+    base = np.arange(1000, 1100).astype(np.uint64)
+    sets = [np.unique(np.append(base, np.uint64(5000 + i))) for i in range(12)]
+    for order in (range(12), reversed(range(12)), [5, 3, 9, 0, 11, 2, 1, 4, 10, 6, 8, 7]):
+        order = list(order)
+        assert jaccard_join.join_sets(order, [sets[i] for i in order], [0] * 12) == [(0, i) for i in range(1, 12)]
