@@ -144,6 +144,27 @@ class Codec:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
+    def apart(self, a: str, b: str) -> bool:
+        """Whether ``merged`` of both texts, each a piece that its own merges give, gives back the two."""
+        score, none = self.score, float("-inf")
+        if a + b in score:
+            return False
+        parts, left = list(a + b), len(a)
+        pairs = [score.get(x + y, none) for x, y in zip(parts, parts[1:])]
+        while len(parts) > 2:
+            best = max(pairs)
+            at = pairs.index(best)
+            if best == none or at == left - 1:  # nothing more to merge, or a merge across the border
+                return False
+            parts[at] += parts.pop(at + 1)
+            pairs.pop(at)
+            left -= at < left - 1
+            if at:
+                pairs[at - 1] = score.get(parts[at - 1] + parts[at], none)
+            if at < len(pairs):
+                pairs[at] = score.get(parts[at] + parts[at + 1], none)
+        return True
+
     def _follows(self, before: np.ndarray, piece: np.ndarray) -> np.ndarray:
         """Whether merges keep the two pieces apart."""
         key = before.astype(np.int64) * self.n + piece
@@ -156,7 +177,7 @@ class Codec:
                 self.pair_key, self.pair_ok = np.zeros(0, np.int64), np.zeros(0, bool)
                 new = np.unique(key)
             text = self.pieces
-            ok = np.fromiter((self.merged(text[a] + text[b]) == [text[a], text[b]] for a, b in zip((new // self.n).tolist(), (new % self.n).tolist(), strict=True)), bool, len(new))
+            ok = np.fromiter((self.apart(text[a], text[b]) for a, b in zip((new // self.n).tolist(), (new % self.n).tolist(), strict=True)), bool, len(new))
             place = np.searchsorted(self.pair_key, new)
             self.pair_key, self.pair_ok = np.insert(self.pair_key, place, new), np.insert(self.pair_ok, place, ok)
             at = np.searchsorted(self.pair_key, key)

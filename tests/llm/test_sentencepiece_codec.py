@@ -53,3 +53,11 @@ def test_clashing_columns_and_other_models(spark):
     for proto in (unigram + keeps, keeps, bpe + folds, bpe):
         with pytest.raises(ValueError):
             codec._check(proto)
+
+
+def test_pieces_stay_apart_as_merges_say():
+    model = codec.Codec(codec.load(codec.MODEL))
+    rng = np.random.default_rng(8)
+    pieces = [model.pieces[i] for i in rng.choice(model.usable, 4000)]
+    for a, b in zip(pieces[::2], pieces[1::2], strict=True):
+        assert model.apart(a, b) == (model.merged(a + b) == [a, b]), (a, b)
